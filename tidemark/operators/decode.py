@@ -14,9 +14,20 @@ from ..functions.columns import lenient_timestamp
 from ..schemas import EVENT_SCHEMA
 
 
-def decode(messages: DataFrame, schema=EVENT_SCHEMA) -> DataFrame:
+def decode(messages: DataFrame, schema=EVENT_SCHEMA, parse_once: bool = False) -> DataFrame:
+    """Messages -> bronze rows.
+
+    ``parse_once``: when filters on parsed fields follow in the same plan (the
+    fused batch chain), the optimizer would push each predicate below the
+    projection and re-run ``from_json`` per predicate (measured 2.5x slower on
+    sf0.1). Parsing through a one-element generator keeps the predicates above
+    the parse, so the JSON is parsed once per message.
+    """
+    parsed_struct = F.from_json(F.col("value").cast("string"), schema)     # P1, P3
+    if parse_once:
+        parsed_struct = F.explode(F.array(parsed_struct))
     parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("data"),   # P1, P3
+        parsed_struct.alias("data"),
         "topic", "partition", "offset",
         F.col("timestamp").alias("kafka_timestamp"),                        # P2
     )

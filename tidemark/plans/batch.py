@@ -45,13 +45,16 @@ class Layers:
     def messages(self) -> DataFrame:
         return raw_messages(self.spark, self.sf_dir)
 
-    def bronze(self) -> DataFrame:
-        return decode(self.messages())
+    def bronze(self, parse_once: bool = False) -> DataFrame:
+        return decode(self.messages(), parse_once=parse_once)
+
+    def valid(self) -> DataFrame:
+        return validate(self.bronze(parse_once=True))
 
     def silver(self) -> DataFrame:
         # one dedup over both topics keyed by (topic, event_id): identical to a
         # per-topic dedup, with a single shuffle
-        return to_silver(self.bronze(), keys=("topic", "event_id"))
+        return to_silver(self.bronze(parse_once=True), keys=("topic", "event_id"))
 
     def silver_user(self) -> DataFrame:
         return only_topic(self.silver(), USER_TOPIC)

@@ -19,7 +19,7 @@ from ..operators.encode import encode_and_route
 from ..operators.explore import ingest_lag, open_carts, session_funnel
 from ..operators.merge import conform, merge_upsert
 from ..operators.metrics import order_metrics, user_metrics
-from ..operators.validate import reject_counts, validate
+from ..operators.validate import reject_counts
 from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, PAYLOAD_COLS,
                        USER_METRICS_SCHEMA, USER_METRICS_UPDATE)
 from ..sources.tables import read_folder, table_shape
@@ -34,11 +34,11 @@ def _bronze_decode(spark, sf):
 
 
 def _silver_valid(spark, sf):
-    return validate(Layers(spark, sf).bronze()).select(*BRONZE_COLS)
+    return Layers(spark, sf).valid().select(*BRONZE_COLS)
 
 
 def _silver_rejects(spark, sf):
-    return reject_counts(Layers(spark, sf).bronze())
+    return reject_counts(Layers(spark, sf).bronze(parse_once=True))
 
 
 def _silver_dedup(spark, sf):

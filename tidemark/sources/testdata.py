@@ -32,6 +32,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute an input that arrives in fewer splits than the cluster
+    has cores (e.g. one small file with a single row group), so the per-row
+    work after it runs in parallel. Large inputs are left as scanned: at scale
+    the scan already yields thousands of splits and no shuffle is added."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
 def _iso(ts_ntz):
     # ts is zone-less UTC wall clock; render as ISO-8601 with explicit +00:00
     return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
@@ -44,7 +55,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog only when its measured size is under the broadcast threshold, and
     split a hot product's partition otherwise.
     """
-    ev = read_table(spark, sf_dir, "events").select(
+    ev = spread(read_table(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("id"), "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
