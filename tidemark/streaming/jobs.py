@@ -37,10 +37,12 @@ def _prepare(spark: SparkSession, empty_batches: bool | None) -> None:
         spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(empty_batches).lower())
 
 
-def _sink(df: DataFrame, path: str, name: str, trigger: dict, fmt: str) -> StreamingQuery:
-    return (df.writeStream.format(fmt).outputMode("append")
-            .option("checkpointLocation", f"{path}/_checkpoint")
-            .queryName(name).trigger(**trigger).start(path))
+def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str) -> StreamingQuery:
+    w = (df.writeStream.format(fmt).outputMode("append")
+         .option("checkpointLocation", f"{path}/_checkpoint").trigger(**trigger))
+    if name:
+        w = w.queryName(name)
+    return w.start(path)
 
 
 def start_bronze(spark: SparkSession, messages: DataFrame, out_path: str, name: str,

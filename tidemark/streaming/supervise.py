@@ -39,10 +39,14 @@ def supervise(queries: Sequence[StreamingQuery], poll_seconds: float = 30.0,
         if on_progress is not None:
             on_progress({(q.name or str(q.id)): (q.lastProgress or {}).get("numInputRows", 0)
                          for q in queries})
-        # wake early when any query terminates
+        # wake early when any query terminates; a failure re-raised here is
+        # handled on the next pass through ``exception()``
         for q in queries:
             if q.isActive:
-                q.awaitTermination(poll_seconds / max(1, len(queries)))
+                try:
+                    q.awaitTermination(poll_seconds / max(1, len(queries)))
+                except Exception:  # noqa: BLE001
+                    break
 
 
 class ProgressLog(StreamingQueryListener):
