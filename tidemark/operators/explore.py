@@ -6,7 +6,7 @@ category or topic never has its raw rows gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_rate, seconds_between
@@ -58,12 +58,12 @@ def open_carts(events: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
         F.max(F.when(F.col("event_type") == "purchase", F.col("event_time"))).alias("bought_at"))
     still_open = last.where(F.col("added_at").isNotNull()
                             & (F.col("bought_at").isNull() | (F.col("added_at") > F.col("bought_at"))))
-    # a user's open carts are bounded by the catalog size, so the per-user
-    # window holds at most that many rows
-    per_user = Window.partitionBy("user_id")
-    return still_open.select(
-        "user_id", "product_id", "added_at",
-        F.count(F.lit(1)).over(per_user).alias("cart_size"),
+    # cart size by a partial aggregate joined back on user_id (not a window):
+    # a bot user with millions of open carts is counted map-side, and its rows
+    # on the join's large side can be split by AQE's skew handling
+    sizes = still_open.groupBy("user_id").agg(F.count(F.lit(1)).alias("cart_size"))
+    return still_open.join(sizes, "user_id").select(
+        "user_id", "product_id", "added_at", "cart_size",
         (F.col("added_at") < as_of - F.expr(f"INTERVAL {abandon_after}")).alias("abandoned"))
 
 
@@ -71,9 +71,10 @@ def ingest_lag(events: DataFrame, window: str = "1 day", late_after_seconds: flo
                exact: bool = True) -> DataFrame:
     """Producer -> broker lag and event-time lateness per topic and producer-time window.
 
-    ``exact`` uses ``percentile`` (its buffer is a value->count map, merged
-    map-side, so memory follows distinct lag values, not rows); otherwise
-    ``percentile_approx`` with a fixed-size sketch.
+    ``exact`` uses ``percentile``: its buffer is a value->count map merged
+    map-side, so a group's final task holds one entry per *distinct* lag value
+    (not per row). For lag domains without such a bound use ``exact=False``:
+    ``percentile_approx`` keeps a fixed-size mergeable sketch per group.
     """
     lagged = events.select(
         "topic",

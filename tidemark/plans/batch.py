@@ -56,6 +56,19 @@ class Layers:
         # per-topic dedup, with a single shuffle
         return to_silver(self.bronze(parse_once=True), keys=("topic", "event_id"))
 
+    def stored_silver(self) -> DataFrame:
+        """Silver written once to the shared folder and read back.
+
+        For plans that use silver several times: each use scans columnar
+        parquet (pruned, filters pushed) instead of re-decoding the messages,
+        and the lineage is cut, so a lost executor recomputes from the table.
+        """
+        from ..schemas import BRONZE_SCHEMA
+        from ..session import new_run_dir
+        path = new_run_dir(self.spark, "silver")
+        self.silver().write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(BRONZE_SCHEMA).parquet(path)
+
     def silver_user(self) -> DataFrame:
         return only_topic(self.silver(), USER_TOPIC)
 

@@ -71,8 +71,10 @@ def _merge(kind: str):
     update_cols = USER_METRICS_UPDATE if kind == "user" else ORDER_METRICS_UPDATE
 
     def q(spark, sf):
+        from ..schemas import ORDER_TOPIC, USER_TOPIC
+        from .batch import only_topic
         lay = Layers(spark, sf)
-        silver = lay.silver_user() if kind == "user" else lay.silver_order()
+        silver = only_topic(lay.stored_silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
         t1, t2 = _snapshot_cuts(silver)
         target = gold(silver.where(F.col("kafka_timestamp") < t1), "1 hour", "exact")
         upd1 = gold(silver.where(F.col("kafka_timestamp") < t2), "1 hour", "exact")
@@ -103,20 +105,19 @@ def _encode_and_route(spark, sf):
     return back.select("topic", F.col("user_id").alias("key"), *PAYLOAD_COLS)
 
 
+# R1-R3 read the events of both topics, i.e. all of silver
+
+
 def _session_funnel(spark, sf):
-    lay = Layers(spark, sf)
-    return session_funnel(lay.silver_user().unionByName(lay.silver_order()))
+    return session_funnel(Layers(spark, sf).silver())
 
 
 def _open_carts(spark, sf):
-    lay = Layers(spark, sf)
-    return open_carts(lay.silver_user().unionByName(lay.silver_order()), "1 hour")
+    return open_carts(Layers(spark, sf).silver(), "1 hour")
 
 
 def _ingest_lag(spark, sf):
-    lay = Layers(spark, sf)
-    return ingest_lag(lay.silver_user().unionByName(lay.silver_order()), "1 day",
-                      late_after_seconds=60.0)
+    return ingest_lag(Layers(spark, sf).silver(), "1 day", late_after_seconds=60.0)
 
 
 def _table_shape(spark, sf):
