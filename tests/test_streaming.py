@@ -129,3 +129,19 @@ def test_restart_does_not_duplicate(spark, workdir):
         f = Feeder(spark, workdir, "silver")
         counts = [c for c, _ in f.run([[ev("a", 0)], [ev("a", 0), ev("b", 1)], [ev("a", 0), ev("b", 1)]])]
     assert counts == [1, 2, 2]
+
+
+def test_single_query_silver_to_gold(spark, workdir):
+    """Dedup within watermark then a 1-minute count in one query, delay 5 min."""
+    from tidemark.streaming.jobs import start_silver_gold
+    counts = []
+    with confs(spark, **{"spark.sql.shuffle.partitions": "2"}):
+        inp, out = f"{workdir}/in", f"{workdir}/out"
+        for i, batch in enumerate(LATE):
+            decode(messages_df(spark, batch, start_offset=100 * i)).coalesce(1) \
+                .write.mode("append").parquet(inp)
+            q = start_silver_gold(spark, inp, out, None, "user", {"availableNow": True},
+                                  window="1 minute", delay="5 minutes")
+            q.awaitTermination()
+            counts.append(read_sink_table(spark, out, USER_METRICS_SCHEMA).count())
+    assert counts == [0, 1, 1, 1, 1]

@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--no-empty-batches", action="store_true")
     p.add_argument("--window", default="1 minute")
     p.add_argument("--poll-seconds", type=float, default=30.0)
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="state partitions of a new stateful job; pinned by its checkpoint")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -49,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     b = SparkSession.builder.appName(f"tidemark-{args.job}")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
+    if args.shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     spark = b.getOrCreate()
     root = args.root.rstrip("/")
     empty = False if args.no_empty_batches else None

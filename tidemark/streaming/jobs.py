@@ -56,24 +56,41 @@ def start_bronze(spark: SparkSession, messages: DataFrame, out_path: str, name:
 def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                  delay: str = SILVER_WATERMARK, unbounded: bool = False,
-                 empty_batches: bool | None = None) -> StreamingQuery:
+                 empty_batches: bool | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Bronze table -> silver table: watermark, validation, dedup on event_id."""
     _prepare(spark, empty_batches)
-    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger)
     return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt)
 
 
 def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
                trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
-               empty_batches: bool | None = None) -> StreamingQuery:
+               empty_batches: bool | None = None,
+               max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Silver table -> gold table; a window is emitted once the watermark passes its end."""
     _prepare(spark, empty_batches)
-    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt).withWatermark("event_time", delay)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger) \
+        .withWatermark("event_time", delay)
     gold = user_metrics(src, window) if kind == "user" else order_metrics(src, window)
     return _sink(gold, out_path, name, trigger, fmt)
 
 
+def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
+                      trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
+                      window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
+                      empty_batches: bool | None = None) -> StreamingQuery:
+    """Bronze table -> gold table in one query: validation, bounded dedup and the
+    windowed aggregate share one watermark (``delay``), so no silver table and
+    no second checkpoint are needed."""
+    _prepare(spark, empty_batches)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
+    silver = to_silver(src, delay)
+    gold = user_metrics(silver, window) if kind == "user" else order_metrics(silver, window)
+    return _sink(gold, out_path, name, trigger, fmt)
+
+
 def start_many(starters: Sequence) -> list[StreamingQuery]:
     """Start one query per (source, target) spec; stop the started ones if a later start fails."""
     started: list[StreamingQuery] = []
