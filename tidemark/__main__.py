@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--unbounded-dedup", action="store_true")
     p.add_argument("--no-empty-batches", action="store_true")
     p.add_argument("--window", default="1 minute")
+    p.add_argument("--partition-by-date", action="store_true",
+                   help="write bronze/silver by event_date and gold by window_date")
     p.add_argument("--poll-seconds", type=float, default=30.0)
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="state partitions of a new stateful job; pinned by its checkpoint")
@@ -75,16 +77,18 @@ def main(argv: list[str] | None = None) -> int:
         starters = [lambda t=t: start_bronze(
             spark, kafka_stream(spark, t, args.bootstrap, args.starting_offsets,
                                 max_offsets_per_trigger=args.max_offsets_per_trigger),
-            f"{root}/bronze/{t}", f"bronze_{t}", trig, args.format, empty) for t in TOPICS]
+            f"{root}/bronze/{t}", f"bronze_{t}", trig, args.format, empty,
+            partition_by_date=args.partition_by_date) for t in TOPICS]
     elif args.job == "silver":
         starters = [lambda t=t: start_silver(
             spark, f"{root}/bronze/{t}", f"{root}/silver/{t}", f"silver_{t}", trig, args.format,
-            unbounded=args.unbounded_dedup, empty_batches=empty) for t in TOPICS]
+            unbounded=args.unbounded_dedup, empty_batches=empty,
+            partition_by_date=args.partition_by_date) for t in TOPICS]
     else:
         starters = [lambda t=t: start_gold(
             spark, f"{root}/silver/{t}", f"{root}/gold/{GOLD_OF[t][1]}", f"gold_{GOLD_OF[t][1]}",
-            GOLD_OF[t][0], trig, args.format, window=args.window, empty_batches=empty)
-            for t in TOPICS]
+            GOLD_OF[t][0], trig, args.format, window=args.window, empty_batches=empty,
+            partition_by_date=args.partition_by_date) for t in TOPICS]
 
     def report(rows):
         print("[progress] " + " | ".join(f"{k}: {v} rows in last batch" for k, v in rows.items()),

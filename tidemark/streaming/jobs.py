@@ -12,6 +12,8 @@ import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.decode import decode
@@ -37,9 +39,21 @@ def _prepare(spark: SparkSession, empty_batches: bool | None) -> None:
         spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(empty_batches).lower())
 
 
-def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str) -> StreamingQuery:
+DATE_COL = {"event_time": "event_date", "window_start": "window_date"}
+
+
+def with_date(df: DataFrame, ts_col: str) -> DataFrame:
+    """Add the date partition column derived from ``ts_col`` (UTC)."""
+    return df.withColumn(DATE_COL[ts_col], F.to_date(ts_col))
+
+
+def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str,
+          partition_col: str | None = None) -> StreamingQuery:
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", f"{path}/_checkpoint").trigger(**trigger))
+    if partition_col:
+        # date folders let batch readers prune by day instead of scanning the table
+        w = w.partitionBy(partition_col)
     if name:
         w = w.queryName(name)
     return w.start(path)
@@ -47,33 +61,54 @@ def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str) -
 
 def start_bronze(spark: SparkSession, messages: DataFrame, out_path: str, name: str,
                  trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
-                 empty_batches: bool | None = None) -> StreamingQuery:
+                 empty_batches: bool | None = None,
+                 partition_by_date: bool = False) -> StreamingQuery:
     """Messages -> bronze table (stateless, no shuffle)."""
     _prepare(spark, empty_batches)
-    return _sink(decode(messages), out_path, name, trigger, fmt)
+    bronze = decode(messages)
+    if partition_by_date:
+        return _sink(with_date(bronze, "event_time"), out_path, name, trigger, fmt, "event_date")
+    return _sink(bronze, out_path, name, trigger, fmt)
+
+
+def _bronze_schema(dated: bool) -> T.StructType:
+    if not dated:
+        return BRONZE_SCHEMA
+    return T.StructType(BRONZE_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
 
 
 def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                  delay: str = SILVER_WATERMARK, unbounded: bool = False,
                  empty_batches: bool | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Bronze table -> silver table: watermark, validation, dedup on event_id."""
+                 max_files_per_trigger: int | None = None,
+                 partition_by_date: bool = False) -> StreamingQuery:
+    """Bronze table -> silver table: watermark, validation, dedup on event_id.
+
+    ``partition_by_date``: input and output are partitioned by ``event_date``."""
     _prepare(spark, empty_batches)
-    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger)
-    return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt)
+    src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
+                            max_files_per_trigger)
+    return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt,
+                 "event_date" if partition_by_date else None)
 
 
 def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
                trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
                empty_batches: bool | None = None,
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Silver table -> gold table; a window is emitted once the watermark passes its end."""
+               max_files_per_trigger: int | None = None,
+               partition_by_date: bool = False) -> StreamingQuery:
+    """Silver table -> gold table; a window is emitted once the watermark passes its end.
+
+    ``partition_by_date``: silver is read with its ``event_date`` partitions and
+    gold is written partitioned by ``window_date``."""
     _prepare(spark, empty_batches)
-    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger) \
-        .withWatermark("event_time", delay)
+    src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
+                            max_files_per_trigger).withWatermark("event_time", delay)
     gold = user_metrics(src, window) if kind == "user" else order_metrics(src, window)
+    if partition_by_date:
+        return _sink(with_date(gold, "window_start"), out_path, name, trigger, fmt, "window_date")
     return _sink(gold, out_path, name, trigger, fmt)
 
 
@@ -118,8 +153,9 @@ def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def run_chain(spark: SparkSession, sf_dir: str, base: str,
-              trigger: dict | None = None) -> dict[str, str]:
+              trigger: dict | None = None, partition_by_date: bool = False) -> dict[str, str]:
     trigger = trigger or {"availableNow": True}
+    dated = partition_by_date
     paths = {"raw": f"{base}/raw"}
     stage_messages(spark, sf_dir, paths["raw"])
     short = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
@@ -129,13 +165,16 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
         paths[f"gold_{short[t]}"] = f"{base}/gold/{short[t]}"
     supervise(start_many([
         (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t),
-                                  paths[f"bronze_{short[t]}"], f"bronze_{short[t]}", trigger))
+                                  paths[f"bronze_{short[t]}"], f"bronze_{short[t]}", trigger,
+                                  partition_by_date=dated))
         for t in TOPICS]), poll_seconds=1.0)
     supervise(start_many([
-        (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}", trigger))
+        (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
+                                  trigger, partition_by_date=dated))
         for s in ("user", "order")]), poll_seconds=1.0)
     supervise(start_many([
-        (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s, trigger))
+        (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
+                                trigger, partition_by_date=dated))
         for s in ("user", "order")]), poll_seconds=1.0)
     return paths
 
