@@ -52,6 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(HDFS, S3, ...); a driver-local folder is not reachable by executors")
         d = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
