@@ -31,10 +31,9 @@ def decode(messages: DataFrame, schema=EVENT_SCHEMA, parse_once: bool = False) -
         "topic", "partition", "offset",
         F.col("timestamp").alias("kafka_timestamp"),                        # P2
     )
-    return (
-        parsed.select("data.*", "topic", "partition", "offset", "kafka_timestamp")  # P4
-        # P5: malformed times become null (and are rejected in silver) instead of
-        # failing the query under ANSI mode
-        .withColumn("event_time", lenient_timestamp("event_time"))
-        .withColumn("producer_time", lenient_timestamp("producer_time"))
-    )
+    # P4 star expansion; P5: malformed times become null (and are rejected in
+    # silver) instead of failing the query under ANSI mode
+    fields = [lenient_timestamp(f"data.{f.name}").alias(f.name)
+              if f.name in ("event_time", "producer_time") else F.col(f"data.{f.name}")
+              for f in schema.fields]
+    return parsed.select(*fields, "topic", "partition", "offset", "kafka_timestamp")

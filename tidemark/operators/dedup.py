@@ -29,4 +29,4 @@ def dedup(df: DataFrame, keys: Sequence[str] = ("event_id",),
     rest = [c for c in cols if c not in keys]
     picked = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first")))
-    return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*cols)
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in cols])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_when, distinct_count, safe_rate
-from ..schemas import GOLD_WINDOW, ORDER_METRICS_COLS, USER_METRICS_COLS
+from ..schemas import GOLD_WINDOW
 
 GROUP_COLS = ("product_id", "product_name", "category")
 
@@ -20,10 +20,8 @@ def _windowed(df: DataFrame, window: str):
     return df.groupBy(*GROUP_COLS, F.window("event_time", window).alias("window"))
 
 
-def _flatten_window(df: DataFrame) -> DataFrame:
-    return (df.withColumn("window_start", F.col("window.start"))
-              .withColumn("window_end", F.col("window.end"))
-              .drop("window"))
+def _window_bounds():
+    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
 def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx") -> DataFrame:
@@ -39,10 +37,12 @@ def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "appr
         count_when(et == "add_to_cart").alias("add_to_cart_count"),
         distinct_count("user_id", distinct).alias("unique_users"),
     )
-    return (_flatten_window(agg)
-            .withColumn("click_through_rate", safe_rate("click_count", "view_count", 4))
-            .withColumn("add_to_cart_rate", safe_rate("add_to_cart_count", "view_count", 4))
-            .select(*USER_METRICS_COLS))
+    return agg.select(
+        *GROUP_COLS, *_window_bounds(),
+        "view_count", "click_count", "add_to_cart_count", "unique_users",
+        safe_rate("click_count", "view_count", 4).alias("click_through_rate"),
+        safe_rate("add_to_cart_count", "view_count", 4).alias("add_to_cart_rate"),
+    )
 
 
 def order_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx") -> DataFrame:
@@ -56,6 +56,9 @@ def order_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "app
         F.round(F.sum("price"), 2).alias("total_revenue_usd"),
         distinct_count("user_id", distinct).alias("unique_buyers"),
     )
-    return (_flatten_window(agg)
-            .withColumn("avg_order_value", safe_rate("total_revenue_usd", "purchase_count", 2))
-            .select(*ORDER_METRICS_COLS))
+    return agg.select(
+        *GROUP_COLS, *_window_bounds(),
+        "purchase_count", "total_revenue_usd",
+        safe_rate("total_revenue_usd", "purchase_count", 2).alias("avg_order_value"),
+        "unique_buyers",
+    )

@@ -11,7 +11,6 @@ nulls or cart events, so they are added deterministically from the event id
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import ORDER_TOPIC, USER_TOPIC
 
@@ -28,8 +27,21 @@ KAFKA_PARTITIONS = 4
 # ---------------------------------------------------------------------------
 
 
+# Declared schemas of the input tables: no footer reads to infer them, and a
+# changed file layout fails at the scan instead of deep inside a query.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    r = spark.read
+    if name in TABLE_SCHEMAS:
+        r = r.schema(TABLE_SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -43,58 +55,49 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def _iso(ts_ntz):
-    # ts is zone-less UTC wall clock; render as ISO-8601 with explicit +00:00
-    return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-
-
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-contract messages for both topics, derived from ``events`` and ``part``.
 
     The product lookup is a plain equi-join: the optimizer / AQE broadcast the
     catalog only when its measured size is under the broadcast threshold, and
-    split a hot product's partition otherwise.
+    split a hot product's partition otherwise. The per-message rules are SQL
+    expressions (one parse per column instead of one JVM call per function).
     """
-    ev = spread(read_table(spark, sf_dir, "events"), "event_id").select(
-        F.col("event_id").alias("id"), "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    ev = spread(read_table(spark, sf_dir, "events"), "event_id").selectExpr(
+        "event_id AS id", "ts", "user_id", "value",
+        "CASE WHEN event_type = 'signup' THEN 'add_to_cart' ELSE event_type END AS etype",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     j = ev.join(part, ev.k == part.p_partkey, "left")
 
-    id_ = F.col("id")
-    etype = F.when(F.col("event_type") == "signup", F.lit("add_to_cart")).otherwise(F.col("event_type"))
-    lateness = (F.when((id_ % LATE_MOD).isin(0, 1), F.expr("INTERVAL 30 SECONDS"))
-                 .when(id_ % LATE_MOD == 2, F.expr("INTERVAL 90 SECONDS"))
-                 .otherwise(F.expr("INTERVAL 0 SECONDS")))
-    price = F.col("value").cast("float")
-    payload = F.struct(
-        F.concat(F.lit("E"), id_.cast("string")).alias("event_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                 F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        etype.alias("event_type"),
-        F.when(id_ % NULL_PRODUCT_MOD == NULL_PRODUCT_REM, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("P"), F.lpad(F.col("k").cast("string"), 3, "0"))).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.when(id_ % NEG_PRICE_MOD == NEG_PRICE_REM, -price).otherwise(price).alias("price"),
-        F.when(id_ % BAD_TIME_MOD == BAD_TIME_REM, F.lit("not-a-time"))
-         .otherwise(_iso(F.col("ts") - lateness)).alias("event_time"),
-        _iso(F.col("ts")).alias("producer_time"),
-    )
-    value = F.when(id_ % BAD_JSON_MOD == BAD_JSON_REM, F.lit("not json")).otherwise(F.to_json(payload))
-    copies = F.when(id_ % DUP_MOD == DUP_REM, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        j.select("*", F.explode(copies).alias("copy"))
-        .select(
-            F.col("user_id").cast("string").cast("binary").alias("key"),
-            value.cast("binary").alias("value"),
-            F.when(etype == "purchase", F.lit(ORDER_TOPIC)).otherwise(F.lit(USER_TOPIC)).alias("topic"),
-            F.pmod(F.col("user_id"), F.lit(KAFKA_PARTITIONS)).cast("int").alias("partition"),
-            (id_ * 2 + F.col("copy")).alias("offset"),
-            # broker time: a few seconds after production; the re-delivery one second later
-            F.to_timestamp(F.col("ts") + F.make_interval(secs=(id_ % 5 + F.col("copy")).cast("decimal(18,6)")))
-             .alias("timestamp"),
-            F.lit(0).alias("timestampType"),
-        )
+    # ts is zone-less UTC wall clock; times are rendered as ISO-8601 with +00:00
+    iso = "concat(date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+    lateness = (f"CASE WHEN id % {LATE_MOD} IN (0, 1) THEN INTERVAL 30 SECONDS "
+                f"WHEN id % {LATE_MOD} = 2 THEN INTERVAL 90 SECONDS ELSE INTERVAL 0 SECONDS END")
+    payload = f"""named_struct(
+        'event_id', concat('E', CAST(id AS STRING)),
+        'session_id', concat(CAST(user_id AS STRING), '-', date_format(ts, 'yyyyMMdd')),
+        'user_id', CAST(user_id AS STRING),
+        'event_type', etype,
+        'product_id', CASE WHEN id % {NULL_PRODUCT_MOD} = {NULL_PRODUCT_REM} THEN CAST(NULL AS STRING)
+                           ELSE concat('P', lpad(CAST(k AS STRING), 3, '0')) END,
+        'product_name', p_name,
+        'category', p_type,
+        'price', CASE WHEN id % {NEG_PRICE_MOD} = {NEG_PRICE_REM} THEN -CAST(value AS FLOAT)
+                      ELSE CAST(value AS FLOAT) END,
+        'event_time', CASE WHEN id % {BAD_TIME_MOD} = {BAD_TIME_REM} THEN 'not-a-time'
+                           ELSE {iso.format(f"ts - ({lateness})")} END,
+        'producer_time', {iso.format("ts")})"""
+    copies = f"CASE WHEN id % {DUP_MOD} = {DUP_REM} THEN array(0, 1) ELSE array(0) END"
+    return j.selectExpr("*", f"explode({copies}) AS copy").selectExpr(
+        "CAST(CAST(user_id AS STRING) AS BINARY) AS key",
+        f"CAST(CASE WHEN id % {BAD_JSON_MOD} = {BAD_JSON_REM} THEN 'not json' "
+        f"ELSE to_json({payload}) END AS BINARY) AS value",
+        f"CASE WHEN etype = 'purchase' THEN '{ORDER_TOPIC}' ELSE '{USER_TOPIC}' END AS topic",
+        f"CAST(pmod(user_id, {KAFKA_PARTITIONS}) AS INT) AS partition",
+        "id * 2 + copy AS offset",
+        # broker time: a few seconds after production; the re-delivery one second later
+        "CAST(ts + make_interval(0, 0, 0, 0, 0, 0, CAST(id % 5 + copy AS DECIMAL(18, 6))) AS TIMESTAMP)"
+        " AS timestamp",
+        "0 AS timestampType",
     )
