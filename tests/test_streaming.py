@@ -158,3 +158,12 @@ def test_gold_output_partitions_bound_files(spark, workdir):
     files = [f for f in glob.glob(f"{out}/part-*.parquet")]
     assert read_sink_table(spark, out, USER_METRICS_SCHEMA).count() == 30
     assert 1 <= len(files) <= 2          # one per micro-batch that emitted rows
+
+
+def test_state_partitions_pinned_at_start(spark, workdir):
+    decode(messages_df(spark, [ev("a", 0), ev("b", 1)])).write.parquet(f"{workdir}/in")
+    q = start_silver(spark, f"{workdir}/in", f"{workdir}/out", None, {"availableNow": True},
+                     state_partitions=3)
+    q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -8,6 +8,7 @@ in tests and backfills. All layer logic comes from the batch operators.
 
 from __future__ import annotations
 
+import contextlib
 import threading
 from collections.abc import Sequence
 
@@ -47,6 +48,22 @@ def with_date(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn(DATE_COL[ts_col], F.to_date(ts_col))
 
 
+@contextlib.contextmanager
+def _state_width(spark: SparkSession, partitions: int | None):
+    """Shuffle width for the stateful query started inside; a query copies the
+    session conf when it starts and its checkpoint pins the width afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    if not partitions:
+        yield
+        return
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str,
           partition_col: str | None = None, output_partitions: int | None = None) -> StreamingQuery:
     if output_partitions:
@@ -87,15 +104,19 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  delay: str = SILVER_WATERMARK, unbounded: bool = False,
                  empty_batches: bool | None = None,
                  max_files_per_trigger: int | None = None,
-                 partition_by_date: bool = False) -> StreamingQuery:
+                 partition_by_date: bool = False,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Bronze table -> silver table: watermark, validation, dedup on event_id.
 
-    ``partition_by_date``: input and output are partitioned by ``event_date``."""
+    ``partition_by_date``: input and output are partitioned by ``event_date``.
+    ``state_partitions``: dedup state width of a new checkpoint (default: the
+    session's shuffle partitions)."""
     _prepare(spark, empty_batches)
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger)
-    return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt,
-                 "event_date" if partition_by_date else None)
+    with _state_width(spark, state_partitions):
+        return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt,
+                     "event_date" if partition_by_date else None)
 
 
 def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
@@ -104,7 +125,8 @@ def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind
                empty_batches: bool | None = None,
                max_files_per_trigger: int | None = None,
                partition_by_date: bool = False,
-               output_partitions: int | None = None) -> StreamingQuery:
+               output_partitions: int | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
     """Silver table -> gold table; a window is emitted once the watermark passes its end.
 
     ``partition_by_date``: silver is read with its ``event_date`` partitions and
@@ -113,16 +135,18 @@ def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger).withWatermark("event_time", delay)
     gold = user_metrics(src, window) if kind == "user" else order_metrics(src, window)
-    if partition_by_date:
-        return _sink(with_date(gold, "window_start"), out_path, name, trigger, fmt, "window_date",
-                     output_partitions)
-    return _sink(gold, out_path, name, trigger, fmt, output_partitions=output_partitions)
+    with _state_width(spark, state_partitions):
+        if partition_by_date:
+            return _sink(with_date(gold, "window_start"), out_path, name, trigger, fmt,
+                         "window_date", output_partitions)
+        return _sink(gold, out_path, name, trigger, fmt, output_partitions=output_partitions)
 
 
 def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
                       trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                       window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
-                      empty_batches: bool | None = None) -> StreamingQuery:
+                      empty_batches: bool | None = None,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Bronze table -> gold table in one query: validation, bounded dedup and the
     windowed aggregate share one watermark (``delay``), so no silver table and
     no second checkpoint are needed."""
@@ -130,7 +154,8 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
     src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
     silver = to_silver(src, delay)
     gold = user_metrics(silver, window) if kind == "user" else order_metrics(silver, window)
-    return _sink(gold, out_path, name, trigger, fmt)
+    with _state_width(spark, state_partitions):
+        return _sink(gold, out_path, name, trigger, fmt)
 
 
 def start_many(starters: Sequence) -> list[StreamingQuery]:
@@ -163,6 +188,8 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
               trigger: dict | None = None, partition_by_date: bool = False) -> dict[str, str]:
     trigger = trigger or {"availableNow": True}
     dated = partition_by_date
+    # state width for these new checkpoints: one partition per core
+    width = spark.sparkContext.defaultParallelism
     paths = {"raw": f"{base}/raw"}
     stage_messages(spark, sf_dir, paths["raw"])
     short = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
@@ -177,11 +204,11 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
         for t in TOPICS]), poll_seconds=1.0)
     supervise(start_many([
         (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
-                                  trigger, partition_by_date=dated))
+                                  trigger, partition_by_date=dated, state_partitions=width))
         for s in ("user", "order")]), poll_seconds=1.0)
     supervise(start_many([
         (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
-                                trigger, partition_by_date=dated))
+                                trigger, partition_by_date=dated, state_partitions=width))
         for s in ("user", "order")]), poll_seconds=1.0)
     return paths
 
