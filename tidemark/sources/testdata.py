@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.lookup import lookup_join
 from ..schemas import ORDER_TOPIC, USER_TOPIC
 
 # ---------------------------------------------------------------------------
@@ -58,9 +59,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-contract messages for both topics, derived from ``events`` and ``part``.
 
-    The product lookup is a plain equi-join: the optimizer / AQE broadcast the
-    catalog only when its measured size is under the broadcast threshold, and
-    split a hot product's partition otherwise. The per-message rules are SQL
+    The product catalog is broadcast only after its size was measured under a
+    bound; beyond it the lookup is a shuffle join whose hot-product partitions
+    AQE splits. The per-message rules are SQL
     expressions (one parse per column instead of one JVM call per function).
     """
     ev = spread(read_table(spark, sf_dir, "events"), "event_id").selectExpr(
@@ -68,7 +69,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_type = 'signup' THEN 'add_to_cart' ELSE event_type END AS etype",
         "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    j = ev.join(part, ev.k == part.p_partkey, "left")
+    j = lookup_join(ev, part, ev.k == part.p_partkey, "left")
 
     # ts is zone-less UTC wall clock; times are rendered as ISO-8601 with +00:00
     iso = "concat(date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
