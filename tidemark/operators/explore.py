@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_rate, seconds_between
+from .quantiles import exact_quantiles
 
 
 def _flag(event_type: str):
@@ -71,31 +72,37 @@ def ingest_lag(events: DataFrame, window: str = "1 day", late_after_seconds: flo
                exact: bool = True) -> DataFrame:
     """Producer -> broker lag and event-time lateness per topic and producer-time window.
 
-    ``exact`` uses ``percentile``: its buffer is a value->count map merged
-    map-side, so a group's final task holds one entry per *distinct* lag value
-    (not per row). For lag domains without such a bound use ``exact=False``:
-    ``percentile_approx`` keeps a fixed-size mergeable sketch per group.
+    ``exact``: p50 / p95 by ``exact_quantiles`` (distributed; no group is
+    gathered into one task, so a topic-day holding most rows is fine);
+    otherwise ``percentile_approx`` with a fixed-size mergeable sketch.
     """
+    w = F.window("producer_time", window)
     lagged = events.select(
-        "topic",
-        F.window("producer_time", window).alias("window"),
+        "topic", w.start.alias("window_start"), w.end.alias("window_end"),
         seconds_between("kafka_timestamp", "producer_time").alias("broker_lag"),
         seconds_between("producer_time", "event_time").alias("lateness"))
-
-    def q(c, p):
-        v = F.percentile(c, p) if exact else F.percentile_approx(c, p, 10000)
-        return F.round(v, 3)
-
-    agg = lagged.groupBy("topic", "window").agg(
+    keys = ["topic", "window_start", "window_end"]
+    aggs = [
         F.count(F.lit(1)).alias("events"),
-        q("broker_lag", 0.5).alias("broker_lag_p50"),
-        q("broker_lag", 0.95).alias("broker_lag_p95"),
         F.round(F.max("broker_lag"), 3).alias("broker_lag_max"),
-        q("lateness", 0.5).alias("lateness_p50"),
-        q("lateness", 0.95).alias("lateness_p95"),
         F.round(F.max("lateness"), 3).alias("lateness_max"),
         F.round(F.avg(F.when(F.col("lateness") > late_after_seconds, 1.0).otherwise(0.0)), 4)
-         .alias("late_share"))
-    return agg.select("topic", F.col("window.start").alias("window_start"),
-                      F.col("window.end").alias("window_end"),
-                      *[c for c in agg.columns if c not in ("topic", "window")])
+         .alias("late_share"),
+    ]
+    probs = {"p50": 0.5, "p95": 0.95}
+    if not exact:
+        aggs += [F.round(F.percentile_approx(c, p, 10000), 3).alias(f"{c}_{n}")
+                 for c in ("broker_lag", "lateness") for n, p in probs.items()]
+        out = lagged.groupBy(*keys).agg(*aggs)
+    else:
+        # both measures in one quantile pass: stack them with the measure name as
+        # an extra group key, then fold back to columns
+        stacked = lagged.select(*keys, F.expr(
+            "stack(2, 'broker_lag', broker_lag, 'lateness', lateness) AS (measure, seconds)"))
+        q = exact_quantiles(stacked, [*keys, "measure"], "seconds", probs)
+        folded = q.groupBy(*keys).agg(*[
+            F.round(F.max(F.when(F.col("measure") == c, F.col(n))), 3).alias(f"{c}_{n}")
+            for c in ("broker_lag", "lateness") for n in probs])
+        out = lagged.groupBy(*keys).agg(*aggs).join(folded, keys, "left")
+    return out.select(*keys, "events", "broker_lag_p50", "broker_lag_p95", "broker_lag_max",
+                      "lateness_p50", "lateness_p95", "lateness_max", "late_share")
