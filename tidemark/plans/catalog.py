@@ -113,7 +113,8 @@ def _session_funnel(spark, sf):
 
 
 def _open_carts(spark, sf):
-    return open_carts(Layers(spark, sf).silver(), "1 hour")
+    # silver is read twice (as-of time, carts): stored once
+    return open_carts(Layers(spark, sf).stored_silver(), "1 hour")
 
 
 def _ingest_lag(spark, sf):
