@@ -20,10 +20,11 @@ from ..operators.explore import ingest_lag, open_carts, session_funnel
 from ..operators.merge import conform, merge_upsert
 from ..operators.metrics import order_metrics, user_metrics
 from ..operators.validate import reject_counts
-from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, PAYLOAD_COLS,
-                       USER_METRICS_SCHEMA, USER_METRICS_UPDATE)
+from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, ORDER_TOPIC, PAYLOAD_COLS,
+                       USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
+from ..session import new_run_dir
 from ..sources.tables import read_folder, table_shape
-from .batch import Layers
+from .batch import Layers, only_topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = {"1m": "1 minute", "1h": "1 hour", "1d": "1 day"}
@@ -71,8 +72,6 @@ def _merge(kind: str):
     update_cols = USER_METRICS_UPDATE if kind == "user" else ORDER_METRICS_UPDATE
 
     def q(spark, sf):
-        from ..schemas import ORDER_TOPIC, USER_TOPIC
-        from .batch import only_topic
         lay = Layers(spark, sf)
         silver = only_topic(lay.stored_silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
         t1, t2 = _snapshot_cuts(silver)
@@ -125,7 +124,6 @@ def _ingest_lag(spark, sf):
 
 def _table_shape(spark, sf):
     """Gold tables written to the shared folder and read back as folder tables."""
-    from ..session import new_run_dir
     lay = Layers(spark, sf)
     base = new_run_dir(spark, "gold-export")
     tables = {"user_metrics": lay.user_gold(), "order_metrics": lay.order_gold()}

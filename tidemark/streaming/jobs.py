@@ -20,11 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.decode import decode
 from ..operators.metrics import order_metrics, user_metrics
 from ..plans.batch import to_silver
-from ..schemas import (BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_TOPIC,
-                       PAYLOAD_COLS, SILVER_WATERMARK, TOPICS, USER_TOPIC)
+from ..schemas import (BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_METRICS_SCHEMA,
+                       ORDER_TOPIC, PAYLOAD_COLS, SILVER_WATERMARK, TOPICS,
+                       USER_METRICS_SCHEMA, USER_TOPIC)
 from ..session import SESSION_CONF, ensure_utc, new_run_dir
 from ..sources.kafka import message_file_stream
 from ..sources.tables import read_sink_table, read_table_stream
+from ..sources.testdata import raw_messages
 from .supervise import supervise
 
 PRODUCTION_TRIGGER = {"processingTime": "5 minutes"}
@@ -180,7 +182,6 @@ _RUN_LOCK = threading.Lock()
 
 def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write the adapter's messages as one folder per topic (topic=<name>)."""
-    from ..sources.testdata import raw_messages
     raw_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
 
 
@@ -222,7 +223,6 @@ def run_chain_available_now(spark: SparkSession, sf_dir: str) -> dict[str, DataF
         if paths is None:
             paths = run_chain(spark, sf_dir, new_run_dir(spark, "stream"))
             _RUNS[key] = paths
-    from ..schemas import ORDER_METRICS_SCHEMA, USER_METRICS_SCHEMA
     silver = (read_sink_table(spark, paths["silver_user"], BRONZE_SCHEMA)
               .unionByName(read_sink_table(spark, paths["silver_order"], BRONZE_SCHEMA)))
     return {
