@@ -167,3 +167,13 @@ def test_state_partitions_pinned_at_start(spark, workdir):
     q.awaitTermination()
     assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_dedup_late_rows_with_earlier_late_rule(spark, workdir):
+    """With the pre-multi-operator late-row rule, late1 is dropped one batch earlier."""
+    key = "spark.sql.streaming.statefulOperator.allowMultiple"
+    with confs(spark, **{"spark.sql.shuffle.partitions": "2", key: "false"}):
+        f = Feeder(spark, workdir, "silver", empty_batches=False)
+        counts = [c for c, _ in f.run(LATE)]
+    spark.conf.set(NO_DATA, "true")
+    assert counts == [1, 2, 2, 2, 3]
