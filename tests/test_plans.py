@@ -26,11 +26,12 @@ def test_no_cross_join_no_python(spark, name):
         assert bad not in p, (name, bad)
 
 
-def test_dedup_is_partial_aggregation(spark):
+def test_dedup_keeps_first_arrival_map_side(spark):
     p = plan_of(E.queries()["silver_dedup"](spark, SF_SMALL))
-    assert "partial_min_by" in p and "Window" not in p
-    # partial before the shuffle on the dedup key
-    assert p.index("Exchange hashpartitioning(topic") < p.index("partial_min_by")
+    # plan text is printed top-down: the partial top-1 sits below (before) the shuffle
+    shuffle = p.index("Exchange hashpartitioning(topic")
+    assert "row_number(), 1, Partial" in p[shuffle:]
+    assert "row_number(), 1, Final" in p[:shuffle]
 
 
 def test_metrics_combine_map_side(spark):
