@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--unbounded-dedup", action="store_true")
     p.add_argument("--no-empty-batches", action="store_true")
     p.add_argument("--window", default="1 minute")
+    p.add_argument("--distinct", choices=["approx", "exact"], default="approx",
+                   help="unique users/buyers: HyperLogLog++ or exact (two chained aggregations)")
     p.add_argument("--gold-files", type=int, default=None,
                    help="files per gold micro-batch (independent of the state partitions)")
     p.add_argument("--partition-by-date", action="store_true",
@@ -90,8 +92,8 @@ def main(argv: list[str] | None = None) -> int:
         starters = [lambda t=t: start_gold(
             spark, f"{root}/silver/{t}", f"{root}/gold/{GOLD_OF[t][1]}", f"gold_{GOLD_OF[t][1]}",
             GOLD_OF[t][0], trig, args.format, window=args.window, empty_batches=empty,
-            partition_by_date=args.partition_by_date, output_partitions=args.gold_files)
-            for t in TOPICS]
+            partition_by_date=args.partition_by_date, output_partitions=args.gold_files,
+            distinct=args.distinct) for t in TOPICS]
 
     def report(rows):
         print("[progress] " + " | ".join(f"{k}: {v} rows in last batch" for k, v in rows.items()),

@@ -25,20 +25,6 @@ def safe_rate(num: str | Column, den: str | Column, digits: int) -> Column:
     return F.when(d > 0, F.round(n / d, digits)).otherwise(F.lit(0.0))
 
 
-def count_when(cond: Column) -> Column:
-    """Conditional count as a bigint sum (map-side combinable)."""
-    return F.sum(F.when(cond, 1).otherwise(0))
-
-
-def distinct_count(c: str, mode: str = "approx", rsd: float = 0.05) -> Column:
-    """Distinct count: HyperLogLog++ (bounded state) or exact."""
-    if mode == "approx":
-        return F.approx_count_distinct(c, rsd)
-    if mode == "exact":
-        return F.count_distinct(F.col(c))
-    raise ValueError(f"distinct must be 'approx' or 'exact', got {mode!r}")
-
-
 def seconds_between(later: str | Column, earlier: str | Column) -> Column:
     """(later - earlier) in seconds as double, microsecond exact."""
     a = F.col(later) if isinstance(later, str) else later

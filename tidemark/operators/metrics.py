@@ -3,6 +3,12 @@
 Both functions work on batch and streaming input (apply the watermark first
 for streams). Aggregates are partial-then-final (map-side combine), so a hot
 product costs one partial row per map task before the shuffle.
+
+Distinct users: ``approx`` (the reference's HyperLogLog++, fixed-size state
+per group) or ``exact``: a two-level aggregation, first per (keys, window,
+user), then per (keys, window) counting users. That is the plan Spark uses
+for ``count(DISTINCT)`` in batch, and unlike it also runs on streams (two
+chained windowed aggregations in append mode).
 """
 
 from __future__ import annotations
@@ -10,20 +16,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_when, distinct_count, safe_rate
+from ..functions.columns import safe_rate
 from ..schemas import GOLD_WINDOW
 
 GROUP_COLS = ("product_id", "product_name", "category")
 
 
-def _windowed(df: DataFrame, window: str):
-    return df.groupBy(*GROUP_COLS, F.window("event_time", window).alias("window"))
-
-
 def _window_bounds():
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
+def _aggregate(df: DataFrame, window: str, distinct: str, sums: dict, count_name: str | None,
+               rounded: dict, users_name: str) -> DataFrame:
+    """sums: name -> per-row column summed; count_name: row count; rounded: name ->
+    (summed column, digits), rounded after the final sum; users_name: distinct users."""
+    w = F.window("event_time", window).alias("window")
+    if distinct == "approx":
+        aggs = [F.sum(c).alias(n) for n, c in sums.items()]
+        if count_name:
+            aggs.append(F.count(F.lit(1)).alias(count_name))
+        aggs += [F.round(F.sum(c), d).alias(n) for n, (c, d) in rounded.items()]
+        aggs.append(F.approx_count_distinct("user_id", 0.05).alias(users_name))
+        return df.groupBy(*GROUP_COLS, w).agg(*aggs)
+    if distinct != "exact":
+        raise ValueError(f"distinct must be 'approx' or 'exact', got {distinct!r}")
+    inner = [F.sum(c).alias(f"_{n}") for n, c in sums.items()]
+    if count_name:
+        inner.append(F.count(F.lit(1)).alias(f"_{count_name}"))
+    inner += [F.sum(c).alias(f"_{n}") for n, (c, _) in rounded.items()]
+    per_user = df.groupBy(*GROUP_COLS, w, "user_id").agg(*inner)
+    outer = [F.sum(f"_{n}").alias(n) for n in sums]
+    if count_name:
+        outer.append(F.sum(f"_{count_name}").alias(count_name))
+    outer += [F.round(F.sum(f"_{n}"), d).alias(n) for n, (_, d) in rounded.items()]
+    outer.append(F.count("user_id").alias(users_name))       # null users are not counted
+    return per_user.groupBy(*GROUP_COLS, "window").agg(*outer)
+
+
 def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx") -> DataFrame:
     """Views, clicks, cart adds, unique users and rates per product and window.
 
@@ -31,15 +60,17 @@ def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "appr
     zero-count row (no event_type filter, as in the reference).
     """
     et = F.col("event_type")
-    agg = _windowed(df, window).agg(
-        count_when(et == "view").alias("view_count"),
-        count_when(et == "click").alias("click_count"),
-        count_when(et == "add_to_cart").alias("add_to_cart_count"),
-        distinct_count("user_id", distinct).alias("unique_users"),
-    )
+    flag = lambda t: F.when(et == t, 1).otherwise(0)
+    agg = _aggregate(df, window, distinct,
+                     {"view_count": flag("view"), "click_count": flag("click"),
+                      "add_to_cart_count": flag("add_to_cart")},
+                     None, {}, "unique_users")
     return agg.select(
         *GROUP_COLS, *_window_bounds(),
-        "view_count", "click_count", "add_to_cart_count", "unique_users",
+        F.col("view_count").cast("bigint").alias("view_count"),
+        F.col("click_count").cast("bigint").alias("click_count"),
+        F.col("add_to_cart_count").cast("bigint").alias("add_to_cart_count"),
+        "unique_users",
         safe_rate("click_count", "view_count", 4).alias("click_through_rate"),
         safe_rate("add_to_cart_count", "view_count", 4).alias("add_to_cart_rate"),
     )
@@ -51,14 +82,12 @@ def order_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "app
     Every input row counts as a purchase (routing decides what arrives here);
     the average divides the already rounded revenue.
     """
-    agg = _windowed(df, window).agg(
-        F.count(F.lit(1)).alias("purchase_count"),
-        F.round(F.sum("price"), 2).alias("total_revenue_usd"),
-        distinct_count("user_id", distinct).alias("unique_buyers"),
-    )
+    agg = _aggregate(df, window, distinct, {}, "purchase_count",
+                     {"total_revenue_usd": (F.col("price"), 2)}, "unique_buyers")
     return agg.select(
         *GROUP_COLS, *_window_bounds(),
-        "purchase_count", "total_revenue_usd",
+        F.col("purchase_count").cast("bigint").alias("purchase_count"),
+        "total_revenue_usd",
         safe_rate("total_revenue_usd", "purchase_count", 2).alias("avg_order_value"),
         "unique_buyers",
     )
