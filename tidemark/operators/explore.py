@@ -1,7 +1,8 @@
 """Analyses over silver events that the reference's simulator describes.
 
-All are two-level aggregations (partial/final), so a hot session, user,
-category or topic never has its raw rows gathered into one task.
+Aggregations are partial-then-final, the cart sizes are joined back rather
+than windowed, and the lag quantiles are computed by range pieces, so a hot
+session, user, category or topic never has its raw rows gathered into one task.
 """
 
 from __future__ import annotations
