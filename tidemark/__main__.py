@@ -1,6 +1,7 @@
 """Command-line entry points, one per job:
 
     python -m tidemark bronze --root /shared/lake --bootstrap kafka:9092
+    python -m tidemark bronze --root /shared/lake --messages /shared/archive   # replay files
     python -m tidemark silver --root /shared/lake
     python -m tidemark gold   --root /shared/lake
     python -m tidemark export --root /shared/lake            # merge gold into keyed tables
@@ -32,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("job", choices=["bronze", "silver", "gold", "export"])
     p.add_argument("--root", required=True, help="shared folder holding all tables")
     p.add_argument("--bootstrap", default="kafka:9092")
+    p.add_argument("--messages", default=None,
+                   help="bronze from staged message files (<dir>/topic=<name>/) instead of Kafka")
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--trigger", default="5 minutes")
@@ -73,15 +76,18 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(out, default=str))
         return 0
 
-    from .sources.kafka import kafka_stream
+    from .sources.kafka import kafka_stream, message_file_stream
     from .streaming.jobs import start_bronze, start_gold, start_many, start_silver
     from .streaming.supervise import supervise
     trig = _trigger(args)
     if args.job == "bronze":
+        def source(t):
+            if args.messages:
+                return message_file_stream(spark, f"{args.messages.rstrip('/')}/topic={t}", t)
+            return kafka_stream(spark, t, args.bootstrap, args.starting_offsets,
+                                max_offsets_per_trigger=args.max_offsets_per_trigger)
         starters = [lambda t=t: start_bronze(
-            spark, kafka_stream(spark, t, args.bootstrap, args.starting_offsets,
-                                max_offsets_per_trigger=args.max_offsets_per_trigger),
-            f"{root}/bronze/{t}", f"bronze_{t}", trig, args.format, empty,
+            spark, source(t), f"{root}/bronze/{t}", f"bronze_{t}", trig, args.format, empty,
             partition_by_date=args.partition_by_date) for t in TOPICS]
     elif args.job == "silver":
         starters = [lambda t=t: start_silver(
