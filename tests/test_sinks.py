@@ -65,3 +65,25 @@ def test_retry_backoff_then_raise():
     assert waits == [5, 10]
     with pytest.raises(RuntimeError):
         with_retry(lambda: (_ for _ in ()).throw(RuntimeError("x")), attempts=2, delay=1, sleep=waits.append)
+
+
+def test_retain_compacts_log_and_drops_old_versions(spark, workdir):
+    import glob
+    import os
+
+    from tidemark.streaming.sinks import retain
+    path = f"{workdir}/t"
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, delay=0)
+    gold = _gold(spark)
+    for b in range(4):
+        sink(gold, b)
+    before = sorted(tuple(r) for r in read_versioned(spark, path, USER_METRICS_SCHEMA).collect())
+    assert len(glob.glob(f"{path}/_log/part-*")) == 4
+    rep = retain(spark, path, keep=2)
+    assert rep["versions_removed"] == [0, 1] and rep["log_files_removed"] == 4
+    assert len(glob.glob(f"{path}/_log/part-*")) == 1
+    assert not os.path.exists(f"{path}/v=0") and os.path.exists(f"{path}/v=2")
+    assert current_version(spark, path) == 3
+    assert sorted(tuple(r) for r in read_versioned(spark, path, USER_METRICS_SCHEMA).collect()) == before
+    sink(gold, 4)                                   # commits continue after compaction
+    assert current_version(spark, path) == 4

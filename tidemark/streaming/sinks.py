@@ -175,3 +175,43 @@ def export_table(spark: SparkSession, gold_path: str, target_path: str, schema:
                                                    update_cols, nxt),
                       attempts=attempts, delay=delay)
 
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem of ``path`` (works for HDFS, object stores, local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
+    """Housekeeping of a versioned table: compact the commit log and drop old versions.
+
+    Log: the current entries are rewritten as one file next to the old ones, then
+    the old files are removed; readers see the latest version throughout
+    (entries are only ever duplicated, never missing). Versions: folders of all
+    but the newest ``keep`` logged versions are removed; a reader still scanning
+    a removed version fails, so ``keep`` must cover the longest read.
+    """
+    if keep < 1:
+        raise ValueError("keep must be >= 1")
+    fs, log_dir = _fs(spark, f"{path}/_log")
+    if not fs.exists(log_dir):
+        return {"versions_removed": [], "log_files_removed": 0}
+    old_files = [st.getPath() for st in fs.listStatus(log_dir)
+                 if st.getPath().getName().startswith("part-")]
+    entries = _log(spark, path).dropDuplicates(["version"])
+    versions = sorted(int(r.version) for r in entries.select("version").collect())
+    if len(old_files) > 1:
+        # ``entries`` listed its files when it was created, so it reads only the
+        # old ones; they are removed after the compacted file is committed
+        entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
+        for f in old_files:
+            fs.delete(f, False)
+    removed = []
+    for v in versions[:-keep]:
+        vfs, vdir = _fs(spark, f"{path}/v={v}")
+        if vfs.exists(vdir):
+            vfs.delete(vdir, True)
+            removed.append(v)
+    return {"versions_removed": removed, "log_files_removed": len(old_files) if len(old_files) > 1 else 0}
