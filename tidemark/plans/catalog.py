@@ -22,7 +22,7 @@ from ..operators.metrics import order_metrics, user_metrics
 from ..operators.validate import reject_counts
 from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, ORDER_TOPIC, PAYLOAD_COLS,
                        USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
-from ..session import new_run_dir
+from ..session import ensure_utc, new_run_dir
 from ..sources.tables import read_folder, table_shape
 from .batch import Layers, only_topic
 
@@ -144,6 +144,7 @@ def _stream(name: str):
 
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)            # the NTZ presentation below reads the session zone
         return to_ntz(fn(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
