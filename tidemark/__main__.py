@@ -5,6 +5,7 @@
     python -m tidemark silver --root /shared/lake
     python -m tidemark gold   --root /shared/lake
     python -m tidemark export --root /shared/lake            # merge gold into keyed tables
+    python -m tidemark explain --query user_metrics_1h --sf-dir /root/testdata/sf0.1
 
 Table folders under ``--root``: ``bronze/<topic>``, ``silver/<topic>``,
 ``gold/user_metrics``, ``gold/order_metrics``, ``export/<table>``. Each
@@ -30,8 +31,11 @@ def _trigger(args) -> dict:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
-    p.add_argument("job", choices=["bronze", "silver", "gold", "export"])
-    p.add_argument("--root", required=True, help="shared folder holding all tables")
+    p.add_argument("job", choices=["bronze", "silver", "gold", "export", "explain"])
+    p.add_argument("--root", help="shared folder holding all tables")
+    p.add_argument("--query", help="explain: a registered query name")
+    p.add_argument("--sf-dir", default="/root/testdata/sf0.01", help="explain: test-data folder")
+    p.add_argument("--mode", default="formatted", help="explain: simple, extended, formatted, cost")
     p.add_argument("--bootstrap", default="kafka:9092")
     p.add_argument("--messages", default=None,
                    help="bronze from staged message files (<dir>/topic=<name>/) instead of Kafka")
@@ -63,6 +67,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     spark = b.getOrCreate()
+    if args.job == "explain":
+        from .plans.catalog import registry
+        registry()[args.query](spark, args.sf_dir).explain(args.mode)
+        return 0
+    if not args.root:
+        p.error("--root is required")
     root = args.root.rstrip("/")
     empty = False if args.no_empty_batches else None
 
