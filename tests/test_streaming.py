@@ -177,3 +177,22 @@ def test_dedup_late_rows_with_earlier_late_rule(spark, workdir):
         counts = [c for c, _ in f.run(LATE)]
     spark.conf.set(NO_DATA, "true")
     assert counts == [1, 2, 2, 2, 3]
+
+
+def test_rate_limit_splits_into_batches(spark, workdir):
+    """S4 on the file source: at most one file per micro-batch."""
+    from tidemark.streaming.supervise import ProgressLog, wait_for_listener
+    for i in range(3):
+        decode(messages_df(spark, [ev(f"r{i}", i)], start_offset=10 * i)).coalesce(1) \
+            .write.mode("append").parquet(f"{workdir}/in")
+    log = ProgressLog().attach(spark)
+    try:
+        q = start_silver(spark, f"{workdir}/in", f"{workdir}/out", "rate_limited",
+                         {"availableNow": True}, max_files_per_trigger=1)
+        q.awaitTermination()
+        wait_for_listener(log, "rate_limited", 3)
+        data_batches = [r for r in log.rows("rate_limited") if r["num_input_rows"] > 0]
+        assert [r["num_input_rows"] for r in data_batches] == [1, 1, 1]
+    finally:
+        log.detach(spark)
+    assert read_sink_table(spark, f"{workdir}/out", BRONZE_SCHEMA).count() == 3
