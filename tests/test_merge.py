@@ -1,7 +1,6 @@
 """Keyed upsert with ON CONFLICT semantics and export conformance (FIXTURES §4)."""
 
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import conform, merge_upsert
@@ -84,4 +83,3 @@ def test_merge_plan_collapses_updates_before_join(spark):
     plan = buf.getvalue()
     assert "partial_max_by" in plan and "partial_min_by" in plan
     assert "Window" not in plan
-    assert F is not None
