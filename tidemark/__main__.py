@@ -45,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--format", default="parquet", help="table format: parquet or delta")
     p.add_argument("--unbounded-dedup", action="store_true")
+    p.add_argument("--precombine-copies", action="store_true",
+                   help="silver: drop repeated copies per input partition before the dedup shuffle")
     p.add_argument("--no-empty-batches", action="store_true")
     p.add_argument("--window", default="1 minute")
     p.add_argument("--distinct", choices=["approx", "exact"], default="approx",
@@ -103,7 +105,8 @@ def main(argv: list[str] | None = None) -> int:
         starters = [lambda t=t: start_silver(
             spark, f"{root}/bronze/{t}", f"{root}/silver/{t}", f"silver_{t}", trig, args.format,
             unbounded=args.unbounded_dedup, empty_batches=empty,
-            partition_by_date=args.partition_by_date) for t in TOPICS]
+            partition_by_date=args.partition_by_date,
+            precombine_copies=args.precombine_copies) for t in TOPICS]
     else:
         starters = [lambda t=t: start_gold(
             spark, f"{root}/silver/{t}", f"{root}/gold/{GOLD_OF[t][1]}", f"gold_{GOLD_OF[t][1]}",

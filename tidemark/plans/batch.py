@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.decode import decode
-from ..operators.dedup import dedup
+from ..operators.dedup import dedup, precombine
 from ..operators.metrics import order_metrics, user_metrics
 from ..operators.validate import validate
 from ..schemas import GOLD_WATERMARK, ORDER_TOPIC, SILVER_WATERMARK, USER_TOPIC
@@ -23,9 +23,17 @@ ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
 
 
 def to_silver(bronze: DataFrame, delay: str = SILVER_WATERMARK, unbounded: bool = False,
-              keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Watermark -> validate -> dedup. Batch: first arrival wins."""
-    df = validate(bronze.withWatermark("event_time", delay))
+              keys: tuple[str, ...] = ("event_id",), precombine_copies: bool = False) -> DataFrame:
+    """Watermark -> validate -> dedup. Batch: first arrival wins.
+
+    ``precombine_copies`` (streams): drop repeated copies inside each input
+    partition before the dedup shuffle (see ``operators.dedup.precombine``);
+    it runs after validation so an invalid copy never shadows a valid one.
+    """
+    if precombine_copies and bronze.isStreaming:
+        df = precombine(validate(bronze), keys).withWatermark("event_time", delay)
+    else:
+        df = validate(bronze.withWatermark("event_time", delay))
     return dedup(df, keys, order_by=None if df.isStreaming else ARRIVAL_ORDER,
                  unbounded=unbounded)
 

@@ -107,7 +107,8 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  empty_batches: bool | None = None,
                  max_files_per_trigger: int | None = None,
                  partition_by_date: bool = False,
-                 state_partitions: int | None = None) -> StreamingQuery:
+                 state_partitions: int | None = None,
+                 precombine_copies: bool = False) -> StreamingQuery:
     """Bronze table -> silver table: watermark, validation, dedup on event_id.
 
     ``partition_by_date``: input and output are partitioned by ``event_date``.
@@ -117,8 +118,8 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger)
     with _state_width(spark, state_partitions):
-        return _sink(to_silver(src, delay, unbounded), out_path, name, trigger, fmt,
-                     "event_date" if partition_by_date else None)
+        return _sink(to_silver(src, delay, unbounded, precombine_copies=precombine_copies),
+                     out_path, name, trigger, fmt, "event_date" if partition_by_date else None)
 
 
 def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
