@@ -21,25 +21,31 @@ from pyspark.sql import types as T
 from ..functions.columns import lenient_timestamp
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    keys, update_cols = list(keys), list(update_cols)
-    cols = target.columns
-    insert_only = [c for c in cols if c not in keys and c not in update_cols]
-    # total order: caller's columns, then every remaining column as tie-break
+def collapse_updates(updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+                     insert_only: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key, as row-by-row ``ON CONFLICT`` application would leave it
+    (M1c): update columns from the key's last row, insert-only columns from its
+    first, in ``order_by`` order (then every other column as tie-break). Rows
+    with a null key are dropped. Returns keys + struct columns ``_last`` and
+    ``_first``; one aggregation, map-side combinable."""
+    keys = list(keys)
     order = list(order_by) + [c for c in updates.columns if c not in order_by and c not in keys]
     order_key = F.struct(*order)
     not_null_keys = F.lit(True)
     for k in keys:
         not_null_keys = not_null_keys & F.col(k).isNotNull()
+    return (updates.where(not_null_keys).groupBy(*keys)
+            .agg(F.max_by(F.struct(*update_cols), order_key).alias("_last"),
+                 F.min_by(F.struct(*insert_only), order_key).alias("_first")))
+
 
-    collapsed = (
-        updates.where(not_null_keys)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*update_cols), order_key).alias("_last"),
-             F.min_by(F.struct(*insert_only), order_key).alias("_first"))
+def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+                 update_cols: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    keys, update_cols = list(keys), list(update_cols)
+    cols = target.columns
+    insert_only = [c for c in cols if c not in keys and c not in update_cols]
+    collapsed = collapse_updates(updates, keys, update_cols, insert_only, order_by) \
         .withColumn("_u", F.lit(True))
-    )
     t = target.withColumn("_t", F.lit(True))
     j = t.join(collapsed, keys, "full_outer")
     out = []

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import conform, merge_upsert
+from ..operators.merge import collapse_updates, conform, merge_upsert
 
 LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                            T.StructField("row_count", T.LongType())])
@@ -120,12 +120,9 @@ def delta_merge(spark: SparkSession, path: str, updates: DataFrame, keys: Sequen
     from delta.tables import DeltaTable  # noqa: PLC0415 - optional dependency
     cols = updates.columns
     insert_only = [c for c in cols if c not in keys and c not in update_cols]
-    order_key = F.struct(*order_by)
-    collapsed = (updates.groupBy(*keys)
-                 .agg(F.max_by(F.struct(*update_cols), order_key).alias("_l"),
-                      F.min_by(F.struct(*insert_only), order_key).alias("_f"))
-                 .select(*keys, *[F.col(f"_l.{c}").alias(c) for c in update_cols],
-                         *[F.col(f"_f.{c}").alias(c) for c in insert_only]))
+    collapsed = collapse_updates(updates, keys, update_cols, insert_only, order_by).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in update_cols],
+        *[F.col(f"_first.{c}").alias(c) for c in insert_only])
     cond = " AND ".join(f"t.{k} = u.{k}" for k in keys)
     (DeltaTable.forPath(spark, path).alias("t").merge(collapsed.alias("u"), cond)
      .whenMatchedUpdate(set={c: f"u.{c}" for c in update_cols})
