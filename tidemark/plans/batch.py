@@ -16,7 +16,7 @@ from ..operators.dedup import dedup, precombine
 from ..operators.metrics import order_metrics, user_metrics
 from ..operators.validate import validate
 from ..schemas import GOLD_WATERMARK, ORDER_TOPIC, SILVER_WATERMARK, USER_TOPIC
-from ..session import ensure_utc
+from ..session import ensure_utc, new_run_dir
 from ..sources.testdata import raw_messages
 
 ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
@@ -64,18 +64,20 @@ class Layers:
         # per-topic dedup, with a single shuffle
         return to_silver(self.bronze(parse_once=True), keys=("topic", "event_id"))
 
-    def stored_silver(self) -> DataFrame:
-        """Silver written once to the shared folder and read back.
+    def stored(self, df: DataFrame, label: str = "silver") -> DataFrame:
+        """``df`` written once to the shared folder and read back.
 
-        For plans that use silver several times: each use scans columnar
+        For plans that use a layer several times: each use scans columnar
         parquet (pruned, filters pushed) instead of re-decoding the messages,
         and the lineage is cut, so a lost executor recomputes from the table.
         """
-        from ..schemas import BRONZE_SCHEMA
-        from ..session import new_run_dir
-        path = new_run_dir(self.spark, "silver")
-        self.silver().write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(BRONZE_SCHEMA).parquet(path)
+        path = new_run_dir(self.spark, label)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def stored_silver(self, topic: str | None = None) -> DataFrame:
+        """Silver (of one topic, or both) stored once; see ``stored``."""
+        return self.stored(self.silver() if topic is None else only_topic(self.silver(), topic))
 
     def silver_user(self) -> DataFrame:
         return only_topic(self.silver(), USER_TOPIC)

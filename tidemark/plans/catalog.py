@@ -24,7 +24,7 @@ from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, ORDER_TOPI
                        USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
 from ..session import ensure_utc, new_run_dir
 from ..sources.tables import read_folder, table_shape
-from .batch import Layers, only_topic
+from .batch import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = {"1m": "1 minute", "1h": "1 hour", "1d": "1 day"}
@@ -73,7 +73,7 @@ def _merge(kind: str):
 
     def q(spark, sf):
         lay = Layers(spark, sf)
-        silver = only_topic(lay.stored_silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
+        silver = lay.stored_silver(USER_TOPIC if kind == "user" else ORDER_TOPIC)
         t1, t2 = _snapshot_cuts(silver)
         target = gold(silver.where(F.col("kafka_timestamp") < t1), "1 hour", "exact")
         upd1 = gold(silver.where(F.col("kafka_timestamp") < t2), "1 hour", "exact")
