@@ -14,6 +14,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast only from measured sizes: no static broadcast from file-size
+    # estimates (compressed bytes are not a bound); AQE converts a join once the
+    # actual shuffle size of a side is known to be small
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # upload only the changed state per micro-batch instead of full snapshots
