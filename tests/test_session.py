@@ -1,0 +1,44 @@
+"""Shared working folder rules."""
+
+import pytest
+
+from tidemark.session import shared_dir
+
+
+class _Ctx:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def getConf(self):
+        return {}
+
+    def setCheckpointDir(self, d):
+        self._ckpt = d
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Spark:
+    def __init__(self, master, ckpt=None):
+        self.sparkContext, self.conf = _Ctx(master, ckpt), _Conf()
+
+
+def test_cluster_without_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Spark("spark://master:7077"))
+
+
+def test_configured_folder_is_used_as_is():
+    assert shared_dir(_Spark("yarn", "hdfs://nn/ckpt/app-1")) == "hdfs://nn/ckpt/app-1"
+
+
+def test_local_session_gets_a_folder():
+    s = _Spark("local[2]")
+    d = shared_dir(s)
+    assert d and s.sparkContext.getCheckpointDir() == d

@@ -154,14 +154,16 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
                       trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                       window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
                       empty_batches: bool | None = None,
-                      state_partitions: int | None = None) -> StreamingQuery:
+                      state_partitions: int | None = None,
+                      distinct: str = "approx") -> StreamingQuery:
     """Bronze table -> gold table in one query: validation, bounded dedup and the
     windowed aggregate share one watermark (``delay``), so no silver table and
     no second checkpoint are needed."""
     _prepare(spark, empty_batches)
     src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
     silver = to_silver(src, delay)
-    gold = user_metrics(silver, window) if kind == "user" else order_metrics(silver, window)
+    gold = (user_metrics(silver, window, distinct) if kind == "user"
+            else order_metrics(silver, window, distinct))
     with _state_width(spark, state_partitions):
         return _sink(gold, out_path, name, trigger, fmt)
 
