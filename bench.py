@@ -48,23 +48,29 @@ def main() -> None:
         q[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    timings = {}
-    for name in HEADLINE:
-        run(name)  # warm-up
-        timings[name] = round(statistics.median(run(name) for _ in range(repeats)), 3)
-
     def chain():
         t = time.perf_counter()
         run_chain(spark, sf_dir, new_run_dir(spark, "bench-stream"))
         return time.perf_counter() - t
-    chain()
-    timings["stream_chain"] = round(statistics.median(chain() for _ in range(repeats)), 3)
+
+    timings, errors = {}, {}
+    for name, fn in [*((n, lambda n=n: run(n)) for n in HEADLINE), ("stream_chain", chain)]:
+        try:
+            fn()  # warm-up
+            timings[name] = round(statistics.median(fn() for _ in range(repeats)), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            timings[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
-        "metric": "sum_of_query_medians", "value": round(sum(timings.values()), 3), "unit": "sec",
+    out = {
+        "metric": "sum_of_query_medians",
+        "value": round(sum(v for v in timings.values() if v is not None), 3), "unit": "sec",
         "queries": timings, "sf": float(m.group(1)) if m else None, "cpus": cpus,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
