@@ -16,7 +16,7 @@ from ..operators.dedup import dedup, precombine
 from ..operators.metrics import order_metrics, user_metrics
 from ..operators.validate import validate
 from ..schemas import GOLD_WATERMARK, ORDER_TOPIC, SILVER_WATERMARK, USER_TOPIC
-from ..session import ensure_utc, new_run_dir
+from ..session import ensure_utc, stored
 from ..sources.testdata import raw_messages
 
 ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
@@ -71,9 +71,7 @@ class Layers:
         parquet (pruned, filters pushed) instead of re-decoding the messages,
         and the lineage is cut, so a lost executor recomputes from the table.
         """
-        path = new_run_dir(self.spark, label)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(self.spark, df, label)
 
     def stored_silver(self, topic: str | None = None) -> DataFrame:
         """Silver (of one topic, or both) stored once; see ``stored``."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC event time, adaptive execution with skew
 # splitting and partition coalescing, RocksDB state for streaming operators.
@@ -71,3 +71,28 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     base = shared_dir(spark)
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the application delete ``path`` (a written run folder) when it ends.
+
+    Intermediate tables are only of use to the application that wrote them; the
+    file system they live on removes them when the driver's JVM shuts down.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).deleteOnExit(target)
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Cuts lineage without ``localCheckpoint``: a lost executor makes Spark read
+    the table again instead of recomputing what led to it. The folder goes when
+    the application ends.
+    """
+    path = new_run_dir(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
