@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, simhash
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_simhash": simhash.op3_simhash,
     }
 
 
