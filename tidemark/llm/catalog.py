@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, simhash, toxicity
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_simhash": simhash.op3_simhash,
+        "op5_toxicity": toxicity.op5_toxicity,
     }
 
 
