@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash, toxicity
+from . import exact_dedup, packing, simhash, toxicity
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_simhash": simhash.op3_simhash,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_packing": packing.op6_packing,
     }
 
 
