@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, simhash, toxicity
+from . import exact_dedup, packing, secret_scan, simhash, toxicity
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": simhash.op3_simhash,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_packing": packing.op6_packing,
+        "op8_secret_scan": secret_scan.op8_secret_scan,
     }
 
 
