@@ -25,6 +25,7 @@ often as they appear. Empty tables give no rows. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,22 +42,27 @@ TOKENIZER = "word_bpe_49k.json"
 #: steps of the multiplicative-weights solver, its learning rate and step size
 STEPS, RATE, STEP = 400, 4.0, 0.5
 #: words (and word parts) whose ids a worker remembers, and the longest word it remembers
-REMEMBER, LONGEST = 300_000, 40
+REMEMBER, LONGEST = 600_000, 40
 
 
 class WordIds(dict):
     """White-space separated word -> its ids as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins ids across it, so the ids of a
-    text are those of its words in order. Parts (letter runs and so on, after
-    normalising) are remembered as well, since words differ mostly in punctuation.
+    text are those of its words in order. Parts (letter runs and so on) are remembered as
+    well, since words differ mostly in punctuation; merging a part alone costs a fraction
+    of a call to the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
+        # the tokenizer's own steps: normalise, split into parts, merge a part
+        self.normal = self.whole.normalizer.normalize_str
+        self.split = self.whole.pre_tokenizer.pre_tokenize_str
+        self.merge = self.whole.model.tokenize
+        self.parts: dict[str, bytes] = {"": b""}
 
     def __missing__(self, word: str) -> bytes:
         ids = self._ids(word)
@@ -69,16 +75,21 @@ class WordIds(dict):
     def _ids(self, word: str) -> bytes:
         if "<|" in word or len(word) > LONGEST:  # special tokens and odd words: as they are
             return self._encode(word)
-        normal = self.whole.normalizer.normalize_str(word)
-        out = []
-        for part in _PARTS.findall(normal):
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) >= REMEMBER:
-                    self.parts.clear()
-                ids = self.parts[part] = self._encode(part)
-            out.append(ids)
-        return b"".join(out)
+        core = word.rstrip(_MARKS)
+        if core.isalpha():  # letters, then marks: two parts at most
+            core = core.lower() if core.isascii() else self.normal(core)
+            if core.isalpha():
+                return self._part(core) + self._part(word[len(word.rstrip(_MARKS)):])
+        return b"".join(self._part(part) for part in _PARTS.findall(self.normal(word)))
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= REMEMBER:
+                self.parts = {"": b""}
+            as_bytes = part if part.isascii() and part.isprintable() else "".join(x for x, _ in self.split(part))
+            ids = self.parts[part] = array("I", [t.id for t in self.merge(as_bytes)]).tobytes()
+        return ids
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -86,6 +97,8 @@ class WordIds(dict):
 
 #: fixed values: the splitting pattern of the tokenizer file, on normalised text
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: marks that often end a word; they make one part of their own
+_MARKS = ".,;:!?"
 
 
 def _words(text: str) -> list[str]:
