@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, secret_scan, simhash, toxicity
+from . import embedding_join, exact_dedup, packing, secret_scan, simhash, toxicity
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_simhash": simhash.op3_simhash,
+        "op4_embedding_join": embedding_join.op4_embedding_join,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_packing": packing.op6_packing,
         "op8_secret_scan": secret_scan.op8_secret_scan,
