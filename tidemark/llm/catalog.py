@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_join, exact_dedup, packing, secret_scan, simhash, toxicity
+from . import (
+    chat_format,
+    embedding_join,
+    exact_dedup,
+    html_text,
+    packing,
+    secret_scan,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,7 +26,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_embedding_join": embedding_join.op4_embedding_join,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_packing": packing.op6_packing,
+        "op7_url_filter": url_filter.op7_url_filter,
         "op8_secret_scan": secret_scan.op8_secret_scan,
+        "op9_chat_format": chat_format.op9_chat_format,
+        "op10_html_text": html_text.op10_html_text,
     }
 
 
@@ -24,4 +37,5 @@ def oracles() -> dict[str, str]:
     """DuckDB SQL where SQL can express the operator; the others are tested by brute force."""
     return {
         "op2_exact_dedup": exact_dedup.ORACLE,
+        "op9_chat_format": chat_format.ORACLE,
     }
