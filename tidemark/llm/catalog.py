@@ -13,6 +13,7 @@ from . import (
     html_text,
     packing,
     secret_scan,
+    sentencepiece_codec,
     simhash,
     toxicity,
     url_filter,
@@ -21,6 +22,7 @@ from . import (
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_simhash": simhash.op3_simhash,
         "op4_embedding_join": embedding_join.op4_embedding_join,

@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +66,7 @@ class WordIds(dict):
         self.parts: dict[str, bytes] = {"": b""}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._ids(word)
+        ids = self._ids(word) if word else b""
         if len(word) <= LONGEST:
             if len(self) >= REMEMBER:
                 self.clear()
@@ -106,10 +107,15 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """A worker keeps the words it has met from task to task."""
+    return WordIds(path)
+
+
 def _pieces(path: str, sequence: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
-        words[""] = b""
+        words = _word_ids(path)
         end = np.array([end_id], "<u4").tobytes()
         task = TaskContext.get().partitionId()
         ranks = np.zeros(sequence + 1, np.int64)
