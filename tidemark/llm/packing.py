@@ -27,7 +27,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: steps of the multiplicative-weights solver, its learning rate and step size
 STEPS, RATE, STEP = 400, 4.0, 0.5
 #: words (and word parts) whose ids a worker remembers, and the longest word it remembers
-REMEMBER, LONGEST = 600_000, 40
+REMEMBER, LONGEST = 400_000, 40
 
 
 class WordIds(dict):
@@ -107,15 +106,9 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
-@lru_cache(maxsize=1)
-def _word_ids(path: str) -> WordIds:
-    """A worker keeps the words it has met from task to task."""
-    return WordIds(path)
-
-
 def _pieces(path: str, sequence: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(path)
+        words = WordIds(path)
         end = np.array([end_id], "<u4").tobytes()
         task = TaskContext.get().partitionId()
         ranks = np.zeros(sequence + 1, np.int64)

@@ -52,7 +52,9 @@ STRONG, LIFT = 25.0, 8.0
 KNOWN, MOST_FEATURES = 10.0, 20_000
 STEPS = 60
 #: words a worker remembers
-REMEMBER = 400_000
+REMEMBER = 300_000
+#: characters scored at a time
+AT_ONCE = 1_500_000
 #: score from which a document counts as toxic
 REJECT = 0.7
 
@@ -332,20 +334,35 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
 
 
+def _groups(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch, about ``AT_ONCE`` characters at a time, so that memory stays bounded."""
+    texts, size = [], 0
+    for value in column:
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= AT_ONCE:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
 def _scorer(model: Model, text_at: int, spans: bool, schema: pa.Schema | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.known)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            chains = [list(map(lexicon.__getitem__, _WORD.findall(t))) for t in texts]
-            scores, p = score_chains(model, lexicon, chains)
-            columns = [*batch.columns, pa.array(scores)]
+            scores, tagged = [np.empty(0)], []
+            for texts in _groups(batch.column(text_at)):
+                chains = [list(map(lexicon.__getitem__, _WORD.findall(t))) for t in texts]
+                score, p = score_chains(model, lexicon, chains)
+                scores.append(score)
+                if spans:
+                    ends = np.cumsum([len(c) for c in chains]).tolist()
+                    tagged += [_spans(t, p[e - len(c):e]) for t, c, e in zip(texts, chains, ends, strict=True)]
+            columns = [*batch.columns, pa.array(np.concatenate(scores))]
             if spans:
-                ends = np.cumsum([len(c) for c in chains])
-                columns.append(pa.array([_spans(t, p[e - len(c):e]) for t, c, e in
-                                         zip(texts, chains, ends.tolist(), strict=True)],
-                                        pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
-                                                            ("p", pa.float64())]))))
+                columns.append(pa.array(tagged, pa.list_(pa.struct([
+                    ("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))))
             names = [*batch.schema.names, *(f"added{k}" for k in range(len(columns) - batch.num_columns))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
