@@ -41,7 +41,7 @@ from .common import table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: words and neighbouring pieces a worker remembers; longer words are not remembered
-REMEMBER, LONGEST = 300_000, 48
+WORDS, REMEMBER, LONGEST = 800_000, 300_000, 48
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -207,8 +207,8 @@ class Codec:
             if ids is None:
                 ids = self._word(word)
                 if len(word) <= LONGEST:
-                    if len(self.words) >= REMEMBER:
-                        self.words.clear()
+                    if len(self.words) >= WORDS:
+                        self.words = {"": b""}
                     self.words[word] = ids
             out.append(ids)
         return b"".join(out)
