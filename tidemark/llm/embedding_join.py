@@ -290,9 +290,10 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
         sides = (pairs.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("interval"))
                  .unionByName(pairs.where("a != b").select("a", "b", F.lit(1).alias("side"),
                                                            F.col("b").alias("interval"))))
-        width_of = max(1, min(pairs.count(), 20_000))
+        # a few tasks per core: pairs are many and small where the range partitions are
+        tasks = max(1, min(pairs.count(), 4 * spark.sparkContext.defaultParallelism))
         met = (sides.join(chunks.select("interval", "seq", "points", "cls", "n"), "interval")
-               .repartition(width_of, "a", "b").sortWithinPartitions("a", "b", "side", "seq"))
+               .repartition(tasks, "a", "b").sortWithinPartitions("a", "b", "side", "seq"))
         with session_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="32"):
             joined = stored(spark, met.select("a", "b", "side", "points", "cls", "n").mapInArrow(
                 _join(cosine, eps, width), "cls long, links long, root long"), "vectors-joined")
