@@ -32,4 +32,16 @@ def test_plan_has_no_single_group_gather(spark):
     with contextlib.redirect_stdout(buf):
         exact_quantiles(df, ["g"], "v", {"p50": 0.5}).explain()
     plan = buf.getvalue()
-    assert "percentile" not in plan and "rangepartitioning" in plan
+    assert "percentile" not in plan and "_pid" in plan and "_run" in plan
+
+
+def test_right_without_exchange_reuse_on_many_distinct_values(spark):
+    """The pieces are numbered once, whether or not Spark shares their exchange."""
+    df = spark.range(300_000).selectExpr("id % 3 AS g", "cast((id * 7919) % 1000003 AS double) AS v")
+    want = {r.g: r.p for r in df.groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("p")).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.g: r.p for r in exact_quantiles(df, ["g"], "v", {"p": 0.5}, partitions=8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert got == want

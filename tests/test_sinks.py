@@ -25,7 +25,7 @@ def test_empty_table_reads_empty(spark, workdir):
 
 def test_batches_merge_and_replay_is_noop(spark, workdir):
     path = f"{workdir}/t"
-    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, delay=0)
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
     gold = _gold(spark)
     sink(gold, 0)
     assert current_version(spark, path) == 0
@@ -61,10 +61,10 @@ def test_retry_backoff_then_raise():
         if len(calls) < 3:
             raise RuntimeError("down")
         return "ok"
-    assert with_retry(flaky, attempts=3, delay=5, sleep=waits.append) == "ok"
+    assert with_retry(flaky, sleep=waits.append) == "ok"
     assert waits == [5, 10]
     with pytest.raises(RuntimeError):
-        with_retry(lambda: (_ for _ in ()).throw(RuntimeError("x")), attempts=2, delay=1, sleep=waits.append)
+        with_retry(lambda: (_ for _ in ()).throw(RuntimeError("x")), waits=(1,), sleep=waits.append)
 
 
 def test_retain_compacts_log_and_drops_old_versions(spark, workdir):
@@ -73,7 +73,7 @@ def test_retain_compacts_log_and_drops_old_versions(spark, workdir):
 
     from tidemark.streaming.sinks import retain
     path = f"{workdir}/t"
-    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, delay=0)
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
     gold = _gold(spark)
     for b in range(4):
         sink(gold, b)
@@ -87,3 +87,16 @@ def test_retain_compacts_log_and_drops_old_versions(spark, workdir):
     assert sorted(tuple(r) for r in read_versioned(spark, path, USER_METRICS_SCHEMA).collect()) == before
     sink(gold, 4)                                   # commits continue after compaction
     assert current_version(spark, path) == 4
+
+
+def test_batch_ids_of_other_writers_do_not_shadow(spark, workdir):
+    """An export, a stream and the stream under a new checkpoint all land in the table."""
+    path = f"{workdir}/t"
+    gold = _gold(spark)
+    args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
+    for n, (writer, batch) in enumerate([("export-a", 0), ("export-b", 0), ("ckpt-1", 0), ("ckpt-1", 1),
+                                         ("ckpt-2", 0)]):
+        rep = merge_into_versioned(spark, path, gold, *args, batch, writer=writer)
+        assert rep["version"] == n and not rep["skipped"] and rep["rows"] == 2
+    again = merge_into_versioned(spark, path, gold, *args, 1, writer="ckpt-1")
+    assert again["skipped"] and again["version"] == 3 and current_version(spark, path) == 4

@@ -22,6 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -33,11 +34,12 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.where(F.col(v).isNotNull()).groupBy(*g, v)
               .agg(F.count(F.lit(1)).alias("_n")))
-    pieces = (counts.repartitionByRange(n_parts, *g, v)
+    # written once: both uses below must see the same range bounds and piece numbers
+    pieces = stored(df.sparkSession, (counts.repartitionByRange(n_parts, *g, v)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_run", F.sum("_n").over(
                   Window.partitionBy("_pid", *g).orderBy(v)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)))), "quantile-pieces")
     totals = pieces.groupBy("_pid", *g).agg(F.max("_run").alias("_t"))
     per_group = Window.partitionBy(*g)
     offsets = totals.select(

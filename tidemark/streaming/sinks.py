@@ -3,12 +3,13 @@
 Layout of a table at ``path``::
 
     path/v=<n>/part-*.parquet    immutable full versions
-    path/_log/part-*.parquet     commit log: one row (version, rows) per commit
+    path/_log/part-*.parquet     commit log: (version, rows, writer, batch id) per commit
 
 A version becomes visible only after its data is written: the commit-log row
 is appended afterwards (K7, all-or-nothing per table). Readers take the
-highest logged version. Replaying a batch id that is already logged is a
-no-op, and a batch interrupted before its log row is simply rewritten, so
+highest logged version; a new version is always the next number. Replaying a batch
+that the same writer has logged is a no-op (a writer is one stream checkpoint or
+one export run, so batch ids of different writers never shadow each other), and a batch interrupted before its log row is simply rewritten, so
 ``foreachBatch`` re-deliveries after a failure are idempotent. The log and the
 versions are plain Spark writes on the shared file system; no driver-local
 state is involved.
@@ -20,6 +21,7 @@ MERGE statement instead (untested offline: no Delta jar in this environment).
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -30,29 +32,42 @@ from pyspark.sql import types as T
 from ..operators.merge import collapse_updates, conform, merge_upsert
 
 LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                           T.StructField("row_count", T.LongType())])
+                           T.StructField("row_count", T.LongType()),
+                           T.StructField("writer", T.StringType()),
+                           T.StructField("batch_id", T.LongType())])
 
 
-def with_retry(fn: Callable[[], object], attempts: int = 3, delay: float = 5.0,
-               backoff: float = 2.0, sleep: Callable[[float], None] = time.sleep):
-    """K8: call ``fn``; on failure wait ``delay`` (then x``backoff``) and retry;
-    re-raise after ``attempts`` tries. Task-level failures are already retried
-    by Spark; this covers the external system (JDBC, object store)."""
-    for attempt in range(1, attempts + 1):
+#: K8: pauses in seconds before the second and the third try
+RETRY_WAITS = (5.0, 10.0)
+
+
+def with_retry(action: Callable[[], object], waits: Sequence[float] = RETRY_WAITS,
+               sleep: Callable[[float], None] = time.sleep):
+    """K8: the result of ``action``, tried once more after each pause of ``waits``.
+
+    Meant for the external system (JDBC, object store); task failures are retried
+    by Spark itself. A plan that cannot be analysed will not get better by waiting,
+    so AnalysisException is raised at once, any other error when no pause is left.
+    """
+    pauses = iter(waits)
+    while True:
         try:
-            return fn()
+            return action()
+        except AnalysisException:
+            raise
         except Exception:
-            if attempt == attempts:
+            pause = next(pauses, None)
+            if pause is None:
                 raise
-            sleep(delay)
-            delay *= backoff
-    return None
+        sleep(pause)
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/_log")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
@@ -70,12 +85,15 @@ def read_versioned(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def merge_into_versioned(spark: SparkSession, path: str, updates: DataFrame, schema: T.StructType,
-                         keys: Sequence[str], update_cols: Sequence[str], version: int,
-                         order_by: Sequence[str] = ("window_end",)) -> dict:
-    """Merge ``updates`` into the table at ``path`` as ``version``; returns a report."""
+                         keys: Sequence[str], update_cols: Sequence[str], batch_id: int,
+                         order_by: Sequence[str] = ("window_end",), writer: str = "sink") -> dict:
+    """Merge batch ``batch_id`` of ``writer`` into the table at ``path``; returns a report."""
+    done = (_log(spark, path).where((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+            .agg(F.max("version").alias("v")).first())
+    if done.v is not None:
+        return {"version": int(done.v), "skipped": True}
     prev = current_version(spark, path)
-    if prev is not None and prev >= version:
-        return {"version": version, "skipped": True}
+    version = 0 if prev is None else prev + 1
     obs = Observation(f"conform_{version}")
     conformed = conform(updates, schema, key_cols=keys, observation=obs)
     target = read_versioned(spark, path, schema)
@@ -83,23 +101,23 @@ def merge_into_versioned(spark: SparkSession, path: str, updates: DataFrame, sch
                           order_by=["_batch", *order_by])
     merged.write.mode("overwrite").parquet(f"{path}/v={version}")
     written = spark.read.schema(schema).parquet(f"{path}/v={version}").count()
-    spark.createDataFrame([(version, written)], LOG_SCHEMA).coalesce(1) \
+    spark.createDataFrame([(version, written, writer, batch_id)], LOG_SCHEMA).coalesce(1) \
         .write.mode("append").parquet(f"{path}/_log")
     return {"version": version, "skipped": False, "rows": written,
             "dropped_null_key": (obs.get or {}).get("dropped_null_key", 0)}
 
 
 def merge_sink(path: str, schema: T.StructType, keys: Sequence[str], update_cols: Sequence[str],
-               attempts: int = 3, delay: float = 5.0,
-               reports: list | None = None) -> Callable[[DataFrame, int], None]:
+               waits: Sequence[float] = RETRY_WAITS, reports: list | None = None,
+               writer: str = "sink") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: conform, then merge each micro-batch (K6-K9)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                      # K9: nothing to do
             return
         spark = batch.sparkSession
         rep = with_retry(lambda: merge_into_versioned(spark, path, batch, schema, keys,
-                                                      update_cols, batch_id),
-                         attempts=attempts, delay=delay)
+                                                      update_cols, batch_id, writer=writer),
+                         waits)
         if reports is not None:
             reports.append(rep)
     return run
@@ -109,7 +127,8 @@ def start_merge_stream(gold: DataFrame, path: str, schema: T.StructType, keys: S
                        update_cols: Sequence[str], checkpoint: str, trigger: dict | None = None,
                        reports: list | None = None):
     """Stream a gold table into the keyed export table."""
-    return (gold.writeStream.foreachBatch(merge_sink(path, schema, keys, update_cols, reports=reports))
+    return (gold.writeStream.foreachBatch(merge_sink(path, schema, keys, update_cols, reports=reports,
+                                                     writer=checkpoint))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 minutes"})).start())
 
@@ -156,8 +175,8 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str],
 
 
 def export_table(spark: SparkSession, gold_path: str, target_path: str, schema: T.StructType,
-                 keys: Sequence[str], update_cols: Sequence[str], attempts: int = 3,
-                 delay: float = 5.0) -> dict:
+                 keys: Sequence[str], update_cols: Sequence[str],
+                 waits: Sequence[float] = RETRY_WAITS) -> dict:
     """Batch export of a gold table into the keyed target (the by-hand export job).
 
     Reads the gold table through its commit log (only committed files, F8),
@@ -167,11 +186,9 @@ def export_table(spark: SparkSession, gold_path: str, target_path: str, schema:
     gold = read_sink_table(spark, gold_path, schema)
     if gold.isEmpty():
         return {"skipped": True, "reason": "no rows"}
-    nxt = (current_version(spark, target_path) or 0) + 1
+    run = f"export-{uuid.uuid4().hex}"
     return with_retry(lambda: merge_into_versioned(spark, target_path, gold, schema, keys,
-                                                   update_cols, nxt),
-                      attempts=attempts, delay=delay)
-
+                                                   update_cols, 0, writer=run), waits)
 
 
 def _fs(spark: SparkSession, path: str):
