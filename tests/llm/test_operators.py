@@ -220,3 +220,23 @@ def test_sentencepiece_equals_the_library():
             ids = codec.encode(text)
             assert np.frombuffer(ids, "<u4").tolist() == codec.model.encode(text)
             assert codec.decode(ids) == text
+
+
+def test_unigram_pass_against_all_segmentations():
+    codec = object.__new__(sentencepiece_codec.Codec)
+    rng = random.Random(11)
+    words = {"".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(14)} | {"a", "b"}
+    ids = {w: k for k, w in enumerate(sorted(words))}
+    codec._prepare(ids, {k: rng.uniform(-9, -1) for k in ids.values()}, False)
+
+    def best(text):
+        sums = {0: 0.0}
+        for end in range(1, len(text) + 1):
+            sums[end] = max(sums[s] + codec.by_piece[text[s:end]] for s in range(end) if text[s:end] in ids)
+        return sums[len(text)]
+
+    for size in (0, 1, 2, 7, 60, 500):
+        text = "".join(rng.choices("ab", k=size))
+        pieces = list(codec.segments(text))
+        assert "".join(pieces) == text
+        assert abs(sum(codec.by_piece[p] for p in pieces) - best(text)) < 1e-6

@@ -92,9 +92,11 @@ class Codec:
         self.unknown = self.model.unk_id()
         self.bytes = {int(self.pieces[k][1:-1], 16): k for k in range(size) if self.model.is_byte(k)}
         self.values = {k: bytes([b]) for b, k in self.bytes.items()}
+        self.shown = [p.replace(SPACE, " ") for p in self.pieces]
 
     def _prepare(self, ids: dict[str, int], scores: dict[int, float], bpe: bool) -> None:
-        self.ids, self.scores, self.bpe = ids, scores, bpe
+        self.ids, self.bpe = ids, bpe
+        self.by_piece = {p: scores[k] for p, k in ids.items()}
         self.window = max(map(len, ids), default=1)
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in ids)
         self.floor = min(scores.values(), default=0.0) - 10
@@ -102,19 +104,27 @@ class Codec:
         self.words: dict[str, bytes] = {"": b""}
         #: pieces that merging their own text gives back
         self.whole = {p for p in ids if self.merged(p) == [p]} if bpe else set()
+        #: lengths of such pieces, longest first, by their last three characters
+        lengths: dict[str, set[int]] = {}
+        for piece in self.whole:
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], {2}).add(len(piece))
+        self.lengths = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in lengths.items()}
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best-scored neighbours first, the leftmost of equals."""
+        get, none = self.by_piece.get, -float("inf")
         parts = list(text)
-        while True:
-            best, where = None, -1
-            for k in range(len(parts) - 1):
-                found = self.ids.get(parts[k] + parts[k + 1])
-                if found is not None and (best is None or self.scores[found] > best):
-                    best, where = self.scores[found], k
-            if where < 0:
-                return parts
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > none:
+            k = scores.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k:
+                scores[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(scores):
+                scores[k] = get(parts[k] + parts[k + 1], none)
+        return parts
 
     def _may_follow(self, left: str, right: str) -> bool:
         """Whether merging ``left + right`` gives just these two pieces."""
@@ -125,43 +135,52 @@ class Codec:
 
     def segments(self, text: str) -> Iterator[str]:
         """Pieces of normalised text, committed as soon as all live paths share a boundary."""
-        # path to a boundary: (start of its last piece, that piece, score)
-        paths: dict[int, tuple[int, str, float]] = {0: (-1, "", 0.0)}
-        committed = 0
-        survivor = self._merge_survivor if self.bpe else self._best_survivor
-        for end in range(1, len(text) + 1):
-            paths[end] = survivor(text, paths, max(committed, end - self.window), end)
-            if end - committed >= 4 * self.window:
-                shared = self._shared(paths, committed, end)
-                if shared > committed:
-                    yield from self._walk(paths, committed, shared)
-                    for k in range(committed, shared):
-                        del paths[k]
-                    committed = shared
+        # the last piece of the path to a boundary, and the path's score (unigram)
+        paths, sums = {0: ""}, {0: 0.0}
+        committed = done = 0
+        while done < len(text):
+            first, done = done + 1, min(len(text), done + 4 * self.window)
+            if self.bpe:
+                self._merge_survivors(text, paths, committed, first, done)
+            else:
+                self._best_survivors(text, paths, sums, committed, first, done)
+            shared = self._shared(paths, committed, done) if done < len(text) else committed
+            if shared > committed:
+                yield from self._walk(paths, committed, shared)
+                for k in range(committed, shared):
+                    del paths[k]
+                    sums.pop(k, None)
+                committed = shared
         yield from self._walk(paths, committed, len(text))
 
-    def _merge_survivor(self, text: str, paths: dict, low: int, end: int) -> tuple[int, str, float]:
-        """BPE: the piece that merging leaves in front of ``end``, if the text ended there."""
-        whole, follows = self.whole, self.follows
-        for start in range(low, end - 1):
-            piece = text[start:end]
-            if piece in whole:
-                left = paths[start][1]
-                found = follows.get((left, piece)) if left else True
-                if found is None:
-                    found = self._may_follow(left, piece)
-                if found:
-                    return start, piece, 0.0
-        return end - 1, text[end - 1], 0.0
-
-    def _best_survivor(self, text: str, paths: dict, low: int, end: int) -> tuple[int, str, float]:
-        """Unigram: the last piece of the best-scored path to ``end``."""
-        best = end - 1, text[end - 1], paths[end - 1][2] + self.floor
-        for start in range(low, end):
-            known = self.ids.get(text[start:end])
-            if known is not None and paths[start][2] + self.scores[known] > best[2]:
-                best = start, text[start:end], paths[start][2] + self.scores[known]
-        return best
+    def _merge_survivors(self, text: str, paths: dict, committed: int, first: int, last: int) -> None:
+        """BPE: the piece that merging leaves in front of a boundary, if the text ended there."""
+        whole, follows, lengths = self.whole, self.follows, self.lengths
+        for end in range(first, last + 1):
+            near = end - committed
+            survivor = text[end - 1]
+            for size in lengths.get(text[end - 3:end], (2,)) if near > 2 else (2,):
+                if size > near:
+                    continue
+                piece = text[end - size:end]
+                if piece in whole:
+                    left = paths[end - size]
+                    found = follows.get((left, piece)) if left else True
+                    if found is None:
+                        found = self._may_follow(left, piece)
+                    if found:
+                        survivor = piece
+                        break
+            paths[end] = survivor
+
+    def _best_survivors(self, text: str, paths: dict, sums: dict, committed: int, first: int, last: int) -> None:
+        """Unigram: the last piece of the best-scored path to a boundary."""
+        for end in range(first, last + 1):
+            paths[end], sums[end] = text[end - 1], sums[end - 1] + self.floor
+            for start in range(max(committed, end - self.window), end):
+                score = self.by_piece.get(text[start:end])
+                if score is not None and sums[start] + score > sums[end]:
+                    paths[end], sums[end] = text[start:end], sums[start] + score
 
     def _shared(self, paths: dict, committed: int, end: int) -> int:
         """The last boundary on every path that a later piece can still continue."""
@@ -170,7 +189,7 @@ class Codec:
             at, path = live, set()
             while at > committed:
                 path.add(at)
-                at = paths[at][0]
+                at -= len(paths[at])
             path.add(committed)
             common = path if common is None else common & path
         return max(common or {committed})
@@ -179,9 +198,8 @@ class Codec:
     def _walk(paths: dict, low: int, high: int) -> list[str]:
         out = []
         while high > low:
-            start, piece, _ = paths[high]
-            out.append(piece)
-            high = start
+            out.append(paths[high])
+            high -= len(paths[high])
         return out[::-1]
 
     def _word(self, word: str) -> bytes:
@@ -201,28 +219,31 @@ class Codec:
         normal = self.model.normalize(text)
         if not self.by_word:
             return self._word(normal)
-        out = []
-        for word in _WORDS.findall(normal):
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) <= LONGEST:
-                    if len(self.words) >= WORDS:
-                        self.words = {"": b""}
-                    self.words[word] = ids
-            out.append(ids)
+        words = _WORDS.findall(normal)
+        out = list(map(self.words.get, words))
+        if None in out:
+            for at, word in enumerate(words):
+                if out[at] is None:
+                    out[at] = self.words.get(word) or self._new_word(word)
         return b"".join(out)
 
+    def _new_word(self, word: str) -> bytes:
+        ids = self._word(word)
+        if len(word) <= LONGEST:
+            if len(self.words) >= WORDS:
+                self.words = {"": b""}
+            self.words[word] = ids
+        return ids
+
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces in a row, byte pieces read as UTF-8, one leading space less."""
         numbers = array("I", ids)
-        shown = self.pieces
+        shown = self.shown
         if not self.values.keys().isdisjoint(numbers):
             text = b"".join(self.values[k] if k in self.values else shown[k].encode()
                             for k in numbers).decode("utf-8", "replace")
         else:
             text = "".join(map(shown.__getitem__, numbers))
-        text = text.replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
