@@ -20,10 +20,11 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 HEADLINE = (
-    "bronze_decode", "silver_dedup", "silver_rejects",
+    "bronze_decode", "silver_valid", "silver_dedup", "silver_rejects",
     "user_metrics_1m", "user_metrics_1h", "user_metrics_1d",
-    "order_metrics_1m", "order_metrics_1h",
-    "merge_user_metrics", "merge_order_metrics",
+    "order_metrics_1m", "order_metrics_1h", "order_metrics_1d",
+    "user_metrics_approx", "order_metrics_approx",
+    "merge_user_metrics", "merge_order_metrics", "export_versioned",
     "session_funnel", "open_carts", "ingest_lag", "encode_and_route", "conform_columns",
     "table_shape",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import datetime as dt
 import json
 
@@ -73,3 +74,10 @@ def T(minutes: float) -> str:
 
 def event(event_id, minutes, etype="view", topic=USER_TOPIC):
     return (topic, json.dumps(payload(event_id, "u1", etype, T(minutes))))
+
+
+def wait_for_listener(log, name: str, batches: int, timeout: float = 30.0) -> None:
+    """Listener events are asynchronous; wait until ``batches`` progress rows arrived."""
+    end = time.time() + timeout
+    while time.time() < end and len(log.rows(name)) < batches:
+        time.sleep(0.1)

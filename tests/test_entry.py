@@ -11,6 +11,8 @@ PLANNED = {
     "merge_user_metrics", "merge_order_metrics", "conform_columns", "encode_and_route",
     "session_funnel", "open_carts", "ingest_lag", "table_shape",
     "stream_silver", "stream_user_metrics", "stream_order_metrics",
+    # beyond the plan: the export sink over batches, a stream with restarts
+    "export_versioned", "stream_multi_batch",
 }
 
 

@@ -100,3 +100,18 @@ def test_batch_ids_of_other_writers_do_not_shadow(spark, workdir):
         assert rep["version"] == n and not rep["skipped"] and rep["rows"] == 2
     again = merge_into_versioned(spark, path, gold, *args, 1, writer="ckpt-1")
     assert again["skipped"] and again["version"] == 3 and current_version(spark, path) == 4
+
+
+def test_upsert_statement_quotes_every_name():
+    from tidemark.streaming.sinks import upsert_statement
+    assert upsert_statement("s.gold", "s.stage", ["k", "a b", 'c"d'], ["k"], ["a b"]) == (
+        'INSERT INTO "s"."gold" ("k", "a b", "c""d") SELECT "k", "a b", "c""d" FROM "s"."stage" '
+        'ON CONFLICT ("k") DO UPDATE SET "a b" = EXCLUDED."a b"')
+
+
+def test_collapsed_rows_have_unique_keys(spark):
+    from tidemark.streaming.sinks import collapsed
+    rows = spark.createDataFrame([(1, "a", "x", 1), (1, "b", "y", 2), (2, "c", "z", 1), (None, "d", "w", 1)],
+                                 "k int, name string, cat string, n int")
+    out = collapsed(rows, ["k"], ["name", "n"], ["n"]).select("k", "name", "cat", "n").collect()
+    assert sorted(map(tuple, out)) == [(1, "b", "x", 2), (2, "c", "z", 1)]

@@ -181,7 +181,8 @@ def test_dedup_late_rows_with_earlier_late_rule(spark, workdir):
 
 def test_rate_limit_splits_into_batches(spark, workdir):
     """S4 on the file source: at most one file per micro-batch."""
-    from tidemark.streaming.supervise import ProgressLog, wait_for_listener
+    from fixtures import wait_for_listener
+    from tidemark.streaming.supervise import ProgressLog
     for i in range(3):
         decode(messages_df(spark, [ev(f"r{i}", i)], start_offset=10 * i)).coalesce(1) \
             .write.mode("append").parquet(f"{workdir}/in")

@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
                    help="bronze from staged message files (<dir>/topic=<name>/) instead of Kafka")
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    p.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="bound of a micro-batch read from files (message files, bronze, silver)")
     p.add_argument("--trigger", default="5 minutes")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--format", default="parquet", help="table format: parquet or delta")
@@ -84,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         for name, schema, upd in (("user_metrics", USER_METRICS_SCHEMA, USER_METRICS_UPDATE),
                                   ("order_metrics", ORDER_METRICS_SCHEMA, ORDER_METRICS_UPDATE)):
             out[name] = export_table(spark, f"{root}/gold/{name}", f"{root}/export/{name}",
-                                     schema, MERGE_KEYS, upd)
+                                     schema, MERGE_KEYS, upd, fmt=args.format)
         print(json.dumps(out, default=str))
         return 0
 
@@ -95,7 +97,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "bronze":
         def source(t):
             if args.messages:
-                return message_file_stream(spark, f"{args.messages.rstrip('/')}/topic={t}", t)
+                return message_file_stream(spark, f"{args.messages.rstrip('/')}/topic={t}", t,
+                                           args.max_files_per_trigger)
             return kafka_stream(spark, t, args.bootstrap, args.starting_offsets,
                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
         starters = [lambda t=t: start_bronze(
@@ -106,18 +109,20 @@ def main(argv: list[str] | None = None) -> int:
             spark, f"{root}/bronze/{t}", f"{root}/silver/{t}", f"silver_{t}", trig, args.format,
             unbounded=args.unbounded_dedup, empty_batches=empty,
             partition_by_date=args.partition_by_date,
-            precombine_copies=args.precombine_copies) for t in TOPICS]
+            precombine_copies=args.precombine_copies,
+            max_files_per_trigger=args.max_files_per_trigger) for t in TOPICS]
     else:
         starters = [lambda t=t: start_gold(
             spark, f"{root}/silver/{t}", f"{root}/gold/{GOLD_OF[t][1]}", f"gold_{GOLD_OF[t][1]}",
             GOLD_OF[t][0], trig, args.format, window=args.window, empty_batches=empty,
             partition_by_date=args.partition_by_date, output_partitions=args.gold_files,
-            distinct=args.distinct) for t in TOPICS]
+            distinct=args.distinct, max_files_per_trigger=args.max_files_per_trigger) for t in TOPICS]
 
     def report(rows):
         print("[progress] " + " | ".join(f"{k}: {v} rows in last batch" for k, v in rows.items()),
               flush=True)
-    supervise(start_many(starters), poll_seconds=args.poll_seconds, on_progress=report)
+    supervise(start_many(starters), poll_seconds=args.poll_seconds, on_progress=report,
+              until_done=args.available_now)
     return 0
 
 

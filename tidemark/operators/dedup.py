@@ -13,9 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: keys a task of ``precombine`` remembers
+REMEMBERED = 500_000
+
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("event_id",),
           order_by: Sequence[str] | None = None, unbounded: bool = False) -> DataFrame:
@@ -37,21 +41,24 @@ def precombine(df: DataFrame, keys: Sequence[str] = ("event_id",),
 
     Spark's streaming dedup has no partial step: every copy of a replayed
     message travels to the task owning its key. This stateless pass (allowed
-    on streams) leaves at most one copy per input partition. Only exact
+    on streams) drops copies that an input partition has just seen. Only exact
     repeats of (keys, event time) are removed - copies the stateful dedup would
-    drop anyway - so results are unchanged. Vectorised pandas over Arrow
-    batches; memory is bounded by one partition's distinct keys. Opt-in: it
+    drop anyway - so results are unchanged. The key is built by built-in
+    functions; the pass remembers at most ``REMEMBERED`` keys and starts anew
+    beyond that, as a copy it lets through costs only its shuffle. Opt-in: it
     costs an Arrow round trip for every row.
     """
-    subset = [*keys, time_col]
+    marked = df.withColumn("_copy_key", F.to_json(F.struct(*keys, time_col)))
 
     def first_copies(batches: Iterator) -> Iterator:
-        import pandas as pd
-        seen = pd.Index([], dtype=object)
-        for pdf in batches:
-            key = pd.Index(pdf[subset].astype(str).agg("\x1f".join, axis=1))
-            keep = ~key.duplicated() & ~key.isin(seen)
-            seen = seen.append(key[keep])
-            yield pdf[keep]
-
-    return df.mapInPandas(first_copies, df.schema)
+        seen: set[str] = set()
+        for batch in batches:
+            keep = []
+            for key in batch.column(batch.num_columns - 1).to_pylist():
+                keep.append(key not in seen)
+                seen.add(key)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            yield batch.drop_columns(["_copy_key"]).filter(pa.array(keep, pa.bool_()))
+
+    return marked.mapInArrow(first_copies, df.schema)

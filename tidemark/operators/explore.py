@@ -54,11 +54,21 @@ def open_carts(events: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
     products; ``abandoned`` marks adds older than ``abandon_after`` at the
     as-of time (the maximum event_time, evaluated once as a scalar subquery).
     """
-    as_of = events.select(F.max("event_time")).scalar()
-    last = events.groupBy("user_id", "product_id").agg(
+    return open_of(cart_states(events), abandon_after)
+
+
+def cart_states(events: DataFrame) -> DataFrame:
+    """Per (user_id, product_id): last add, last purchase and last event of any kind."""
+    return events.groupBy("user_id", "product_id").agg(
         F.max(F.when(F.col("event_type") == "add_to_cart", F.col("event_time"))).alias("added_at"),
-        F.max(F.when(F.col("event_type") == "purchase", F.col("event_time"))).alias("bought_at"))
-    still_open = last.where(F.col("added_at").isNotNull()
+        F.max(F.when(F.col("event_type") == "purchase", F.col("event_time"))).alias("bought_at"),
+        F.max("event_time").alias("seen_at"))
+
+
+def open_of(states: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
+    """The open carts of ``cart_states``; the states are read three times."""
+    as_of = states.select(F.max("seen_at")).scalar()
+    still_open = states.where(F.col("added_at").isNotNull()
                             & (F.col("bought_at").isNull() | (F.col("added_at") > F.col("bought_at"))))
     # cart size by a partial aggregate joined back on user_id (not a window):
     # a bot user with millions of open carts is counted map-side, and its rows

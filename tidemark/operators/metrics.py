@@ -20,6 +20,8 @@ from ..functions.columns import safe_rate
 from ..schemas import GOLD_WINDOW
 
 GROUP_COLS = ("product_id", "product_name", "category")
+#: relative standard deviation asked of the approximate distinct counts
+APPROX_RSD = 0.05
 
 
 def _window_bounds():
@@ -27,7 +29,7 @@ def _window_bounds():
 
 
 def _aggregate(df: DataFrame, window: str, distinct: str, sums: dict, count_name: str | None,
-               rounded: dict, users_name: str) -> DataFrame:
+               rounded: dict, users_name: str, by: tuple[str, ...]) -> DataFrame:
     """sums: name -> per-row column summed; count_name: row count; rounded: name ->
     (summed column, digits), rounded after the final sum; users_name: distinct users."""
     w = F.window("event_time", window).alias("window")
@@ -36,35 +38,37 @@ def _aggregate(df: DataFrame, window: str, distinct: str, sums: dict, count_name
         if count_name:
             aggs.append(F.count(F.lit(1)).alias(count_name))
         aggs += [F.round(F.sum(c), d).alias(n) for n, (c, d) in rounded.items()]
-        aggs.append(F.approx_count_distinct("user_id", 0.05).alias(users_name))
-        return df.groupBy(*GROUP_COLS, w).agg(*aggs)
+        aggs.append(F.approx_count_distinct("user_id", APPROX_RSD).alias(users_name))
+        return df.groupBy(*GROUP_COLS, *by, w).agg(*aggs)
     if distinct != "exact":
         raise ValueError(f"distinct must be 'approx' or 'exact', got {distinct!r}")
     inner = [F.sum(c).alias(f"_{n}") for n, c in sums.items()]
     if count_name:
         inner.append(F.count(F.lit(1)).alias(f"_{count_name}"))
     inner += [F.sum(c).alias(f"_{n}") for n, (c, _) in rounded.items()]
-    per_user = df.groupBy(*GROUP_COLS, w, "user_id").agg(*inner)
+    per_user = df.groupBy(*GROUP_COLS, *by, w, "user_id").agg(*inner)
     outer = [F.sum(f"_{n}").alias(n) for n in sums]
     if count_name:
         outer.append(F.sum(f"_{count_name}").alias(count_name))
     outer += [F.round(F.sum(f"_{n}"), d).alias(n) for n, (_, d) in rounded.items()]
     outer.append(F.count("user_id").alias(users_name))       # null users are not counted
-    return per_user.groupBy(*GROUP_COLS, "window").agg(*outer)
+    return per_user.groupBy(*GROUP_COLS, *by, "window").agg(*outer)
 
 
-def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx") -> DataFrame:
+def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx",
+                 by: tuple[str, ...] = ()) -> DataFrame:
     """Views, clicks, cart adds, unique users and rates per product and window.
 
     Input is the user-activity topic; a purchase routed here would only add a
-    zero-count row (no event_type filter, as in the reference).
+    zero-count row (no event_type filter, as in the reference). ``by``: further
+    columns to group by, kept as last columns.
     """
     et = F.col("event_type")
     flag = lambda t: F.when(et == t, 1).otherwise(0)
     agg = _aggregate(df, window, distinct,
                      {"view_count": flag("view"), "click_count": flag("click"),
                       "add_to_cart_count": flag("add_to_cart")},
-                     None, {}, "unique_users")
+                     None, {}, "unique_users", by)
     return agg.select(
         *GROUP_COLS, *_window_bounds(),
         F.col("view_count").cast("bigint").alias("view_count"),
@@ -73,21 +77,24 @@ def user_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "appr
         "unique_users",
         safe_rate("click_count", "view_count", 4).alias("click_through_rate"),
         safe_rate("add_to_cart_count", "view_count", 4).alias("add_to_cart_rate"),
+        *by,
     )
 
 
-def order_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx") -> DataFrame:
+def order_metrics(df: DataFrame, window: str = GOLD_WINDOW, distinct: str = "approx",
+                  by: tuple[str, ...] = ()) -> DataFrame:
     """Purchases, revenue, average order value and unique buyers per product and window.
 
     Every input row counts as a purchase (routing decides what arrives here);
     the average divides the already rounded revenue.
     """
     agg = _aggregate(df, window, distinct, {}, "purchase_count",
-                     {"total_revenue_usd": (F.col("price"), 2)}, "unique_buyers")
+                     {"total_revenue_usd": (F.col("price"), 2)}, "unique_buyers", by)
     return agg.select(
         *GROUP_COLS, *_window_bounds(),
         F.col("purchase_count").cast("bigint").alias("purchase_count"),
         "total_revenue_usd",
         safe_rate("total_revenue_usd", "purchase_count", 2).alias("avg_order_value"),
         "unique_buyers",
+        *by,
     )

@@ -73,10 +73,6 @@ class Layers:
         """
         return stored(self.spark, df, label)
 
-    def stored_silver(self, topic: str | None = None) -> DataFrame:
-        """Silver (of one topic, or both) stored once; see ``stored``."""
-        return self.stored(self.silver() if topic is None else only_topic(self.silver(), topic))
-
     def silver_user(self) -> DataFrame:
         return only_topic(self.silver(), USER_TOPIC)
 

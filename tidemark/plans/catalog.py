@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from ..functions.columns import iso_text, to_ntz
 from ..operators.decode import decode
 from ..operators.encode import encode_and_route
-from ..operators.explore import ingest_lag, open_carts, session_funnel
+from ..operators.explore import cart_states, ingest_lag, open_of, session_funnel
 from ..operators.merge import conform, merge_upsert
-from ..operators.metrics import order_metrics, user_metrics
+from ..operators.metrics import APPROX_RSD, order_metrics, user_metrics
 from ..operators.validate import reject_counts
 from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, ORDER_TOPIC, PAYLOAD_COLS,
                        USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
-from ..session import ensure_utc, new_run_dir
+from ..session import ensure_utc, new_run_dir, remove_at_exit
 from ..sources.tables import read_folder, table_shape
-from .batch import Layers
+from .batch import Layers, only_topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = {"1m": "1 minute", "1h": "1 hour", "1d": "1 day"}
@@ -54,42 +54,85 @@ def _order_metrics(window, distinct="exact"):
     return lambda spark, sf: Layers(spark, sf).order_gold(window, distinct)
 
 
-def _snapshot_cuts(silver: DataFrame):
-    """Broker-time cut-offs at 1/3 and 2/3 of silver's range (scalar subqueries)."""
-    r = silver.select(F.unix_micros(F.min("kafka_timestamp")).alias("lo"),
-                      F.unix_micros(F.max("kafka_timestamp")).alias("hi"))
-    step = F.expr("(hi - lo) div 3")
-    t1 = r.select(F.timestamp_micros(F.col("lo") + step)).scalar()
-    t2 = r.select(F.timestamp_micros(F.col("lo") + 2 * step)).scalar()
-    return t1, t2
+def _export_parts(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Hourly gold of three parts of the broker time, with their ``rev`` and ``batch_id``.
+
+    Each hour's first 20 minutes are the target (rev 0), the next 20 the first export
+    (rev 1), the rest the second. The second export holds a product renamed halfway
+    (rev 2 and 3), so its keys repeat. From rev 1 on, names, categories and window ends
+    differ from the target's. One aggregation, stored once.
+    """
+    lay = Layers(spark, sf)
+    gold = user_metrics if kind == "user" else order_metrics
+    minute = F.minute("kafka_timestamp")
+    rev = F.when(minute < 20, 0).when(minute < 40, 1).when(minute < 50, 2).otherwise(3)
+    silver = only_topic(lay.silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
+    parts = gold(silver.withColumn("rev", rev), "1 hour", "exact", by=("rev",))
+    renamed = parts.withColumns({
+        "product_name": F.when(F.col("rev") == 0, F.col("product_name"))
+        .otherwise(F.concat("product_name", F.lit(" r"), "rev")),
+        "category": F.when(F.col("rev") == 0, F.col("category")).otherwise(F.concat("category", F.lit("/r"), "rev")),
+        "window_end": F.col("window_end") + F.make_dt_interval(mins=F.col("rev")),
+        "batch_id": F.least("rev", F.lit(2))})
+    return lay.stored(renamed, f"export-parts-{kind}")
 
 
 def _merge(kind: str):
-    """Export replay: the target holds the gold snapshot at 1/3 of the broker-time
-    range; two later exports (at 2/3, batch 1, and complete, batch 2) are merged
-    into it with ON CONFLICT semantics."""
-    gold = user_metrics if kind == "user" else order_metrics
+    """Export replay: two later exports merged into the target with ON CONFLICT semantics."""
     update_cols = USER_METRICS_UPDATE if kind == "user" else ORDER_METRICS_UPDATE
 
+    def q(spark, sf):
+        parts = _export_parts(spark, sf, kind).drop("rev")
+        return merge_upsert(parts.where("batch_id = 0").drop("batch_id"), parts.where("batch_id > 0"),
+                            MERGE_KEYS, update_cols, order_by=["batch_id"])
+    return q
+
+
+def _export_versioned(spark, sf):
+    """The same exports through the versioned sink, the first one replayed at the end."""
+    from ..streaming.sinks import merge_into_versioned, read_versioned
+    parts = _export_parts(spark, sf, "user").drop("rev")
+    path = new_run_dir(spark, "versioned")
+    remove_at_exit(spark, path)
+    for batch in (0, 1, 2, 1):
+        merge_into_versioned(spark, path, parts.where(F.col("batch_id") == batch), USER_METRICS_SCHEMA,
+                             MERGE_KEYS, USER_METRICS_UPDATE, batch, writer="replay")
+    return read_versioned(spark, path, USER_METRICS_SCHEMA)
+
+
+def _approx_checked(kind: str):
+    """The approximate metrics with the exact number of users in place of the estimate,
+    and whether the estimate was within four standard deviations (or one user) of it."""
+    users = "unique_users" if kind == "user" else "unique_buyers"
+    key = ["product_id", "window_start"]
+
     def q(spark, sf):
         lay = Layers(spark, sf)
-        silver = lay.stored_silver(USER_TOPIC if kind == "user" else ORDER_TOPIC)
-        t1, t2 = _snapshot_cuts(silver)
-        target = gold(silver.where(F.col("kafka_timestamp") < t1), "1 hour", "exact")
-        upd1 = gold(silver.where(F.col("kafka_timestamp") < t2), "1 hour", "exact")
-        upd2 = gold(silver, "1 hour", "exact")
-        updates = (upd1.withColumn("batch_id", F.lit(1))
-                   .unionByName(upd2.withColumn("batch_id", F.lit(2))))
-        return merge_upsert(target, updates, MERGE_KEYS, update_cols, order_by=["batch_id"])
+        silver = lay.stored(only_topic(lay.silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
+                            .select("user_id", "event_type", "product_id", "product_name", "category",
+                                    "price", "event_time"), "silver-narrow")
+        gold = user_metrics if kind == "user" else order_metrics
+        approx = gold(silver, "1 minute", "approx")
+        exact = gold(silver, "1 minute", "exact").select(*key, F.col(users).alias("_exact"))
+        miss = F.abs(F.col(users) - F.col("_exact"))
+        bound = F.greatest(F.lit(1.0), 4 * APPROX_RSD * F.col("_exact"))
+        return approx.join(exact, key).select(
+            *[F.col("_exact").alias(c) if c == users else F.col(c) for c in approx.columns],
+            (miss <= bound).alias("within_bound"))
     return q
 
 
 def _conform_columns(spark, sf):
     """A gold frame as an export sees it after a text round trip: times as ISO
-    text, an extra column, one whitelisted column absent."""
+    text, some of them malformed (windows of the hours 3 and 13: the key is
+    lost; 5 and 15: the end is lost) or null (hour 7), an extra column, one
+    whitelisted column absent."""
     g = Layers(spark, sf).user_gold("1 hour", "exact")
+    hour = F.hour("window_start")
+    start = F.when(hour.isin(3, 13), F.lit("2024-13-45T99:00")).when(hour != 7, iso_text("window_start"))
+    end = F.when(hour.isin(5, 15), F.lit("not-a-time")).otherwise(iso_text("window_end"))
     exported = g.select(
-        *[iso_text(c).alias(c) if c in ("window_start", "window_end") else F.col(c)
+        *[start.alias(c) if c == "window_start" else end.alias(c) if c == "window_end" else F.col(c)
           for c in g.columns if c != "add_to_cart_rate"],
         F.lit("part-00000.parquet").alias("source_file"))
     return conform(exported, USER_METRICS_SCHEMA)
@@ -112,21 +155,27 @@ def _session_funnel(spark, sf):
 
 
 def _open_carts(spark, sf):
-    # silver is read twice (as-of time, carts): stored once
-    return open_carts(Layers(spark, sf).stored_silver(), "1 hour")
+    # the per-cart states are read three times (as-of time, sizes, carts): stored once
+    lay = Layers(spark, sf)
+    return open_of(lay.stored(cart_states(lay.silver()), "cart-states"), "1 hour")
 
 
 def _ingest_lag(spark, sf):
-    # silver feeds three branches and two range-bound sampling jobs: read it from
-    # a table written once instead of re-decoding the messages for each
-    return ingest_lag(Layers(spark, sf).stored_silver(), "1 day", late_after_seconds=60.0)
+    # read by the aggregates and the quantiles: the four columns needed, stored once
+    lay = Layers(spark, sf)
+    times = lay.silver().select("topic", "kafka_timestamp", "producer_time", "event_time")
+    return ingest_lag(lay.stored(times, "lag-times"), "1 day", late_after_seconds=60.0)
 
 
 def _table_shape(spark, sf):
     """Gold tables written to the shared folder and read back as folder tables."""
     lay = Layers(spark, sf)
     base = new_run_dir(spark, "gold-export")
-    tables = {"user_metrics": lay.user_gold(), "order_metrics": lay.order_gold()}
+    remove_at_exit(spark, base)
+    silver = lay.stored(lay.silver().select("topic", "user_id", "event_type", "product_id", "product_name",
+                                            "category", "price", "event_time"), "silver-narrow")
+    tables = {"user_metrics": user_metrics(only_topic(silver, USER_TOPIC)),
+              "order_metrics": order_metrics(only_topic(silver, ORDER_TOPIC))}
     read = {}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
@@ -134,14 +183,24 @@ def _table_shape(spark, sf):
     return table_shape(read)
 
 
-def _stream(name: str):
+def _stream_silver(spark, sf):
+    from ..streaming.jobs import run_silver
+    return run_silver(spark, sf)
+
+
+def _stream_gold(topic: str):
     def q(spark, sf):
-        from ..streaming.jobs import run_chain_available_now
-        out = run_chain_available_now(spark, sf)
-        return out[name]
+        from ..streaming.jobs import run_gold
+        return run_gold(spark, sf, topic)
     return q
 
 
+def _stream_multi_batch(spark, sf):
+    """Silver of a stream that stops and resumes, with rows that arrive too late."""
+    from ..streaming.jobs import run_restarts
+    return run_restarts(spark, sf)
+
+
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)            # the NTZ presentation below reads the session zone
@@ -160,17 +219,19 @@ def registry() -> dict[str, Query]:
     for unit, w in WINDOWS.items():
         q[f"user_metrics_{unit}"] = _user_metrics(w)
         q[f"order_metrics_{unit}"] = _order_metrics(w)
-    q["user_metrics_approx"] = _user_metrics("1 minute", "approx")
-    q["order_metrics_approx"] = _order_metrics("1 minute", "approx")
+    q["user_metrics_approx"] = _approx_checked("user")
+    q["order_metrics_approx"] = _approx_checked("order")
     q["merge_user_metrics"] = _merge("user")
     q["merge_order_metrics"] = _merge("order")
+    q["export_versioned"] = _export_versioned
     q["conform_columns"] = _conform_columns
     q["encode_and_route"] = _encode_and_route
     q["session_funnel"] = _session_funnel
     q["open_carts"] = _open_carts
     q["ingest_lag"] = _ingest_lag
     q["table_shape"] = _table_shape
-    q["stream_silver"] = _stream("silver")
-    q["stream_user_metrics"] = _stream("user_metrics")
-    q["stream_order_metrics"] = _stream("order_metrics")
+    q["stream_silver"] = _stream_silver
+    q["stream_user_metrics"] = _stream_gold(USER_TOPIC)
+    q["stream_order_metrics"] = _stream_gold(ORDER_TOPIC)
+    q["stream_multi_batch"] = _stream_multi_batch
     return {k: _present(v) for k, v in q.items()}

@@ -9,6 +9,8 @@ shortest decimal text half-up), integer sums are cast to BIGINT.
 
 from __future__ import annotations
 
+from ..schemas import ORDER_METRICS_COLS, USER_METRICS_COLS
+
 _TS_SHIFT = ("CASE WHEN id % 20 IN (0, 1) THEN INTERVAL 30 SECOND "
              "WHEN id % 20 = 2 THEN INTERVAL 90 SECOND ELSE INTERVAL 0 SECOND END")
 
@@ -75,74 +77,67 @@ def with_base(*ctes: str) -> str:
     return f"WITH {BASE}{extra}\n"
 
 
-def user_gold(src: str, unit: str) -> str:
+def user_gold(src: str, unit: str, by: str = "") -> str:
     trunc, iv = UNITS[unit]
     return f"""
   SELECT product_id, product_name, category, window_start, window_start + INTERVAL {iv} AS window_end,
          view_count, click_count, add_to_cart_count, unique_users,
          {safe_rate('click_count', 'view_count', 4)} AS click_through_rate,
-         {safe_rate('add_to_cart_count', 'view_count', 4)} AS add_to_cart_rate
+         {safe_rate('add_to_cart_count', 'view_count', 4)} AS add_to_cart_rate{by}
   FROM (
     SELECT product_id, product_name, category, date_trunc('{trunc}', event_time) AS window_start,
            CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS view_count,
            CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS click_count,
            CAST(sum(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS BIGINT) AS add_to_cart_count,
-           count(DISTINCT user_id) AS unique_users
+           count(DISTINCT user_id) AS unique_users{by}
     FROM {src}
-    GROUP BY product_id, product_name, category, date_trunc('{trunc}', event_time))"""
+    GROUP BY product_id, product_name, category, date_trunc('{trunc}', event_time){by})"""
 
 
-def order_gold(src: str, unit: str) -> str:
+def order_gold(src: str, unit: str, by: str = "") -> str:
     trunc, iv = UNITS[unit]
     return f"""
   SELECT product_id, product_name, category, window_start, window_start + INTERVAL {iv} AS window_end,
          purchase_count, total_revenue_usd,
          {safe_rate('total_revenue_usd', 'purchase_count', 2)} AS avg_order_value,
-         unique_buyers
+         unique_buyers{by}
   FROM (
     SELECT product_id, product_name, category, date_trunc('{trunc}', event_time) AS window_start,
            count(*) AS purchase_count,
            {rnd('sum(price)', 2)} AS total_revenue_usd,
-           count(DISTINCT user_id) AS unique_buyers
+           count(DISTINCT user_id) AS unique_buyers{by}
     FROM {src}
-    GROUP BY product_id, product_name, category, date_trunc('{trunc}', event_time))"""
-
-
-USER_UPDATE = ("product_name", "view_count", "click_count", "add_to_cart_count", "unique_users",
-               "click_through_rate", "add_to_cart_rate")
-USER_INSERT_ONLY = ("category", "window_end")
-ORDER_UPDATE = ("product_name", "purchase_count", "total_revenue_usd", "avg_order_value",
-                "unique_buyers")
-ORDER_INSERT_ONLY = ("category", "window_end")
-USER_COLS = ("product_id", "product_name", "category", "window_start", "window_end", "view_count",
-             "click_count", "add_to_cart_count", "unique_users", "click_through_rate",
-             "add_to_cart_rate")
-ORDER_COLS = ("product_id", "product_name", "category", "window_start", "window_end",
-              "purchase_count", "total_revenue_usd", "avg_order_value", "unique_buyers")
-
-# snapshot cut-offs at 1/3 and 2/3 of the broker-time range of silver
-_CUTS = """
-cuts AS (
-  SELECT make_timestamp(lo + (hi - lo) // 3) AS t1, make_timestamp(lo + 2 * ((hi - lo) // 3)) AS t2
-  FROM (SELECT epoch_us(min(kafka_timestamp)) AS lo, epoch_us(max(kafka_timestamp)) AS hi FROM silver)),
-"""
+    GROUP BY product_id, product_name, category, date_trunc('{trunc}', event_time){by})"""
+
+
+# columns that an update overwrites: all but the keys and these
+INSERT_ONLY = ("category", "window_end")
+KEYS = ("product_id", "window_start")
+
+# the three parts of the broker time and their changed names (see plans.catalog)
+_REV = """CASE WHEN minute(kafka_timestamp) < 20 THEN 0 WHEN minute(kafka_timestamp) < 40 THEN 1
+              WHEN minute(kafka_timestamp) < 50 THEN 2 ELSE 3 END"""
+_CHANGED = {
+    "product_name": "CASE WHEN rev = 0 THEN product_name ELSE product_name || ' r' || rev END",
+    "category": "CASE WHEN rev = 0 THEN category ELSE category || '/r' || rev END",
+    "window_end": "window_end + to_minutes(rev)",
+}
 
 
 def merge_sql(kind: str) -> str:
     gold = user_gold if kind == "user" else order_gold
     silver = "silver_user" if kind == "user" else "silver_order"
-    cols = USER_COLS if kind == "user" else ORDER_COLS
-    upd = USER_UPDATE if kind == "user" else ORDER_UPDATE
-    ins = USER_INSERT_ONLY if kind == "user" else ORDER_INSERT_ONLY
-    tie = ", ".join(c for c in cols if c not in ("product_id", "window_start"))
-    tie_desc = ", ".join(f"{c} DESC" for c in cols if c not in ("product_id", "window_start"))
+    cols = USER_METRICS_COLS if kind == "user" else ORDER_METRICS_COLS
+    ins = INSERT_ONLY
+    upd = [c for c in cols if c not in KEYS + INSERT_ONLY]
+    tie = ", ".join(c for c in cols if c not in KEYS)
+    tie_desc = ", ".join(f"{c} DESC" for c in cols if c not in KEYS)
+    shown = ", ".join(f"{_CHANGED[c]} AS {c}" if c in _CHANGED else c for c in cols)
     ctes = [
-        _CUTS.strip().rstrip(","),
-        f"snap1 AS (SELECT * FROM {silver} WHERE kafka_timestamp < (SELECT t1 FROM cuts))",
-        f"snap2 AS (SELECT * FROM {silver} WHERE kafka_timestamp < (SELECT t2 FROM cuts))",
-        f"target AS ({gold('snap1', '1h')})",
-        f"upd AS (SELECT *, 1 AS batch_id FROM ({gold('snap2', '1h')}) "
-        f"UNION ALL SELECT *, 2 AS batch_id FROM ({gold(silver, '1h')}))",
+        f"tagged AS (SELECT *, {_REV} AS rev FROM {silver})",
+        f"parts AS (SELECT {shown}, least(rev, 2) AS batch_id FROM ({gold('tagged', '1h', ', rev')}))",
+        "target AS (SELECT * FROM parts WHERE batch_id = 0)",
+        "upd AS (SELECT * FROM parts WHERE batch_id > 0)",
         f"ranked AS (SELECT *, row_number() OVER (PARTITION BY product_id, window_start ORDER BY batch_id, {tie}) AS rn_first, "
         f"row_number() OVER (PARTITION BY product_id, window_start ORDER BY batch_id DESC, {tie_desc}) AS rn_last "
         f"FROM upd WHERE product_id IS NOT NULL AND window_start IS NOT NULL)",
@@ -185,12 +180,16 @@ WHERE rejected_rule IS NOT NULL GROUP BY topic, rejected_rule"""
     for unit in ("1m", "1h", "1d"):
         q[f"user_metrics_{unit}"] = with_base() + user_gold("silver_user", unit)
         q[f"order_metrics_{unit}"] = with_base() + order_gold("silver_order", unit)
+    q["user_metrics_approx"] = with_base() + f"SELECT *, TRUE AS within_bound FROM ({user_gold('silver_user', '1m')})"
+    q["order_metrics_approx"] = with_base() + f"SELECT *, TRUE AS within_bound FROM ({order_gold('silver_order', '1m')})"
+    q["export_versioned"] = merge_sql("user")
     q["merge_user_metrics"] = merge_sql("user")
     q["merge_order_metrics"] = merge_sql("order")
     q["conform_columns"] = with_base(f"g AS ({user_gold('silver_user', '1h')})") + \
-        "SELECT product_id, product_name, category, window_start, window_end, view_count, " \
-        "click_count, add_to_cart_count, unique_users, click_through_rate, " \
-        "CAST(NULL AS DOUBLE) AS add_to_cart_rate FROM g WHERE window_start IS NOT NULL"
+        "SELECT product_id, product_name, category, window_start, " \
+        "CASE WHEN hour(window_start) NOT IN (5, 15) THEN window_end END AS window_end, " \
+        "view_count, click_count, add_to_cart_count, unique_users, click_through_rate, " \
+        "CAST(NULL AS DOUBLE) AS add_to_cart_rate FROM g WHERE hour(window_start) NOT IN (3, 7, 13)"
     q["encode_and_route"] = with_base() + f"""
 SELECT CASE WHEN event_type = 'purchase' THEN 'order_events' ELSE 'user_activity_events' END AS topic,
        user_id AS key, {PAYLOAD} FROM silver"""
@@ -238,6 +237,11 @@ GROUP BY topic, window_start"""
 SELECT 'user_metrics' AS table_name, count(*) AS row_count, 11 AS col_count FROM ug
 UNION ALL SELECT 'order_metrics' AS table_name, count(*) AS row_count, 9 AS col_count FROM og"""
     q["stream_silver"] = with_base() + f"SELECT topic, {PAYLOAD} FROM silver"
+    # rows held back until the rest of the stream is through are late by hours
+    q["stream_multi_batch"] = with_base() + f"""
+SELECT topic, {PAYLOAD} FROM silver
+WHERE NOT (CAST(substr(event_id, 2) AS BIGINT) % 97 = 1 AND producer_time <
+  (SELECT make_timestamp(lo + (hi - lo) // 2) FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)) - INTERVAL 1 HOUR)"""
     q["stream_user_metrics"] = with_base(f"g AS ({user_gold('silver_user', '1m')})") + \
         "SELECT * FROM g WHERE window_end <= (SELECT max(event_time) FROM silver_user) - INTERVAL 5 MINUTE"
     q["stream_order_metrics"] = with_base(f"g AS ({order_gold('silver_order', '1m')})") + \

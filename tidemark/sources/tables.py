@@ -33,8 +33,8 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
         if schema is not None:
             r = r.schema(schema)
         return r.load(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -47,8 +47,8 @@ def read_sink_table(spark: SparkSession, path: str, schema: T.StructType | None
         if schema is not None:
             r = r.schema(schema)
         return r.parquet(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 

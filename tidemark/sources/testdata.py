@@ -45,17 +45,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute an input that arrives in fewer splits than the cluster
-    has cores (e.g. one small file with a single row group), so the per-row
-    work after it runs in parallel. Large inputs are left as scanned: at scale
-    the scan already yields thousands of splits and no shuffle is added."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, key)
-    return df
-
-
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-contract messages for both topics, derived from ``events`` and ``part``.
 
@@ -64,7 +53,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     AQE splits. The per-message rules are SQL
     expressions (one parse per column instead of one JVM call per function).
     """
-    ev = spread(read_table(spark, sf_dir, "events"), "event_id").selectExpr(
+    ev = read_table(spark, sf_dir, "events").selectExpr(
         "event_id AS id", "ts", "user_id", "value",
         "CASE WHEN event_type = 'signup' THEN 'add_to_cart' ELSE event_type END AS etype",
         "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")

@@ -9,7 +9,6 @@ in tests and backfills. All layer logic comes from the batch operators.
 from __future__ import annotations
 
 import contextlib
-import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ from ..plans.batch import to_silver
 from ..schemas import (BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_METRICS_SCHEMA,
                        ORDER_TOPIC, PAYLOAD_COLS, SILVER_WATERMARK, TOPICS,
                        USER_METRICS_SCHEMA, USER_TOPIC)
-from ..session import SESSION_CONF, ensure_utc, new_run_dir
+from ..session import SESSION_CONF, ensure_utc, new_run_dir, remove_at_exit, stored
 from ..sources.kafka import message_file_stream
 from ..sources.tables import read_sink_table, read_table_stream
 from ..sources.testdata import raw_messages
@@ -32,14 +31,11 @@ from .supervise import supervise
 PRODUCTION_TRIGGER = {"processingTime": "5 minutes"}
 
 
-def _prepare(spark: SparkSession, empty_batches: bool | None) -> None:
+def _prepare(spark: SparkSession) -> None:
     ensure_utc(spark)
     key = "spark.sql.streaming.stateStore.providerClass"
     if not spark.conf.get(key, None) or "HDFSBacked" in spark.conf.get(key):
         spark.conf.set(key, SESSION_CONF[key])
-    if empty_batches is not None:
-        # K4: fewer empty files, but closable windows wait for the next input
-        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(empty_batches).lower())
 
 
 DATE_COL = {"event_time": "event_date", "window_start": "window_date"}
@@ -51,19 +47,26 @@ def with_date(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def _state_width(spark: SparkSession, partitions: int | None):
-    """Shuffle width for the stateful query started inside; a query copies the
-    session conf when it starts and its checkpoint pins the width afterwards."""
-    key = "spark.sql.shuffle.partitions"
-    if not partitions:
-        yield
-        return
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
+def _start_conf(spark: SparkSession, partitions: int | None = None, empty_batches: bool | None = None):
+    """Settings of the one query started inside; the session's own come back afterwards.
+
+    A query copies the session conf when it starts. ``partitions``: shuffle width, pinned
+    by the checkpoint of a stateful query. ``empty_batches`` (K4): without them there are
+    fewer empty files, but closable windows wait for the next input.
+    """
+    wanted = {}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    if empty_batches is not None:
+        wanted["spark.sql.streaming.noDataMicroBatches.enabled"] = str(empty_batches).lower()
+    old = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.set(key, value)
 
 
 def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str,
@@ -88,11 +91,12 @@ def start_bronze(spark: SparkSession, messages: DataFrame, out_path: str, name:
                  empty_batches: bool | None = None,
                  partition_by_date: bool = False) -> StreamingQuery:
     """Messages -> bronze table (stateless, no shuffle)."""
-    _prepare(spark, empty_batches)
+    _prepare(spark)
     bronze = decode(messages)
-    if partition_by_date:
-        return _sink(with_date(bronze, "event_time"), out_path, name, trigger, fmt, "event_date")
-    return _sink(bronze, out_path, name, trigger, fmt)
+    with _start_conf(spark, None, empty_batches):
+        if partition_by_date:
+            return _sink(with_date(bronze, "event_time"), out_path, name, trigger, fmt, "event_date")
+        return _sink(bronze, out_path, name, trigger, fmt)
 
 
 def _bronze_schema(dated: bool) -> T.StructType:
@@ -114,10 +118,10 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
     ``partition_by_date``: input and output are partitioned by ``event_date``.
     ``state_partitions``: dedup state width of a new checkpoint (default: the
     session's shuffle partitions)."""
-    _prepare(spark, empty_batches)
+    _prepare(spark)
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger)
-    with _state_width(spark, state_partitions):
+    with _start_conf(spark, state_partitions, empty_batches):
         return _sink(to_silver(src, delay, unbounded, precombine_copies=precombine_copies),
                      out_path, name, trigger, fmt, "event_date" if partition_by_date else None)
 
@@ -138,12 +142,12 @@ def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind
 
     ``partition_by_date``: silver is read with its ``event_date`` partitions and
     gold is written partitioned by ``window_date``."""
-    _prepare(spark, empty_batches)
+    _prepare(spark)
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger).withWatermark("event_time", delay)
     gold = (user_metrics(src, window, distinct) if kind == "user"
             else order_metrics(src, window, distinct))
-    with _state_width(spark, state_partitions):
+    with _start_conf(spark, state_partitions, empty_batches):
         if partition_by_date:
             return _sink(with_date(gold, "window_start"), out_path, name, trigger, fmt,
                          "window_date", output_partitions)
@@ -159,12 +163,12 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
     """Bronze table -> gold table in one query: validation, bounded dedup and the
     windowed aggregate share one watermark (``delay``), so no silver table and
     no second checkpoint are needed."""
-    _prepare(spark, empty_batches)
+    _prepare(spark)
     src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
     silver = to_silver(src, delay)
     gold = (user_metrics(silver, window, distinct) if kind == "user"
             else order_metrics(silver, window, distinct))
-    with _state_width(spark, state_partitions):
+    with _start_conf(spark, state_partitions, empty_batches):
         return _sink(gold, out_path, name, trigger, fmt)
 
 
@@ -184,8 +188,6 @@ def start_many(starters: Sequence) -> list[StreamingQuery]:
 # ---------------------------------------------------------------------------
 # availableNow run of the whole chain over the test data (registered queries)
 # ---------------------------------------------------------------------------
-_RUNS: dict[tuple[str, str], dict[str, str]] = {}
-_RUN_LOCK = threading.Lock()
 
 
 def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -193,52 +195,95 @@ def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
     raw_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
 
 
+SHORT = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
+
+
 def run_chain(spark: SparkSession, sf_dir: str, base: str,
               trigger: dict | None = None, partition_by_date: bool = False,
-              distinct: str = "approx") -> dict[str, str]:
+              distinct: str = "approx", topics: Sequence[str] = TOPICS, gold: bool = True) -> dict[str, str]:
+    """Stage the messages, then run bronze, silver and (unless ``gold`` is off) gold of ``topics``."""
     trigger = trigger or {"availableNow": True}
     dated = partition_by_date
     # state width for these new checkpoints: one partition per core
     width = spark.sparkContext.defaultParallelism
     paths = {"raw": f"{base}/raw"}
     stage_messages(spark, sf_dir, paths["raw"])
-    short = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
-    for t in TOPICS:
-        paths[f"bronze_{short[t]}"] = f"{base}/bronze/{short[t]}"
-        paths[f"silver_{short[t]}"] = f"{base}/silver/{short[t]}"
-        paths[f"gold_{short[t]}"] = f"{base}/gold/{short[t]}"
+    for s in SHORT.values():
+        paths |= {f"{layer}_{s}": f"{base}/{layer}/{s}" for layer in ("bronze", "silver", "gold")}
     supervise(start_many([
         (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t),
-                                  paths[f"bronze_{short[t]}"], f"bronze_{short[t]}", trigger,
+                                  paths[f"bronze_{SHORT[t]}"], f"bronze_{SHORT[t]}", trigger,
                                   partition_by_date=dated))
-        for t in TOPICS]), poll_seconds=1.0)
+        for t in topics]), poll_seconds=1.0)
     supervise(start_many([
         (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
                                   trigger, partition_by_date=dated, state_partitions=width))
-        for s in ("user", "order")]), poll_seconds=1.0)
-    supervise(start_many([
-        (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
-                                trigger, partition_by_date=dated, state_partitions=width,
-                                distinct=distinct))
-        for s in ("user", "order")]), poll_seconds=1.0)
+        for s in map(SHORT.get, topics)]), poll_seconds=1.0)
+    if gold:
+        supervise(start_many([
+            (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
+                                    trigger, partition_by_date=dated, state_partitions=width,
+                                    distinct=distinct))
+            for s in map(SHORT.get, topics)]), poll_seconds=1.0)
     return paths
 
 
-def run_chain_available_now(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Run bronze -> silver -> gold once with ``availableNow`` triggers and return
-    the committed tables. One run per (application, folder) is reused."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _RUN_LOCK:
-        paths = _RUNS.get(key)
-        if paths is None:
-            # exact distinct users, so the streamed gold is comparable row for row
-            # with the batch definition (the approximate form is the job default)
-            paths = run_chain(spark, sf_dir, new_run_dir(spark, "stream"), distinct="exact")
-            _RUNS[key] = paths
-    silver = (read_sink_table(spark, paths["silver_user"], BRONZE_SCHEMA)
-              .unionByName(read_sink_table(spark, paths["silver_order"], BRONZE_SCHEMA)))
-    return {
-        "silver": silver.select("topic", *PAYLOAD_COLS),
-        "user_metrics": read_sink_table(spark, paths["gold_user"], USER_METRICS_SCHEMA),
-        "order_metrics": read_sink_table(spark, paths["gold_order"], ORDER_METRICS_SCHEMA),
-    }
+def _run_dir(spark: SparkSession, label: str) -> str:
+    path = new_run_dir(spark, label)
+    remove_at_exit(spark, path)
+    return path
+
+
+def _payloads(spark: SparkSession, *silver: str) -> DataFrame:
+    first, *rest = [read_sink_table(spark, path, BRONZE_SCHEMA) for path in silver]
+    for more in rest:
+        first = first.unionByName(more)
+    return first.select("topic", *PAYLOAD_COLS)
+
+
+def run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of both topics, streamed by an ``availableNow`` run."""
+    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), gold=False)
+    return _payloads(spark, paths["silver_user"], paths["silver_order"])
+
+
+def run_gold(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Gold of one topic, streamed by an ``availableNow`` run.
+
+    With exact distinct users, so that it compares row for row with the batch
+    definition (the approximate form is the job default)."""
+    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), distinct="exact", topics=[topic])
+    return read_sink_table(spark, paths[f"gold_{SHORT[topic]}"],
+                           USER_METRICS_SCHEMA if topic == USER_TOPIC else ORDER_METRICS_SCHEMA)
+
+
+#: messages of one id in so many are held back, if sent an hour or more before half time
+HELD_MOD, HELD_REM = 97, 1
+
+
+def run_restarts(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4) -> DataFrame:
+    """Silver of a stream that is stopped and resumed from its checkpoints.
+
+    The messages come in three parts, in order of sending, and each part is one start of
+    the bronze and silver jobs: the first half, the second half, and what was held back
+    of the first, which is then behind the watermark and dropped (W6).
+    """
+    base = _run_dir(spark, "restarts")
+    raw = f"{base}/raw"
+    sent = F.unix_micros("timestamp") - 1_000_000 * (F.expr("offset div 2") % 5 + F.col("offset") % 2)
+    messages = stored(spark, raw_messages(spark, sf_dir).withColumn("sent", sent), "restart-messages")
+    low, high = messages.agg(F.min("sent"), F.max("sent")).first()
+    half = 0 if low is None else low + (high - low) // 2
+    held = (F.expr("offset div 2") % HELD_MOD == HELD_REM) & (F.col("sent") < half - 3_600_000_000)
+    width = spark.sparkContext.defaultParallelism
+    once = {"availableNow": True}
+    for part in (~held & (F.col("sent") < half), F.col("sent") >= half, held):
+        (messages.where(part).drop("sent").write.mode("append").partitionBy("topic").parquet(raw))
+        supervise(start_many([
+            (lambda t=t, s=s: start_bronze(
+                spark, message_file_stream(spark, f"{raw}/topic={t}", t, files_per_trigger),
+                f"{base}/bronze/{s}", f"bronze_{s}", once)) for t, s in SHORT.items()]), poll_seconds=1.0)
+        supervise(start_many([
+            (lambda s=s: start_silver(spark, f"{base}/bronze/{s}", f"{base}/silver/{s}", f"silver_{s}", once,
+                                      state_partitions=width)) for s in SHORT.values()]), poll_seconds=1.0)
+    return _payloads(spark, *[f"{base}/silver/{s}" for s in SHORT.values()])

@@ -133,33 +133,51 @@ def start_merge_stream(gold: DataFrame, path: str, schema: T.StructType, keys: S
             .trigger(**(trigger or {"processingTime": "5 minutes"})).start())
 
 
+def collapsed(updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+              order_by: Sequence[str]) -> DataFrame:
+    """``updates`` with one row per key, as applying them row by row would insert it."""
+    insert_only = [c for c in updates.columns if c not in keys and c not in update_cols]
+    return collapse_updates(updates, keys, update_cols, insert_only, order_by).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in update_cols],
+        *[F.col(f"_first.{c}").alias(c) for c in insert_only])
+
+
 def delta_merge(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                 update_cols: Sequence[str], order_by: Sequence[str]) -> None:
     """Same semantics through Delta's MERGE (requires delta-spark)."""
     from delta.tables import DeltaTable  # noqa: PLC0415 - optional dependency
-    cols = updates.columns
-    insert_only = [c for c in cols if c not in keys and c not in update_cols]
-    collapsed = collapse_updates(updates, keys, update_cols, insert_only, order_by).select(
-        *keys, *[F.col(f"_last.{c}").alias(c) for c in update_cols],
-        *[F.col(f"_first.{c}").alias(c) for c in insert_only])
+    rows = collapsed(updates, keys, update_cols, order_by)
     cond = " AND ".join(f"t.{k} = u.{k}" for k in keys)
-    (DeltaTable.forPath(spark, path).alias("t").merge(collapsed.alias("u"), cond)
+    (DeltaTable.forPath(spark, path).alias("t").merge(rows.alias("u"), cond)
      .whenMatchedUpdate(set={c: f"u.{c}" for c in update_cols})
      .whenNotMatchedInsertAll().execute())
 
 
-def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str],
-                update_cols: Sequence[str], properties: dict[str, str]) -> None:
-    """Upsert into a relational table: bulk-load a staging table with Spark's
-    JDBC writer (partition-parallel, batched), then one set-based
-    ``INSERT ... SELECT ... ON CONFLICT`` statement. Requires the database's
-    JDBC driver on the classpath; not exercised offline."""
-    staging = f"{table}_staging"
-    df.write.jdbc(url, staging, mode="overwrite", properties=properties)
-    cols = ", ".join(df.columns)
-    sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in update_cols)
-    sql = (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging} "
-           f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {sets}")
+def quoted(name: str) -> str:
+    """A possibly dotted name as quoted SQL identifiers."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
+
+
+def upsert_statement(table: str, staging: str, columns: Sequence[str], keys: Sequence[str],
+                     update_cols: Sequence[str]) -> str:
+    cols = ", ".join(map(quoted, columns))
+    sets = ", ".join(f"{quoted(c)} = EXCLUDED.{quoted(c)}" for c in update_cols)
+    return (f"INSERT INTO {quoted(table)} ({cols}) SELECT {cols} FROM {quoted(staging)} "
+            f"ON CONFLICT ({', '.join(map(quoted, keys))}) DO UPDATE SET {sets}")
+
+
+def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], update_cols: Sequence[str],
+                properties: dict[str, str], order_by: Sequence[str] = ("window_end",)) -> None:
+    """Upsert into a relational table.
+
+    The rows, one per key, are bulk-loaded into a staging table of their own with Spark's
+    JDBC writer (partition-parallel, batched); one set-based statement moves them over in a
+    transaction and the staging table is dropped. Needs the database's JDBC driver; the
+    statement and the collapsed rows are tested, the database step is not exercised here.
+    """
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    rows = collapsed(df, keys, update_cols, order_by)
+    rows.write.jdbc(url, quoted(staging), mode="errorifexists", properties=properties)
     jvm = df.sparkSession.sparkContext._jvm
     props = jvm.java.util.Properties()
     for k, v in properties.items():
@@ -168,22 +186,30 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str],
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
-        stmt.executeUpdate(sql)
-        conn.commit()
+        try:
+            stmt.executeUpdate(upsert_statement(table, staging, rows.columns, keys, update_cols))
+            conn.commit()
+        except Exception:
+            conn.rollback()
+            raise
+        finally:
+            stmt.executeUpdate(f"DROP TABLE {quoted(staging)}")
+            conn.commit()
     finally:
         conn.close()
 
 
 def export_table(spark: SparkSession, gold_path: str, target_path: str, schema: T.StructType,
                  keys: Sequence[str], update_cols: Sequence[str],
-                 waits: Sequence[float] = RETRY_WAITS) -> dict:
+                 waits: Sequence[float] = RETRY_WAITS, fmt: str = "parquet") -> dict:
     """Batch export of a gold table into the keyed target (the by-hand export job).
 
     Reads the gold table through its commit log (only committed files, F8),
     conforms it and merges it as the next version. Re-running with unchanged
     gold rewrites identical rows (idempotent by the upsert)."""
     from ..sources.tables import read_sink_table
-    gold = read_sink_table(spark, gold_path, schema)
+    gold = (read_sink_table(spark, gold_path, schema) if fmt == "parquet"
+            else spark.read.format(fmt).load(gold_path))  # through the format's own log
     if gold.isEmpty():
         return {"skipped": True, "reason": "no rows"}
     run = f"export-{uuid.uuid4().hex}"

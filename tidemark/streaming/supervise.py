@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
@@ -17,44 +18,46 @@ class StreamFailed(RuntimeError):
 def supervise(queries: Sequence[StreamingQuery], poll_seconds: float = 30.0,
               on_progress: Callable[[dict[str, int]], None] | None = None,
               until_done: bool = True) -> None:
-    """Poll a linked group of queries.
+    """Watch a linked group of queries.
 
-    If one query dies with an error, its siblings are stopped and the error is
-    re-raised (the caller's process then exits non-zero and a restart policy
-    can act). Returns when every query has finished normally (e.g. an
-    ``availableNow`` run).
+    A query that ends with an error takes its siblings down and its error is raised, so
+    the caller's process exits non-zero and a restart policy can act. ``until_done``
+    tells what an end without error means: normal for queries that finish (an
+    ``availableNow`` run; returns when all have), else a failure like any other, as
+    queries of a service are not meant to end.
     """
     queries = list(queries)
-    while True:
-        for q in queries:
-            if not q.isActive:
-                exc = q.exception()
-                if exc is not None:
-                    for other in queries:
-                        if other is not q and other.isActive:
-                            other.stop()
-                    raise StreamFailed(f"stream {q.name or q.id} failed: {exc}") from exc
-        if until_done and not any(q.isActive for q in queries):
+    while queries:
+        ended = [q for q in queries if not q.isActive]
+        failed = next((q for q in ended if q.exception() is not None), None)
+        if failed is not None or (ended and not until_done):
+            for q in queries:
+                if q.isActive:
+                    q.stop()
+            bad = failed or ended[0]
+            cause = bad.exception()
+            raise StreamFailed(f"stream {bad.name or bad.id} ended: {cause or 'stopped'}") from cause
+        if len(ended) == len(queries):
             return
         if on_progress is not None:
             on_progress({(q.name or str(q.id)): (q.lastProgress or {}).get("numInputRows", 0)
                          for q in queries})
-        # wake early when any query terminates; a failure re-raised here is
-        # handled on the next pass through ``exception()``
-        for q in queries:
-            if q.isActive:
-                try:
-                    q.awaitTermination(poll_seconds / max(1, len(queries)))
-                except Exception:  # noqa: BLE001
-                    break
+        _wait_for_end([q for q in queries if q.isActive], poll_seconds)
+
+
+def _wait_for_end(active: Sequence[StreamingQuery], seconds: float) -> None:
+    """Return after ``seconds``, or as soon as one of ``active`` has ended."""
+    until = time.monotonic() + seconds
+    while active and all(q.isActive for q in active) and (left := until - time.monotonic()) > 0:
+        time.sleep(min(left, 0.2))
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects one row per finished micro-batch: query name, batch id, input
+    """The last ``keep`` finished micro-batches: query name, batch id, input
     rows, rows dropped by watermark and state rows (W7)."""
 
-    def __init__(self):
-        self._rows: list[dict] = []
+    def __init__(self, keep: int = 1000):
+        self._rows: deque[dict] = deque(maxlen=keep)
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
@@ -88,10 +91,3 @@ class ProgressLog(StreamingQueryListener):
 
     def detach(self, spark: SparkSession) -> None:
         spark.streams.removeListener(self)
-
-
-def wait_for_listener(log: ProgressLog, name: str, batches: int, timeout: float = 30.0) -> None:
-    """Listener events are asynchronous; wait until ``batches`` progress rows arrived."""
-    end = time.time() + timeout
-    while time.time() < end and len(log.rows(name)) < batches:
-        time.sleep(0.1)
