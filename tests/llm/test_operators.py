@@ -240,3 +240,18 @@ def test_unigram_pass_against_all_segmentations():
         pieces = list(codec.segments(text))
         assert "".join(pieces) == text
         assert abs(sum(codec.by_piece[p] for p in pieces) - best(text)) < 1e-6
+
+
+def test_word_ids_are_the_tokenizers():
+    """Words of every kind: Latin letters and marks by parts, all others as they are."""
+    public = pytest.importorskip("public_tokenizers")
+    words = packing.WordIds(public.path(packing.TOKENIZER))
+    rng = random.Random(3)
+    latin = [chr(c) for c in range(0x250)] + list(".,;:!?'abcXYZ") * 20
+    wide = [chr(c) for c in range(0x600)] + list("ΣσςẞKΩ가漢́̈­😀　 ") * 20
+    made = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for pool in (latin, wide) for _ in range(5000)]
+    made += ["İstanbul", "it's", "we'LL", "<|endoftext|>", "x<|startoftext|>y", "a" * 60, "՘c", "naïve!!"]
+    whole = words.whole.encode_batch(made, add_special_tokens=False)
+    for text, want in zip(made, whole, strict=True):
+        got = b"".join(words[w] for w in packing._words(text))
+        assert np.frombuffer(got, "<u4").tolist() == want.ids, repr(text)

@@ -2,7 +2,7 @@
 
 1. Every document becomes its token ids and one end id; only documents longer than a
    sequence are cut, into whole sequences and one shorter rest. Words repeat, so a
-   worker keeps the ids of the words it has met; each word's ids come from the
+   task keeps the ids of the words it has met; each word's ids come from the
    tokenizer itself. Each piece gets its rank among the pieces of its length in its task.
 2. The length histogram (as many numbers as a sequence has tokens) goes to the driver.
    There the configuration linear program - how often to use each combination of
@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,26 +42,30 @@ SEQUENCE, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
 #: steps of the multiplicative-weights solver, its learning rate and step size
 STEPS, RATE, STEP = 400, 4.0, 0.5
-#: words (and word parts) whose ids a worker remembers, and the longest word it remembers
+#: words (and word parts) whose ids a task remembers, and the longest word it remembers
 REMEMBER, LONGEST = 400_000, 40
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """Loaded once a worker; the words it has met are remembered for a task only."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
 class WordIds(dict):
     """White-space separated word -> its ids as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins ids across it, so the ids of a
-    text are those of its words in order. Parts (letter runs and so on) are remembered as
-    well, since words differ mostly in punctuation; merging a part alone costs a fraction
-    of a call to the whole tokenizer.
+    text are those of its words in order. Parts of Latin words (letter runs and so on) are
+    remembered as well, since words differ mostly in punctuation; merging a part alone costs
+    a fraction of a call to the whole tokenizer. Words of other scripts go to that.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         super().__init__()
-        self.whole = Tokenizer.from_file(path)
-        # the tokenizer's own steps: normalise, split into parts, merge a part
-        self.normal = self.whole.normalizer.normalize_str
-        self.split = self.whole.pre_tokenizer.pre_tokenize_str
+        self.whole = _tokenizer(path)
+        # the tokenizer's own steps for Latin words: lower case, split into parts, merge a part
         self.merge = self.whole.model.tokenize
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -73,21 +78,22 @@ class WordIds(dict):
         return ids
 
     def _ids(self, word: str) -> bytes:
-        if "<|" in word or len(word) > LONGEST:  # special tokens and odd words: as they are
+        if ("<|" in word or len(word) > LONGEST  # special tokens, odd words, other scripts: as they are
+                or not word.isascii() and max(word) >= _NOT_LATIN):
             return self._encode(word)
         core = word.rstrip(_MARKS)
-        if core.isalpha():  # letters, then marks: two parts at most
-            core = core.lower() if core.isascii() else self.normal(core)
-            if core.isalpha():
-                return self._part(core) + self._part(word[len(word.rstrip(_MARKS)):])
-        return b"".join(self._part(part) for part in _PARTS.findall(self.normal(word)))
+        low = core.lower()
+        if low.isalpha():  # letters, then marks: two parts at most
+            ids = self._part(low)
+            return ids if len(core) == len(word) else ids + self._part(word[len(core):])
+        return b"".join(self._part(part) for part in _PARTS.findall(word.lower()))
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             if len(self.parts) >= REMEMBER:
                 self.parts = {"": b""}
-            as_bytes = part if part.isascii() and part.isprintable() else "".join(x for x, _ in self.split(part))
+            as_bytes = part if part.isascii() and part.isprintable() else _byte_letters(part)
             ids = self.parts[part] = array("I", [t.id for t in self.merge(as_bytes)]).tobytes()
         return ids
 
@@ -99,6 +105,17 @@ class WordIds(dict):
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: marks that often end a word; they make one part of their own
 _MARKS = ".,;:!?"
+#: words of characters before this one are composed already: lower-casing is all that the
+#: tokenizer's normaliser does to them
+_NOT_LATIN = "\u0250"
+#: byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+
+
+def _byte_letters(part: str) -> str:
+    """The UTF-8 bytes of ``part`` as letters of the byte-level alphabet."""
+    return part.encode().decode("latin-1").translate(_LETTERS)
 
 
 def _words(text: str) -> list[str]:
