@@ -115,3 +115,82 @@ def test_collapsed_rows_have_unique_keys(spark):
                                  "k int, name string, cat string, n int")
     out = collapsed(rows, ["k"], ["name", "n"], ["n"]).select("k", "name", "cat", "n").collect()
     assert sorted(map(tuple, out)) == [(1, "b", "x", 2), (2, "c", "z", 1)]
+
+
+def _snapshot(path):
+    """Data files of the table with their modification times."""
+    import glob
+    import os
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/v=*/window_date=*/part-*")}
+
+
+def test_a_batch_rewrites_only_its_dates(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.sinks import retain
+    path = f"{workdir}/t"
+    day = lambda n: F.col("window_start") + F.make_dt_interval(days=F.lit(n))
+    gold = _gold(spark)
+    three = gold
+    for n in (1, 2):
+        three = three.unionByName(gold.withColumn("window_start", day(n)))
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
+    sink(three, 0)
+    first = _snapshot(path)
+    assert len({f.split("/")[-2] for f in first}) == 3
+    middle = gold.withColumn("window_start", day(1)).withColumn("click_count", F.lit(7).cast("long"))
+    sink(middle, 1)
+    second = _snapshot(path)
+    assert {f: t for f, t in second.items() if f in first} == first
+    assert {f.split("/")[-2] for f in set(second) - set(first)} == {"window_date=2024-01-02"}
+    rows = read_versioned(spark, path, USER_METRICS_SCHEMA)
+    assert rows.count() == 6 and rows.select(*MERGE_KEYS).distinct().count() == 6
+    assert {r.window_start.day for r in rows.where("click_count = 7").collect()} == {2}
+    # one version kept: the replaced folder of the middle day goes, the other two days stay
+    before = sorted(map(tuple, rows.collect()))
+    assert retain(spark, path, keep=1)["versions_removed"] == []
+    third = _snapshot(path)
+    assert {f.split("/")[-2] for f in set(second) - set(third)} == {"window_date=2024-01-02"}
+    assert sorted(map(tuple, read_versioned(spark, path, USER_METRICS_SCHEMA).collect())) == before
+    sink(gold.withColumn("click_count", F.lit(99).cast("long")), 1)     # replay: still known
+    assert sorted(map(tuple, read_versioned(spark, path, USER_METRICS_SCHEMA).collect())) == before
+
+
+def test_date_of_a_row_does_not_follow_the_session_zone(spark, workdir):
+    path = f"{workdir}/t"
+    gold = _gold(spark)
+    args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    merge_into_versioned(spark, path, gold, *args, 0)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        merge_into_versioned(spark, path, gold, *args, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 2
+
+
+def test_failure_before_the_log_leaves_the_table_as_it_was(spark, workdir, monkeypatch):
+    import os
+
+    from tidemark.streaming import sinks
+    path = f"{workdir}/t"
+    gold = _gold(spark)
+    args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
+    merge_into_versioned(spark, path, gold.limit(1), *args, 0)
+    real = sinks._read_dates
+    calls = []
+
+    def failing(*a):
+        calls.append(1)
+        if len(calls) == 2:  # the data is written, the log is not
+            raise RuntimeError("lost")
+        return real(*a)
+    monkeypatch.setattr(sinks, "_read_dates", failing)
+    with pytest.raises(RuntimeError):
+        merge_into_versioned(spark, path, gold, *args, 1)
+    monkeypatch.setattr(sinks, "_read_dates", real)
+    assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 1
+    assert merge_into_versioned(spark, path, gold, *args, 1)["version"] == 1
+    assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 2
+    assert os.listdir(f"{path}/_staging") == []

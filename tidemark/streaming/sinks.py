@@ -2,17 +2,21 @@
 
 Layout of a table at ``path``::
 
-    path/v=<n>/part-*.parquet    immutable full versions
-    path/_log/part-*.parquet     commit log: (version, rows, writer, batch id) per commit
-
-A version becomes visible only after its data is written: the commit-log row
-is appended afterwards (K7, all-or-nothing per table). Readers take the
-highest logged version; a new version is always the next number. Replaying a batch
-that the same writer has logged is a no-op (a writer is one stream checkpoint or
-one export run, so batch ids of different writers never shadow each other), and a batch interrupted before its log row is simply rewritten, so
-``foreachBatch`` re-deliveries after a failure are idempotent. The log and the
-versions are plain Spark writes on the shared file system; no driver-local
-state is involved.
+    path/v=<n>/window_date=<d>/part-*.parquet   the rows of date d as of version n
+    path/_log/part-*.parquet                    commit log, one row per version and date
+    path/_staging/<id>                          the batch being merged, removed afterwards
+
+A commit rewrites only the dates (UTC) that its batch holds, so its cost follows the
+batch and those dates, not the table. A version becomes visible only after its data is
+written: its commit-log rows are appended afterwards in one file (K7, all-or-nothing per
+table). Readers take, for each date, the folder of the highest logged version; a new
+version is always the next number. Replaying a batch that the same writer has logged is
+a no-op (a writer is one stream checkpoint or one export run, so batch ids of different
+writers never shadow each other), and a batch interrupted before its log rows is simply
+rewritten, so ``foreachBatch`` re-deliveries after a failure are idempotent. A batch is
+evaluated once a try: what it holds is staged and everything else reads that. Log,
+versions and staging are plain Spark writes on the shared file system; no driver-local
+state is involved, and the driver sees one log row per date.
 
 With Delta Lake on the classpath ``delta_merge`` runs the same upsert as a
 MERGE statement instead (untested offline: no Delta jar in this environment).
@@ -20,18 +24,21 @@ MERGE statement instead (untested offline: no Delta jar in this environment).
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import collapse_updates, conform, merge_upsert
 
+DATE = "window_date"
 LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
+                           T.StructField(DATE, T.DateType()),
                            T.StructField("row_count", T.LongType()),
                            T.StructField("writer", T.StringType()),
                            T.StructField("batch_id", T.LongType())])
@@ -76,35 +83,69 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None if row is None or row.v is None else int(row.v)
 
 
-def read_versioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The latest committed version, or an empty frame of ``schema``."""
-    v = current_version(spark, path)
-    if v is None:
+def _read_dates(spark: SparkSession, path: str, schema: T.StructType,
+                current: dict[dt.date, int]) -> DataFrame:
+    """The rows of the folders that ``current`` (date -> version) names."""
+    if not current:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={v}")
+    return spark.read.schema(schema).parquet(
+        *(f"{path}/v={v}/{DATE}={day.isoformat()}" for day, v in sorted(current.items())))
+
+
+def _current_dates(log: DataFrame) -> dict[dt.date, int]:
+    rows = log.where(F.col(DATE).isNotNull()).groupBy(DATE).agg(F.max("version").alias("v"))
+    return {r[DATE]: int(r.v) for r in rows.collect()}
+
+
+def read_versioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest committed rows, or an empty frame of ``schema``."""
+    return _read_dates(spark, path, schema, _current_dates(_log(spark, path)))
+
+
+def _utc_date(col: str) -> F.Column:
+    """The UTC date of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(col) / 86400).cast("int"))
 
 
 def merge_into_versioned(spark: SparkSession, path: str, updates: DataFrame, schema: T.StructType,
                          keys: Sequence[str], update_cols: Sequence[str], batch_id: int,
-                         order_by: Sequence[str] = ("window_end",), writer: str = "sink") -> dict:
-    """Merge batch ``batch_id`` of ``writer`` into the table at ``path``; returns a report."""
-    done = (_log(spark, path).where((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
-            .agg(F.max("version").alias("v")).first())
-    if done.v is not None:
-        return {"version": int(done.v), "skipped": True}
-    prev = current_version(spark, path)
-    version = 0 if prev is None else prev + 1
-    target = read_versioned(spark, path, schema)
-    obs = Observation(f"conform_{version}")
-    conformed = conform(updates, schema, key_cols=keys, observation=obs)
-    merged = merge_upsert(target, conformed.withColumn("_batch", F.lit(version)), keys, update_cols,
-                          order_by=["_batch", *order_by])
-    merged.write.mode("overwrite").parquet(f"{path}/v={version}")
-    written = spark.read.schema(schema).parquet(f"{path}/v={version}").count()
-    spark.createDataFrame([(version, written, writer, batch_id)], LOG_SCHEMA).coalesce(1) \
-        .write.mode("append").parquet(f"{path}/_log")
-    return {"version": version, "skipped": False, "rows": written,
-            "dropped_null_key": (obs.get or {}).get("dropped_null_key", 0)}
+                         order_by: Sequence[str] = ("window_end",), writer: str = "sink",
+                         date_col: str = "window_start") -> dict:
+    """Merge batch ``batch_id`` of ``writer`` into the table at ``path``; returns a report.
+
+    ``date_col`` (a timestamp of the keys, so that a row never changes its date) places a
+    row. A batch without rows leaves the table as it is (K9).
+    """
+    if date_col not in keys:
+        raise ValueError("date_col must be one of the keys")
+    log = _log(spark, path)
+    seen = log.agg(F.max("version").alias("last"),
+                   F.max(F.when((F.col("writer") == writer) & (F.col("batch_id") == batch_id),
+                                F.col("version"))).alias("done")).first()
+    if seen.done is not None:
+        return {"version": int(seen.done), "skipped": True}
+    version = 0 if seen.last is None else int(seen.last) + 1
+    staging = f"{path}/_staging/{uuid.uuid4().hex}"
+    try:
+        obs = Observation(f"conform_{version}")
+        conform(updates, schema, key_cols=keys, observation=obs).write.parquet(staging)
+        report = {"skipped": False, "dropped_null_key": (obs.get or {}).get("dropped_null_key") or 0}
+        batch = spark.read.schema(schema).parquet(staging)
+        days = [r[0] for r in batch.select(_utc_date(date_col)).distinct().collect()]
+        if not days:
+            return report | {"version": seen.last, "rows": 0, "dates": []}
+        current = _current_dates(log.where(F.col(DATE).isin(days)))
+        merged = merge_upsert(_read_dates(spark, path, schema, current), batch, keys, update_cols, order_by)
+        (merged.withColumn(DATE, _utc_date(date_col)).hint("rebalance", DATE)
+         .write.mode("overwrite").partitionBy(DATE).parquet(f"{path}/v={version}"))
+    finally:
+        fs, folder = _fs(spark, staging)
+        fs.delete(folder, True)
+    written = (_read_dates(spark, path, schema, dict.fromkeys(days, version))
+               .groupBy(_utc_date(date_col).alias(DATE)).agg(F.count("*").alias("row_count")))
+    entries = [(version, r[DATE], r.row_count, writer, batch_id) for r in written.collect()]
+    spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/_log")
+    return report | {"version": version, "rows": sum(e[2] for e in entries), "dates": sorted(days)}
 
 
 def merge_sink(path: str, schema: T.StructType, keys: Sequence[str], update_cols: Sequence[str],
@@ -112,8 +153,6 @@ def merge_sink(path: str, schema: T.StructType, keys: Sequence[str], update_cols
                writer: str = "sink") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: conform, then merge each micro-batch (K6-K9)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():                      # K9: nothing to do
-            return
         spark = batch.sparkSession
         rep = with_retry(lambda: merge_into_versioned(spark, path, batch, schema, keys,
                                                       update_cols, batch_id, writer=writer),
@@ -225,13 +264,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
-    """Housekeeping of a versioned table: compact the commit log and drop old versions.
-
-    Log: the current entries are rewritten as one file next to the old ones, then
-    the old files are removed; readers see the latest version throughout
-    (entries are only ever duplicated, never missing). Versions: folders of all
-    but the newest ``keep`` logged versions are removed; a reader still scanning
-    a removed version fails, so ``keep`` must cover the longest read.
+    """Housekeeping of a versioned table: drop what the newest ``keep`` versions do not show.
+
+    A date's folder goes once a later one had replaced it by the oldest version kept; a
+    reader still scanning such a folder fails, so ``keep`` must cover the longest read.
+    The log is then rewritten as one file without the entries of those folders (its old
+    files are removed after that, so entries are only ever duplicated, never missing); the
+    last batch of each writer stays known, so that its replay is still a no-op. The
+    driver sees the entries dropped since the last call, and one per writer.
     """
     if keep < 1:
         raise ValueError("keep must be >= 1")
@@ -240,18 +280,26 @@ def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
         return {"versions_removed": [], "log_files_removed": 0}
     old_files = [st.getPath() for st in fs.listStatus(log_dir)
                  if st.getPath().getName().startswith("part-")]
-    entries = _log(spark, path).dropDuplicates(["version"])
-    versions = sorted(int(r.version) for r in entries.select("version").collect())
-    if len(old_files) > 1:
-        # ``entries`` listed its files when it was created, so it reads only the
-        # old ones; they are removed after the compacted file is committed
-        entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
+    # the log listed its files when it was created, so it goes on reading only the old ones
+    log = _log(spark, path).distinct()
+    placed = log.where(F.col(DATE).isNotNull())
+    newest = placed.select("version").distinct().orderBy(F.desc("version")).limit(keep)
+    oldest = newest.agg(F.min("version")).first()[0]
+    shown = F.max(F.when(F.col("version") <= oldest, F.col("version"))).over(Window.partitionBy(DATE))
+    marked = placed.withColumn("live", F.col("version") >= F.coalesce(shown, F.col("version")))
+    dead = [(int(r.version), r[DATE]) for r in marked.where("NOT live").select("version", DATE).collect()]
+    whole = {v for v, _ in dead} - {int(r.version) for r in marked.where("live").select("version").join(
+        marked.where("NOT live").select("version"), "version", "left_semi").distinct().collect()}
+    for folder in sorted({f"v={v}" if v in whole else f"v={v}/{DATE}={day.isoformat()}" for v, day in dead}):
+        at, where = _fs(spark, f"{path}/{folder}")
+        at.delete(where, True)
+    if len(old_files) > 1 or dead:
+        last = (log.groupBy("writer").agg(F.max_by(F.struct("version", "batch_id"), "version").alias("l"))
+                .select("l.version", F.lit(None).cast("date").alias(DATE), F.lit(0).cast("long").alias("row_count"),
+                        "writer", "l.batch_id"))
+        live = marked.where("live").select(*log.columns)
+        live.unionByName(last).distinct().coalesce(1).write.mode("append").parquet(f"{path}/_log")
         for f in old_files:
             fs.delete(f, False)
-    removed = []
-    for v in versions[:-keep]:
-        vfs, vdir = _fs(spark, f"{path}/v={v}")
-        if vfs.exists(vdir):
-            vfs.delete(vdir, True)
-            removed.append(v)
-    return {"versions_removed": removed, "log_files_removed": len(old_files) if len(old_files) > 1 else 0}
+    return {"versions_removed": sorted(whole),
+            "log_files_removed": len(old_files) if len(old_files) > 1 or dead else 0}
