@@ -51,6 +51,8 @@ STRONG, LIFT = 25.0, 8.0
 #: least ratio of a feature that the CRF knows, and the most features
 KNOWN, MOST_FEATURES = 10.0, 20_000
 STEPS = 60
+#: documents of the sample that are scored together for the document regression
+FIT_GROUP = 500
 #: words a worker remembers
 REMEMBER = 300_000
 #: characters scored at a time
@@ -212,8 +214,9 @@ def _distinct(texts: list[str], labels: list[int]) -> tuple[list[list[str]], np.
     """Words and label of each text that is no near copy of an earlier one (min-hashes)."""
     seen: set[tuple[int, int]] = set()
     words, kept = [], []
+    once: dict[str, str] = {}  # one object a word, however often it occurs
     for text, label in zip(texts, labels, strict=True):
-        own = _WORD.findall(text)
+        own = [once.setdefault(w, w) for w in _WORD.findall(text)]
         grams = {" ".join(own[k:k + 5]) for k in range(max(1, len(own) - 4))}
         marks = {(s, min(xxhash.xxh64_intdigest(g, s) for g in grams)) for s in range(3)}
         if not marks & seen:
@@ -238,6 +241,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     if not names:
         return constant
     clean_df, toxic_df = np.array([counts[f] for f in names], float).T
+    del counts  # what is done with goes at once: the fit has the driver's memory only
     ratio = _ratio(toxic_df, clean_df, n_toxic, n_clean)
     lift = (toxic_df + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean_df + 0.5)
     ratio[lift < 1] = 0
@@ -248,12 +252,17 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return constant
     lexicon = Lexicon(known)
     chains = [[lexicon[w] for w in own] for own in words]
+    del words
     marks = np.array([any(strong[f] for f in key) for key in lexicon.types])
     model = Model(known, *_fit_chain(chains, toxic, lexicon, marks))
-    types, first, owner = _joined(chains)
-    emit = emissions(types, first, *(lexicon.sums(w) for w in (model.own, model.before, model.after)))
-    p = marginals(emit, first, model.start, model.trans)[0]
-    x = _document_features(p, owner, np.array([len(c) for c in chains]))
+    weights = [lexicon.sums(w) for w in (model.own, model.before, model.after)]
+    parts = []
+    for at in range(0, len(chains), FIT_GROUP):
+        some = chains[at:at + FIT_GROUP]
+        types, first, owner = _joined(some)
+        p = marginals(emissions(types, first, *weights), first, model.start, model.trans)[0]
+        parts.append(_document_features(p, owner, np.array([len(c) for c in some])))
+    x = np.concatenate(parts)
     model.regression = _logistic(x, toxic)
     return model
 
@@ -294,10 +303,11 @@ def _fit_chain(chains: list[list[int]], toxic: np.ndarray, lexicon: Lexicon, mar
         gradient[n:2 * n] = by_feature(np.bincount(types[inner - 1], miss[inner], len(keys)))
         gradient[2 * n:3 * n] = by_feature(np.bincount(types[inner], miss[inner - 1], len(keys)))
         gain = np.exp(np.clip(emit[inner], -30, 30))
-        prior = np.stack([1 - ahead[inner - 1], ahead[inner - 1]])
-        post = np.stack([back0[inner], gain * back1[inner]])
-        pair = prior[:, None, :] * trans[:, :, None] * post[None, :, :]
-        expected = (pair / pair.sum(axis=(0, 1))).sum(axis=2).reshape(-1)
+        prior = 1 - ahead[inner - 1], ahead[inner - 1]
+        post = back0[inner], gain * back1[inner]
+        pair = [prior[a] * trans[a, b] * post[b] for a in (0, 1) for b in (0, 1)]
+        total = pair[0] + pair[1] + pair[2] + pair[3]
+        expected = np.array([(k / total).sum() for k in pair])
         gradient[3 * n:3 * n + 2] = observed_start - [(1 - p[first]).sum(), p[first].sum()]
         gradient[3 * n + 2:] = observed_pair - expected
         gradient -= 0.05 * theta
@@ -329,9 +339,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     chars = sizes.agg(F.sum("size")).first()[0] or 0
     share = min(1.0, fit_chars / max(chars, 1))
     lucky = marked.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = (text.join(lucky, "id").select("id", "text", "label")
-            .orderBy("id", "text").toArrow().to_pylist())
-    return fit([r["text"] for r in rows], [r["label"] for r in rows])
+    rows = text.join(lucky, "id").select("id", "text", "label").orderBy("id", "text").toArrow()
+    return fit(rows["text"].to_pylist(), rows["label"].to_pylist())
 
 
 def _groups(column: pa.Array) -> Iterator[list[str]]:
