@@ -208,6 +208,19 @@ def test_html_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("attrs", [
+    "style='overflow:hidden'", 'title="a hidden gem"', "data-hidden=false", "data-id='share' aria-label='class=ad'",
+    "title='5\" hidden role=menu'", "data-class=ad x-role=search", "class='' class=ad"])
+def test_html_attributes_are_read_whole(attrs):
+    assert html_text.main_text(f"<div {attrs}><article><p>One two.</p></article></div>") == "One two."
+    assert html_text.main_text(f"<body><article><p>A.</p></article><p class=ad hidden {attrs}>B") == "A."
+
+
+@pytest.mark.parametrize("href", ['"/hidden-cove"', "/hidden-cove", "'/p?id=share'", "/p?id=share"])
+def test_html_link_words_stay(href):
+    assert html_text.main_text(f"<article><p>One <a href={href}>two</a> three.</p></article>") == "One two three."
+
+
 def test_sentencepiece_equals_the_library():
     import public_tokenizers
     codec = sentencepiece_codec.Codec(public_tokenizers.path(sentencepiece_codec.MODEL))

@@ -41,7 +41,8 @@ _PIECE = re.compile(
     r"(?:(?<=/>)|.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: one whole attribute, a name and its quoted or bare value
+_ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -64,11 +65,20 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 
+def _attributes(attrs: str) -> dict[str, str]:
+    """Lower-cased names and values; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTR.findall(attrs):
+        if value[:1] in ("'", '"') and value[-1] == value[0]:
+            value = value[1:-1]
+        out.setdefault(name.lower(), value.strip().lower())
+    return out
+
+
 def _outside(tag: str, attrs: str) -> bool:
     if tag in NEVER:
         return True
-    for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'").lower()
+    for name, value in _attributes(attrs).items():
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
             return True
         if name in ("class", "id") and not MARKED.isdisjoint(re.split(r"[^a-z0-9]+", value)):
