@@ -221,6 +221,33 @@ def test_html_link_words_stay(href):
     assert html_text.main_text(f"<article><p>One <a href={href}>two</a> three.</p></article>") == "One two three."
 
 
+_LONG = "<p>One two three four five six.</p>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='layout has-sidebar'", "div class=no-comments", "div class=with-header", "div id=search-results",
+    "form action=/", "div class=widget", "div class='ad sidebar'", "fieldset", "div role=search", "header"])
+def test_html_wrapper_of_the_article_stays(wrapper):
+    end = wrapper.split()[0]
+    for article in ("article", "main"):
+        page = (f"<body><nav>menu</nav><{wrapper}><{article}>{_LONG}</{article}><button>go</button>"
+                f"<label>name</label></{end}><footer>f</footer>")
+        assert html_text.main_text(page) == "One two three four five six."
+    if wrapper != "header":
+        page = f"<body><{wrapper}><div>{_LONG}{_LONG}</div><select><option>x</select></{end}><p>end</p>"
+        assert html_text.main_text(page).startswith("One two three four five six.\nOne two")
+
+
+@pytest.mark.parametrize("beside", [
+    "<div class=related><article>teaser of more text</article></div>", "<div class='site-header'>t</div>",
+    "<ol class=comment-list><li class=comment><article class=comment-body>a reader says much more text here"
+    "</article></ol>", "<div class='ad-300x250 ad-slot'>buy</div>", "<form>sign up</form>",
+    "<div id=comments><p>a reader says more than the whole article, and more</p></div>", "<aside>x</aside>"])
+def test_html_parts_beside_the_article_go(beside):
+    assert html_text.main_text(f"<body><article>{_LONG}{beside}</article>") == "One two three four five six."
+    assert html_text.main_text(f"<body><article>{_LONG}</article>{beside}") == "One two three four five six."
+
+
 def test_sentencepiece_equals_the_library():
     import public_tokenizers
     codec = sentencepiece_codec.Codec(public_tokenizers.path(sentencepiece_codec.MODEL))

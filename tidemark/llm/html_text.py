@@ -3,8 +3,13 @@
 A small forgiving reader turns the page into a tree (implied ends of paragraphs, list
 items and table cells; void tags; comments, scripts and styles skipped; unclosed
 elements end with their parent). Elements that are never part of an article go first:
-navigation, headers and footers, asides, forms, scripts, and elements whose role, class
-or id names an advert, a notice, a menu, a sidebar or reader comments.
+controls and hidden elements, navigation, headers and footers, asides, forms, scripts,
+and elements whose role, or a whole name in whose class or id, names an advert, a notice,
+a menu, a sidebar or reader comments. A form or a named element stays, without its
+controls, where it holds most of the characters outside links, a ``main`` element, or an
+``article`` (teasers in a named element go if the page has an article outside of such
+elements); a place beside the article stays only around a ``main`` or an article with most
+of the text, and reader comments around a ``main`` or if the page has nothing else.
 
 Every remaining node then has its characters C, tags T, link characters LC and link
 tags LT, and the composite density
@@ -49,16 +54,35 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre "
     "section summary table tbody td tfoot th thead tr ul".split())
-NEVER = frozenset(
-    "head nav header footer aside form menu dialog button select input label fieldset canvas audio video".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+#: controls, never part of an article
+CONTROLS = frozenset("button select input label canvas audio video".split())
+#: parts of a page beside the article
+PLACES = frozenset("head nav header footer aside menu dialog".split())
+FORMS = frozenset("form fieldset".split())
+ROLES = frozenset("navigation banner contentinfo complementary menu menubar dialog alert".split())
+FORM_ROLES = frozenset("search form".split())
+ARTICLES = frozenset(("article", "main"))
 #: words of a class or id that mark an element outside the article
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toolbar header masthead footer "
-    "sidebar aside rail widget widgets related recommended recommendations share sharing social comment comments "
-    "disqus respond replies reply commentlist search skip tags".split())
+    "sidebar aside rail widget widgets related recommended recommendations share sharing social search skip "
+    "tags".split())
+#: those that mark reader comments
+READERS = frozenset("comment comments disqus respond replies reply commentlist".split())
+#: parts a name may have beside marked ones: where an element stands and what it is, not what surrounds it
+BESIDE = frozenset(
+    "site page main top bottom left right primary secondary global inner outer fixed sticky mobile desktop box block "
+    "list item items area section wrapper wrap container bar links link button buttons icons slot unit text title "
+    "form col column google this us".split())
+PAIRS = frozenset("sponsored-content promoted-content related-content related-posts related-articles related-stories "
+                  "recommended-posts recommended-articles sponsored-post post-navigation posts-navigation "
+                  "post-tags entry-header entry-footer post-header post-footer article-header article-footer".split())
+READER_PAIRS = frozenset("comment-body comment-content comment-text comment-author comment-meta comment-count "
+                         "comment-thread comment-metadata".split())
+#: what an element's tag and attributes say about it
+PLAIN, FORM, MARK, PLACE, READER, HIDDEN = range(6)
 #: which open elements a start tag ends
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -75,22 +99,37 @@ def _attributes(attrs: str) -> dict[str, str]:
     return out
 
 
-def _outside(tag: str, attrs: str) -> bool:
-    if tag in NEVER:
-        return True
-    for name, value in _attributes(attrs).items():
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and not MARKED.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return tag not in ("body", "html", "main", "article")
-    return False
+def _named(value: str) -> int:
+    """What the names in a class or id say: a whole name that is marked, or made of marked parts and ``BESIDE``."""
+    kind = PLAIN
+    for name in value.split():
+        parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+        marked = [x for x in parts if x in MARKED or x in READERS]
+        whole = "-".join(parts)
+        if whole in READER_PAIRS or whole in PAIRS or marked and all(
+                x in BESIDE or x in MARKED or x in READERS or x[0].isdigit() for x in parts):
+            kind = max(kind, READER if whole in READER_PAIRS or not READERS.isdisjoint(parts) else MARK)
+    return kind
+
+
+def _kind(tag: str, attrs: str) -> int:
+    found = _attributes(attrs) if attrs else {}
+    role = found.get("role")
+    if tag in CONTROLS or "hidden" in found or found.get("aria-hidden") == "true":
+        return HIDDEN
+    named = max(_named(found.get("class", "")), _named(found.get("id", "")))
+    if named == READER:
+        return READER
+    if tag in PLACES or role in ROLES:
+        return PLACE
+    return named or (FORM if tag in FORMS or role in FORM_ROLES else PLAIN)
 
 
 class _Page:
     """The tree as parallel lists: parents come before their children."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.out = ["html"], [-1], [False]
+        self.tag, self.parent, self.kind = ["html"], [-1], [PLAIN]
         #: (node, text) in page order; a text of None is a block boundary
         self.texts: list[tuple[int, str | None]] = []
         open_ = [0]
@@ -110,6 +149,7 @@ class _Page:
                 self._start(open_, tag, attrs)
         if at < len(source):
             self.texts.append((open_[-1], source[at:]))
+        self.out = self._outside()
 
     def _close(self, open_: list[int], depth: int) -> None:
         while len(open_) > depth:
@@ -136,7 +176,7 @@ class _Page:
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(parent)
-        self.out.append(self.out[parent] or _outside(tag, attrs))
+        self.kind.append(_kind(tag, attrs))
         if tag in BLOCKS:
             self.texts.append((parent, None))
         if tag == "br":
@@ -150,6 +190,61 @@ class _Page:
                 self._close(open_, depth)
                 return
 
+    def _outside(self) -> list[bool]:
+        """Which nodes are not looked at for the article."""
+        n, parent, tag, kind = len(self.tag), self.parent, self.tag, self.kind
+        # a document, a main element and an article go only where they are hidden; their names tell teasers apart
+        named = [k in (MARK, READER) for k in kind]
+        kind = [PLAIN if named[k] and tag[k] in ("body", "html", *ARTICLES) else kind[k] for k in range(n)]
+        if not any(kind):
+            return [False] * n
+        link, gone, beside, read = ([False] * n for _ in range(4))
+        for k in range(1, n):
+            up = parent[k]
+            link[k] = link[up] or tag[k] == "a"
+            gone[k] = gone[up] or kind[k] == HIDDEN
+            beside[k] = beside[up] or kind[k] in (PLACE, READER)
+            read[k] = read[up] or kind[k] == READER
+        # characters outside links: all, and those not in places beside the article
+        size, weight, words = [0] * n, [0] * n, [0] * n
+        for node, text in self.texts:
+            if text and not gone[node]:
+                chars = len("".join(text.split()))
+                words[node] += chars
+                if not link[node]:
+                    size[node] += chars
+                    weight[node] += 0 if beside[node] else chars
+        for k in range(n - 1, 0, -1):
+            words[parent[k]] += words[k]
+            size[parent[k]] += size[k]
+            weight[parent[k]] += weight[k]
+        # articles with text below each node, main elements around it, articles that stand in nothing marked
+        holds, mains, free, above = [0] * n, [0] * n, [False] * n, [0] * n
+        for k in range(1, n):
+            free[k] = kind[k] == PLAIN and (parent[k] == 0 or free[parent[k]])
+            if tag[k] in ARTICLES and words[k] and not gone[k]:
+                mains[k] = tag[k] == "main"
+                holds[k] = mains[k] or not named[k] and not read[k]
+            above[k] = above[parent[k]] + (free[k] and mains[k])
+        open_articles = sum(1 for k in range(1, n) if free[k] and holds[k])
+        for k in range(n - 1, 0, -1):
+            mains[parent[k]] += mains[k]
+            holds[parent[k]] += holds[k]
+        out = [kind[0] == HIDDEN] * n
+        for k in range(1, n):
+            what, stays = kind[k], True
+            if what == HIDDEN:
+                stays = False
+            elif what != PLAIN and not mains[k]:
+                if what == READER:
+                    stays = not weight[0] and size[k] == size[0]
+                elif what == PLACE:
+                    stays = holds[k] and 2 * size[k] > size[0]
+                else:
+                    stays = 2 * weight[k] > weight[0] or holds[k] and (what == FORM or open_articles == above[k])
+            out[k] = out[parent[k]] or not stays
+        return out
+
     def main(self) -> int:
         """The node of the main content."""
         n = len(self.tag)
