@@ -62,6 +62,27 @@ def test_simhash_against_pairs(spark, docs):
     assert simhash.simhash_components(spark, docs.limit(0)).count() == 0
 
 
+def test_near_copies_leave_one_row_of_each_component(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=3000)) for _ in range(7)]
+    near = texts[0] + " " + words[0]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]),
+            (7, near), (None, near), (8, texts[0]), (None, texts[4]), (4, texts[4]), (9, None), (9, ""), (9, texts[5]),
+            (None, texts[6])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(5)
+    prints = [simhash.fingerprint(t) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    groups = {}
+    for k, root in _components(range(len(rows)), links).items():
+        groups.setdefault(root, []).append(rows[k])
+    assert len(groups) == 8
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")
+    want = sorted((min(g, key=order) for g in groups.values()), key=order)
+    got = [(r.doc_id, r.text) for r in simhash.drop_near_copies(spark, docs).collect()]
+    assert sorted(got, key=order) == want
+
+
 def test_bit_sliced_distances_are_exact():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2 ** 63, 400, dtype=np.uint64)

@@ -33,7 +33,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, fresh, stored, table
@@ -73,18 +73,24 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 words: int = WORDS) -> DataFrame:
-    """(id, fp): the fingerprint as a signed long, for every row."""
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+                 words: int = WORDS, digests: bool = False) -> DataFrame:
+    """(id, fp): the fingerprint as a signed long, for every row; ``digests``: and the text's digest."""
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                         *([_digest(text_col).alias("digest")] if digests else []))
     kind = picked.schema["id"].dataType.simpleString()
+    names = ["id", "fp", *picked.columns[2:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [_signed(fingerprint(t.as_py(), words)) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.int64())], names=["id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.int64()), *batch.columns[2:]], names=names)
 
-    return picked.mapInArrow(run, f"id {kind}, fp long")
+    return picked.mapInArrow(run, f"id {kind}, fp long" + ", digest binary" * digests)
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -235,18 +241,22 @@ def link_forest(spark: SparkSession, prints: DataFrame, radius: int = RADIUS, bl
     return dealt.mapInArrow(_compare(radius), "a long, b long")
 
 
-def simhash_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-                       text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row per row of ``docs``: id, fp (signed long), component_id (smallest id reachable)."""
-    rows = stored(spark, fingerprints(docs, id_col, text_col, words), "simhash-prints")
+def _classes(spark: SparkSession, rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, root, component_id) for each fingerprint of ``rows``; ``root`` is one of the component's fingerprints."""
     prints = stored(spark, rows.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
     links = link_forest(spark, prints.select("fp"), radius)
     comps = components(spark, links, "simhash-links")
     rooted = (prints.join(comps, F.col("fp") == F.col("node"), "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("id", "fp", "component_id")
+    return rooted.join(named, "root").select("fp", "root", "component_id")
+
+
+def simhash_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
+                       text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row per row of ``docs``: id, fp (signed long), component_id (smallest id reachable)."""
+    rows = stored(spark, fingerprints(docs, id_col, text_col, words), "simhash-prints")
+    return rows.join(_classes(spark, rows, radius), "fp").select("id", "fp", "component_id")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,16 +267,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with its smallest id.
+    """The rows of ``docs`` that stay: of each component one row with its smallest id.
 
-    Rows that share id and component are repeated rows; one of them stays. A null id
-    stays only where its component has no other id.
+    Of several such rows the one with the smallest text stays (of equal texts the first).
+    A null id stays only where its component has no other id. Rows of different
+    components never stand for each other, whatever their ids.
     """
-    comp, rank = fresh(docs, "component", "rank")
-    found = simhash_components(spark, docs, id_col, text_col)
-    stay = (found.where(F.col("id").eqNullSafe(F.col("component_id")))
-            .select(F.col("id").alias(comp)).distinct())
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay[comp]), "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col))
+    digest, row, root, rank, low, same = fresh(docs, "digest", "row", "root", "rank", "id", "same")
+    rows = stored(spark, fingerprints(docs, id_col, text_col, digests=True), "simhash-prints")
+    # id and text decide the component, so they find the rows again
+    stay = (rows.join(_classes(spark, rows), "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+            .select(F.col("id").alias(low), F.col("digest").alias(same),
+                    F.col("root").alias(root)).distinct())
+    marked = docs.withColumn(digest, _digest(text_col)).withColumn(row, F.monotonically_increasing_id())
+    kept = marked.join(stay, (marked[digest] == stay[same]) & marked[id_col].eqNullSafe(stay[low]))
+    first = Window.partitionBy(root).orderBy(F.col(text_col), F.col(row))
     return (kept.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
             .select(*docs.columns))
