@@ -190,6 +190,27 @@ def test_secrets_are_found_and_masked(spark, docs):
     assert secret_scan.scan_secrets(spark, docs.limit(0)).count() == 0
 
 
+_FORMS = [("password: {}.", "Tr0ub4dor&3"), ("passwd={}", "Hx7!kd9"), ("db password: {} here", "s3cr3tpw99"),
+          ("at postgres://u:{}@db/x", "pw1234"), ("password = '{}'", "hunter2"), ('token = "{}"', "short123"),
+          ("API_KEY={}", "9f86d081884c7d659a2feaa0c55ad015"), ('{{"api-key"   :\n  "{}"}}', "a b1 c2"),
+          ("url = 'https://x.org/?token={}&page=2'", "ab12cd"), ("url=\"redis://:{}@h:6379\"", "pw:1@2"),
+          ("aws_2_secret_access_key_1={}", "Zx81/kd0+q=="), ("pwd => {}, end", "été9"),
+          ("https://{}@git.example.com/x", "ghp4a8b1c9d2e7f6a5b4")]
+
+
+def test_usual_forms_of_secrets_are_found(spark):
+    rows = [(k, form.format(value), "en", "s", 0) for k, (form, value) in enumerate(_FORMS)]
+    calm = [(100, "the secret: usual words, ssh://git@example.com and a compass: 12345 north", "en", "s", 0)]
+    usual = [(200 + k, "usual words and calm prose", "en", "s", 0) for k in range(25)]
+    docs = spark.createDataFrame(rows + calm + usual, DOCS)
+    found = [r for r in secret_scan.scan_secrets(spark, docs).collect() if r.is_secret]
+    assert {r.id: r.value for r in found} == {k: value for k, (_, value) in enumerate(_FORMS)}
+    assert all(rows[r.id][1][r.start:r.start + r.length] == r.value for r in found)
+    clean = {r.doc_id: r.text for r in secret_scan.redact(spark, docs).collect()}
+    assert [clean[k] for k in range(len(_FORMS))] == [form.format("[REDACTED]") for form, _ in _FORMS]
+    assert clean[100] == calm[0][1]
+
+
 def test_url_rules_and_mined_rules(spark):
     urls = [None, "no scheme", "HTTP://WWW.Example.com/en/1", "http://a.example.com/en/", "http://x.net/es/9",
             "http://x.net/de/9?q=1#t", "http://com", "ftp://spam.casino.org/win/1"]

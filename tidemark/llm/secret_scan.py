@@ -2,8 +2,10 @@
 
 DataFrame and SQL functions and Spark ML only.
 
-Candidates are long runs of key-like characters with a digit, and quoted values that
-are assigned to something. Every candidate of every text gets
+Candidates are all values assigned to a credential word (quoted or not, any length) or
+standing before the host of a URL, long runs of key-like characters with a digit, and
+quoted values that are assigned to something. A NAME= in front is no part of the value.
+Every candidate of every text gets
 
 * length, share of digits, capitals and distinct characters, all-hexadecimal;
 * character transitions: mean log probability of its neighbouring characters under
@@ -18,7 +20,8 @@ The corpus counts (words, transitions) cover all texts. The forest is fitted on
 labelled findings, at most about ``FIT_FINDINGS`` of them; without findings of both
 labels the label rule alone decides. ``label_findings`` labels findings whose form
 leaves no doubt: a random value assigned to a credential name is a secret; digits
-only, addresses, host names and paths are not. Other findings are left to the forest.
+only, addresses, host names and paths that are not assigned to one are not, nor are
+unquoted usual words. Other findings are left to the forest.
 
 Null and empty texts have no candidates. Repeated rows have the same findings each.
 Empty tables give no rows; other columns are left alone. Positions are code points
@@ -37,10 +40,24 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stored, table
 
-#: a run of 16 or more key characters with a digit, or an assigned quoted value
-CANDIDATE = (r"(?<![A-Za-z0-9+/_=.\-])(?=[A-Za-z+/_=.\-]{0,400}+[0-9])[A-Za-z0-9+/_=.\-]{16,}"
-             r"|(?<=[=:] ?[\"'])[^\s\"']{8,}(?=[\"'])")
-CREDENTIAL = r"(?i)(token|secret|passw(or)?d|passwd|pwd|api_?key|apikey|access_?key|private_?key|auth|bearer|credential)$"
+_NAMES = (r"(?:token|secret|passw(?:or)?d|passphrase|passcode|(?<![A-Za-z])pass|pwd|auth|bearer|credential"
+          r"|(?:api|access|private|secret|signing|encryption|account|client)[_-]?key)s?[_-]?[0-9]{0,3}")
+CREDENTIAL = f"(?i){_NAMES}$"
+#: in front of a value that is assigned to a credential word; the first two only save time
+_ASSIGNED = (r"(?<=[=:>\s\"'])(?<=[=:]>?\s{0,8}[\"']?)"
+             rf"(?<=(?i:{_NAMES})[\"']?\s{{0,8}}[=:]{{1,2}}>?\s{{0,8}}[\"']?)")
+#: where an unquoted value ends: white space, the punctuation before it, a closing quote, the next NAME=
+_STOP = r"\s|[\"'](?!\w)|[&,;]\s?\w{1,40}=|[.,;:)\]}>]{1,8}(?:[\"']|\s|\z)"
+#: a value assigned to a credential word or in front of a URL's host, of any length, quoted or not; else a run of
+#: 16 or more key characters with a digit (8 after NAME=, which is no part of it), or an assigned quoted value
+CANDIDATE = (rf"{_ASSIGNED}(?:(?<=\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<=')(?:[^'\\\r\n]|\\.)++(?=')"
+             rf"|(?![=:>\"'])(?:(?!{_STOP}).)++)"
+             r"|(?<=:)(?<=://[^\s/:@\"']{0,64}:)[^\s/\"']+(?=@)|(?<=://)[^\s/:@\"']++(?=@|:[^\s/\"']*@)"
+             r"|(?<![A-Za-z0-9+/_.\-])(?!//[^\s/\"']*@)(?=[A-Za-z+/_.\-]{0,400}+[0-9])"
+             rf"(?![A-Za-z0-9_.\-]{{0,60}}(?i:{_NAMES})[\"']?\s{{0,8}}[=:])"  # the name of a secret
+             r"(?:(?=[A-Za-z0-9+/_=.\-]{16})|(?<=[A-Za-z0-9_\-]=)(?=[A-Za-z0-9+/_.\-]{8}))"
+             r"[A-Za-z0-9+/_.\-]{8,}+(?:={1,2}(?![A-Za-z0-9+/_=.\-]))?"
+             rf"|(?<=[=:]\s{{0,8}}[\"'])(?![^\s\"']{{0,300}}?(?:(?i:{_NAMES})[=:]|://[^\s/\"']*@))[^\s\"']{{8,}}(?=[\"'])")
 #: characters of context on either side from which neighbouring words are taken
 CONTEXT = 48
 WORD_SEEN = 20
@@ -66,9 +83,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = text.withColumn("values", _matches(F.col("text"))).where(F.size("values") > 0)
     parts = found.select("id", "row", F.sha2("text", 256).alias("digest"), "values",
                          F.split("text", CANDIDATE, -1).alias("gaps"))
-    zipped = F.zip_with(F.slice("gaps", F.lit(1), F.size("values")), "values",
-                        lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value"),
-                                              F.right(g, F.lit(CONTEXT)).alias("before")))
+    def ahead(g: Column, i: Column) -> Column:  # the name may be in a candidate just before
+        last = F.when(i > 0, F.concat(F.right(F.get("gaps", i - 1), F.lit(CONTEXT)), F.get("values", i - 1)))
+        return F.right(F.concat(F.coalesce(last, F.lit("")), g), F.lit(CONTEXT))
+
+    spread = F.transform(F.slice("gaps", F.lit(1), F.size("values")),
+                         lambda g, i: F.struct(F.length(g).alias("gap"), ahead(g, i).alias("before")))
+    zipped = F.zip_with(spread, "values", lambda g, v: F.struct(g["gap"].alias("gap"), v.alias("value"),
+                                                                g["before"].alias("before")))
     each = parts.select("id", "row", "digest", F.transform(F.slice("gaps", F.lit(2), F.size("values")),
                                                            lambda g: F.left(g, F.lit(CONTEXT))).alias("after"),
                         zipped.alias("found"))
@@ -106,7 +128,9 @@ def _share(value: Column, pattern: str) -> Column:
 def described(found: DataFrame, counts: DataFrame) -> DataFrame:
     """Features of the distinct (value, before, after), all but ``before_rate``."""
     value = F.col("value")
-    near = F.regexp_extract(F.col("before"), r"(?U)(\w+)\W*$", 1)
+    near = F.regexp_extract(F.col("before"), r"(?U)(\w+(?:-\w+)*)\W*$", 1)
+    password = F.col("before").rlike(rf"(?:://[^\s/@]*|^[^\s/@]{{{CONTEXT - 1}}}):$")
+    userinfo = F.col("after").rlike("^@") & (password | F.col("before").rlike("://$") & (F.length(value) >= 16))
     seen = found.groupBy("value", "before", "after").agg(F.lit(1).alias("one")).drop("one")
     seen = seen.select("*", F.lower(near).alias("word_before"),
                        F.length(value).cast("double").alias("length"),
@@ -114,11 +138,11 @@ def described(found: DataFrame, counts: DataFrame) -> DataFrame:
                        (F.size(F.array_distinct(F.split(value, ""))) / F.length(value)).alias("distinct"),
                        value.rlike("^[0-9a-fA-F]+$").cast("double").alias("hex"),
                        (F.length(F.regexp_replace(value, r"[^/.]", "")) / F.length(value)).alias("path"),
-                       F.col("before").rlike("[@/]$").cast("double").alias("before_at"),
-                       F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
+                       (F.col("before").rlike("[@/]$") & ~userinfo).cast("double").alias("before_at"),
+                       (F.col("before").rlike(r"[=:]>?\s*[\"']?$") | userinfo).cast("double").alias("assigned"),
                        (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"))
                        .cast("double").alias("quoted"),
-                       near.rlike(CREDENTIAL).cast("double").alias("credential"))
+                       (near.rlike(CREDENTIAL) | userinfo).cast("double").alias("credential"))
     # transitions and dictionary coverage depend on the value alone
     values = seen.select("value").distinct()
     low = F.lower("value")
@@ -139,9 +163,11 @@ def label_findings(features: DataFrame) -> DataFrame:
     """``features`` with ``label`` 1.0 or 0.0 where the form leaves no doubt, else null."""
     random = (F.col("digits") > 0.1) & (F.col("digits") < 0.95) & (F.col("coverage") < 0.5)
     host = F.col("value").rlike(r"^[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)+\.?$") & (F.col("assigned") == 0)
+    given = (F.col("credential") == 1) & (F.col("assigned") == 1)
+    prose = (F.col("coverage") == 1) & (F.col("quoted") == 0)
     return features.withColumn(
-        "label", F.when((F.col("credential") == 1) & (F.col("assigned") == 1) & random, 1.0)
-        .when((F.col("digits") == 1) | (F.col("before_at") == 1) | host, 0.0))
+        "label", F.when(given & random, 1.0).when(given & ~prose, F.lit(None).cast("double"))
+        .when(prose | (F.col("digits") == 1) | (F.col("before_at") == 1) | host, 0.0))
 
 
 def _rates(labelled: DataFrame) -> DataFrame:
@@ -175,8 +201,10 @@ def judged(spark: SparkSession, found: DataFrame, counts: DataFrame,
                                     seed=SEED, probabilityCol="chance", rawPredictionCol="votes",
                                     predictionCol="vote", minInstancesPerNode=2)
     model = forest.fit(vectors(picked))
-    return model.transform(vectors(features)).select(
-        "value", "before", "after", vector_to_array("chance")[1].alias("probability"))
+    chance = vector_to_array("chance")[1]
+    if labelled is None:  # forms that leave no doubt are not left to the forest
+        chance = F.coalesce("label", chance)
+    return model.transform(vectors(features)).select("value", "before", "after", chance.alias("probability"))
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
