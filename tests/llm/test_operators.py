@@ -226,6 +226,17 @@ def test_url_rules_and_mined_rules(spark):
     assert got[5].path == "/de/9" and got[6].host == "com" and got[6].path == ""
 
 
+def test_url_labels_come_by_the_document_in_the_path(spark, workdir):
+    ends = ["", "/", ".html", "?page=2", "#top", "/?utm=1"]
+    pages = [(k, f"https://{'casino' if k % 3 == 0 else 'news'}.org/en/{5000 - k}{ends[k % 6]}") for k in range(90)]
+    pages += [(900, None), (901, "https://news.org/en/99999999999999999999"), (902, "https://casino.org/about")]
+    labels = [(5000 - k, int(k % 3 > 0), 0) for k in range(90)] + [(k, 1, 0) for k in range(90)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{workdir}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{workdir}/labels.parquet")
+    got = {r.page_id: r.verdict for r in url_filter.op7_url_filter(spark, workdir).collect()}
+    assert got == {k: "block" if "casino" in (url or "") else "allow" for k, url in pages}
+
+
 def test_chat_round_trip(spark):
     random.seed(2)
     bits = ["</s>", "[INST]", " [/INST]", "\\", "\\\\</s>", "<<SYS>> ", "hello", " ", "[ROLE]", "[/TURN]", "\n"]

@@ -124,11 +124,22 @@ def judge_urls(spark: SparkSession, pages: DataFrame, mined: DataFrame, id_col:
                                .otherwise("allow")).alias("verdict"), "confidence"))
 
 
+def document_number(url: str) -> Column:
+    """The number that ends the path of a URL (before an extension), the page's document; else null."""
+    return F.regexp_extract(url_parts(url)[1], r"/([0-9]+)(?:\.[A-Za-z0-9]+)?/?$", 1).try_cast("long")
+
+
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(tokens, label) of the pages whose document has labels: bad quality or toxic is 1."""
+    marks = (labels.where("quality IS NOT NULL AND toxic IS NOT NULL")
+             .groupBy(F.col("doc_id").cast("long").alias("number"))
+             .agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("label")))
+    return (pages.withColumn("number", document_number("url")).join(marks, "number")
+            .select(url_tokens("url").alias("tokens"), "label"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of the table ``labels`` stand for the page of the same number: bad quality or toxic."""
+    """Labels of the table ``labels`` stand for the pages of their document, by the number in the URL's path."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    marks = (table(spark, sf_dir, "labels").where("quality IS NOT NULL AND toxic IS NOT NULL")
-             .groupBy(F.col("doc_id").alias("page_id"))
-             .agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("label")))
-    labelled = pages.join(marks, "page_id").select(url_tokens("url").alias("tokens"), "label")
-    return judge_urls(spark, pages, mine_rules(labelled)).drop("confidence")
+    mined = mine_rules(labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return judge_urls(spark, pages, mined).drop("confidence")
