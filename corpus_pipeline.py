@@ -43,7 +43,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("toxicity", reject_toxic), ("exact_dedup", drop_copies), ("simhash", drop_near_copies),
           ("secret_scan", mask_secrets), ("packing", pack_sequences)]
 
-#: the classifier, the fingerprints and the packing are beyond SQL; tests/llm has a brute-force run
+#: the classifier, the fingerprints and the packing are beyond SQL; tests/llm tests the operators one by one, not run()
 ORACLE_SQL = None
 
 
