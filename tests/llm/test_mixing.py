@@ -1,0 +1,104 @@
+"""Source mixing against exact water-filling and systematic sampling."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+
+from tidemark.llm import mixing
+
+SCHEMA = "doc_id long, text string, source string, size string, range int"
+
+
+def _targets(sizes, share=Fraction(3, 2), most=2, weights=(3, 1, 2)):
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, target, open_ = share * sum(sizes.values()), {}, set(sizes)
+    while open_:
+        total = sum(weight[s] for s in open_)
+        above = {s for s in open_ if left * weight[s] / total > most * sizes[s]}
+        if not above:
+            return target | {s: left * weight[s] / total for s in open_}
+        for s in above:
+            target[s] = Fraction(most * sizes[s])
+        left -= sum(target[s] for s in above)
+        open_ -= above
+    return target
+
+
+def _brute(rows, seed=0):
+    """Multiset of (doc_id, size, source_size, target, copies)."""
+    groups = defaultdict(list)
+    for doc_id, text, source in rows:
+        groups[source].append((len(re.findall(r"[^\x20\x09-\x0D]+", text or "")), doc_id))
+    sizes = {s: sum(n for n, _ in g) for s, g in groups.items()}
+    targets, out = _targets(sizes), Counter()
+    for s, g in groups.items():
+        offset = Fraction(int(hashlib.sha256(f"{seed}:{s or ''}".encode()).hexdigest()[:5], 16), 1 << 20)
+        md5 = lambda i: "" if i is None else hashlib.md5(str(i).encode()).hexdigest()
+        g.sort(key=lambda x: (x[0], md5(x[1])))
+        each = targets[s] / sizes[s] if sizes[s] else 0
+        for n, (size, doc_id) in enumerate(g):
+            copies = (offset + each * (n + 1)) // 1 - (offset + each * n) // 1
+            out[doc_id, size, sizes[s], float(targets[s]), int(copies)] += 1
+    return out
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def _rows():
+    rows = [(i, "w " * (i * 7919 % 97), f"src{i % 5}") for i in range(300)]
+    rows += [(1000 + i, "\x0b".join(["é的"] * 40), "hot") for i in range(200)]
+    rows += [(7, "same words here", "hot")] * 30 + [(None, "no id", "hot")] * 3
+    rows += [(2000, None, None), (2001, "of no source", None), (2002, " \t\n", "blank"), (2003, "", "blank"),
+             (2004, "a\x1cb c d", ""), (2005, "word " * 30000, "src1")]
+    return rows
+
+
+def test_mix_equals_exact_sampling(spark):
+    rows = _rows()
+    got = mixing.mix(spark, _frame(spark, rows).repartition(7)).collect()
+    assert Counter((r.doc_id, r["size"], r.source_size, r.target, r.copies) for r in got) == _brute(rows)
+    assert all(r.taken == r.copies * r["size"] and 0 <= r.copies <= 2 for r in got)
+
+
+def test_words_of_a_source_are_within_its_longest_document(spark):
+    rows = _rows()
+    got = mixing.mix(spark, _frame(spark, rows), keep=("doc_id", "source")).collect()
+    taken, longest, target = Counter(), Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        longest[r.source] = max(longest[r.source], r["size"])
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= longest[s] for s in target)
+    assert target["blank"] == 0 and taken["blank"] == 0
+    assert sum(target.values()) == pytest.approx(1.5 * sum(r["size"] for r in got))
+
+
+def test_reruns_agree_and_emit_repeats_the_documents(spark):
+    docs = _frame(spark, _rows())
+    a = mixing.mix(spark, docs, keep=("doc_id", "text"))
+    b = mixing.mix(spark, docs.repartition(11, "text"), keep=("doc_id", "text"))
+    plain = lambda df: Counter(map(tuple, df.collect()))
+    assert plain(a) == plain(b)
+    out = mixing.emit(a)
+    assert out.columns == ["doc_id", "text"]
+    want = Counter()
+    for r in a.collect():
+        want[r.doc_id, r.text] += r.copies
+    assert plain(out) == +want
+
+
+def test_kept_columns_may_clash(spark):
+    got = mixing.mix(spark, _frame(spark, _rows()), keep=("doc_id", "size", "range"))
+    assert got.columns == ["doc_id", "range", "size", "source_size", "target", "copies", "taken"]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "one", "a")], [(1, "", "a"), (2, "b c", "b")]])
+def test_small_and_empty_tables(spark, rows):
+    got = mixing.mix(spark, _frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r["size"], r.source_size, r.target, r.copies) for r in got) == _brute(rows)

@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    centroids,
     chat_format,
     embedding_join,
     exact_dedup,
     html_text,
+    mixing,
     packing,
     secret_scan,
     sentencepiece_codec,
     simhash,
     toxicity,
     url_filter,
+    vector_codes,
 )
 
 
@@ -32,6 +35,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_chat_format": chat_format.op9_chat_format,
         "op10_html_text": html_text.op10_html_text,
+        "op11_source_mix": mixing.op11_source_mix,
+        "op12_vector_codes": vector_codes.op12_vector_codes,
+        "op13_centroids": centroids.op13_centroids,
     }
 
 
@@ -40,4 +46,7 @@ def oracles() -> dict[str, str]:
     return {
         "op2_exact_dedup": exact_dedup.ORACLE,
         "op9_chat_format": chat_format.ORACLE,
+        "op11_source_mix": mixing.ORACLE,
+        "op12_vector_codes": vector_codes.ORACLE,
+        "op13_centroids": centroids.ORACLE,
     }

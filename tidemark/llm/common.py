@@ -42,6 +42,16 @@ def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables made by ``stored`` that no later job reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for each in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in each.inputFiles()}:
+            target = hadoop(folder)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
