@@ -25,7 +25,7 @@ def test_empty_table_reads_empty(spark, workdir):
 
 def test_batches_merge_and_replay_is_noop(spark, workdir):
     path = f"{workdir}/t"
-    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0), writer="test")
     gold = _gold(spark)
     sink(gold, 0)
     assert current_version(spark, path) == 0
@@ -49,7 +49,7 @@ def test_null_keys_dropped_and_counted(spark, workdir):
     from pyspark.sql import functions as F
     path = f"{workdir}/t"
     bad = _gold(spark).withColumn("window_start", F.lit(None).cast("timestamp"))
-    rep = merge_into_versioned(spark, path, bad, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, 0)
+    rep = merge_into_versioned(spark, path, bad, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, 0, writer=None)
     assert rep["dropped_null_key"] == 2 and rep["rows"] == 0
 
 
@@ -73,16 +73,16 @@ def test_retain_compacts_log_and_drops_old_versions(spark, workdir):
 
     from tidemark.streaming.sinks import retain
     path = f"{workdir}/t"
-    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0), writer="test")
     gold = _gold(spark)
     for b in range(4):
         sink(gold, b)
     before = sorted(tuple(r) for r in read_versioned(spark, path, USER_METRICS_SCHEMA).collect())
-    assert len(glob.glob(f"{path}/_log/part-*")) == 4
+    assert len(glob.glob(f"{path}/_log/*.json")) == 4
     rep = retain(spark, path, keep=2)
     assert rep["versions_removed"] == [0, 1] and rep["log_files_removed"] == 4
-    assert len(glob.glob(f"{path}/_log/part-*")) == 1
-    assert not os.path.exists(f"{path}/v=0") and os.path.exists(f"{path}/v=2")
+    assert len(glob.glob(f"{path}/_log/*.json")) == 1
+    assert not glob.glob(f"{path}/v=0.*") and glob.glob(f"{path}/v=2.*")
     assert current_version(spark, path) == 3
     assert sorted(tuple(r) for r in read_versioned(spark, path, USER_METRICS_SCHEMA).collect()) == before
     sink(gold, 4)                                   # commits continue after compaction
@@ -134,7 +134,7 @@ def test_a_batch_rewrites_only_its_dates(spark, workdir):
     three = gold
     for n in (1, 2):
         three = three.unionByName(gold.withColumn("window_start", day(n)))
-    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0))
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0), writer="test")
     sink(three, 0)
     first = _snapshot(path)
     assert len({f.split("/")[-2] for f in first}) == 3
@@ -161,10 +161,10 @@ def test_date_of_a_row_does_not_follow_the_session_zone(spark, workdir):
     gold = _gold(spark)
     args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
     zone = spark.conf.get("spark.sql.session.timeZone")
-    merge_into_versioned(spark, path, gold, *args, 0)
+    merge_into_versioned(spark, path, gold, *args, 0, writer=None)
     try:
         spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
-        merge_into_versioned(spark, path, gold, *args, 1)
+        merge_into_versioned(spark, path, gold, *args, 1, writer=None)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 2
@@ -177,20 +177,121 @@ def test_failure_before_the_log_leaves_the_table_as_it_was(spark, workdir, monke
     path = f"{workdir}/t"
     gold = _gold(spark)
     args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
-    merge_into_versioned(spark, path, gold.limit(1), *args, 0)
-    real = sinks._read_dates
-    calls = []
+    merge_into_versioned(spark, path, gold.limit(1), *args, 0, writer="w")
+    real = sinks._commit
 
-    def failing(*a):
-        calls.append(1)
-        if len(calls) == 2:  # the data is written, the log is not
-            raise RuntimeError("lost")
-        return real(*a)
-    monkeypatch.setattr(sinks, "_read_dates", failing)
+    def failing(*a):  # the data is written, the log is not
+        raise RuntimeError("lost")
+    monkeypatch.setattr(sinks, "_commit", failing)
     with pytest.raises(RuntimeError):
-        merge_into_versioned(spark, path, gold, *args, 1)
-    monkeypatch.setattr(sinks, "_read_dates", real)
+        merge_into_versioned(spark, path, gold, *args, 1, writer="w")
+    monkeypatch.setattr(sinks, "_commit", real)
     assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 1
-    assert merge_into_versioned(spark, path, gold, *args, 1)["version"] == 1
+    assert merge_into_versioned(spark, path, gold, *args, 1, writer="w")["version"] == 1
     assert read_versioned(spark, path, USER_METRICS_SCHEMA).count() == 2
     assert os.listdir(f"{path}/_staging") == []
+
+
+def _day(n):
+    from pyspark.sql import functions as F
+    return F.col("window_start") + F.make_dt_interval(days=F.lit(n))
+
+
+@pytest.mark.parametrize("shift,versions", [(0, 2), (1, 1)])
+def test_two_writers_at_once_lose_nothing(spark, workdir, monkeypatch, shift, versions):
+    """B commits while A has merged but not committed: on A's date A merges anew, else not."""
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming import sinks
+    path = f"{workdir}/t"
+    gold = _gold(spark)
+    args = (USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE)
+    merge_into_versioned(spark, path, gold, *args, 0, writer="a")
+    mine = gold.where("view_count = 0").withColumn("click_count", F.lit(50).cast("long"))
+    other = gold.withColumn("product_id", F.lit("other")).withColumn("window_start", _day(shift))
+    real, merges, commits = sinks._commit, [], []
+
+    def interleaved(*a):
+        if not commits:
+            commits.append(1)
+            rep = merge_into_versioned(spark, path, other, *args, 0, writer="b")
+            assert rep["version"] == 1
+        return real(*a)
+    real_merge = sinks.merge_upsert
+    monkeypatch.setattr(sinks, "_commit", interleaved)
+    monkeypatch.setattr(sinks, "merge_upsert", lambda *a: merges.append(1) or real_merge(*a))
+    rep = merge_into_versioned(spark, path, mine, *args, 1, writer="a")
+    assert rep["version"] == 2 and len(merges) == 1 + versions      # b's merge, then a's one or two
+    rows = read_versioned(spark, path, USER_METRICS_SCHEMA).collect()
+    assert sorted((r.product_id == "other", r.click_count) for r in rows) == sorted(
+        [(False, 50)] + [(False, r.click_count) for r in gold.where("view_count > 0").collect()]
+        + [(True, r.click_count) for r in gold.collect()])
+    import glob
+    import os
+    assert len(glob.glob(f"{path}/v=*")) == 3 and os.listdir(f"{path}/_staging") == []
+    assert not [f for f in os.listdir(f"{path}/_log") if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_a_number_compacted_away_stays_taken(spark, workdir):
+    from tidemark.streaming import sinks
+    path = f"{workdir}/t"
+    sink = merge_sink(path, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE, waits=(0, 0), writer="w")
+    for b in range(3):
+        sink(_gold(spark), b)
+    sinks.retain(spark, path, keep=1)
+    assert not sinks._commit(spark, path, 1, []) and not sinks._commit(spark, path, 2, [])
+    assert sinks.current_version(spark, path) == 2
+    sink(_gold(spark), 2)
+    assert sinks.current_version(spark, path) == 2          # a replay, still known
+    sink(_gold(spark), 3)
+    assert sinks.current_version(spark, path) == 3
+
+
+def _stream(spark, source, target, checkpoint, reports):
+    from tidemark.streaming.sinks import start_merge_stream
+    gold = spark.readStream.schema(USER_METRICS_SCHEMA).parquet(source)
+    q = start_merge_stream(gold, target, USER_METRICS_SCHEMA, MERGE_KEYS, USER_METRICS_UPDATE,
+                           checkpoint, {"availableNow": True}, reports)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_a_stream_reset_at_the_same_path_is_merged(spark, workdir):
+    """The checkpoint is taken away and a new start at its path reads other rows: none is lost."""
+    import os
+
+    from pyspark.sql import functions as F
+    gold, reports = _gold(spark), []
+    gold.write.parquet(f"{workdir}/first")
+    _stream(spark, f"{workdir}/first", f"{workdir}/t", f"{workdir}/ckpt", reports)
+    many = (gold.crossJoin(spark.range(94)).withColumn("product_id", F.concat(F.lit("n"), "id")).drop("id"))
+    many.write.parquet(f"{workdir}/second")
+    os.rename(f"{workdir}/ckpt", f"{workdir}/old")
+    _stream(spark, f"{workdir}/second", f"{workdir}/t", f"{workdir}/ckpt", reports)
+    assert [r["skipped"] for r in reports] == [False, False]
+    assert read_versioned(spark, f"{workdir}/t", USER_METRICS_SCHEMA).count() == 190
+
+
+def test_a_replayed_batch_of_a_stream_is_a_noop(spark, workdir):
+    """The commit of the last batch is lost: Spark delivers it again under its old id."""
+    import os
+    gold, reports = _gold(spark), []
+    gold.write.parquet(f"{workdir}/first")
+    for _ in range(2):
+        _stream(spark, f"{workdir}/first", f"{workdir}/t", f"{workdir}/ckpt", reports)
+        for name in ("0", ".0.crc"):
+            if os.path.exists(f"{workdir}/ckpt/commits/{name}"):
+                os.rename(f"{workdir}/ckpt/commits/{name}", f"{workdir}/{name}-{len(reports)}")
+    assert [r["skipped"] for r in reports] == [False, True]
+    assert current_version(spark, f"{workdir}/t") == 0
+
+
+def test_two_streams_on_one_table(spark, workdir):
+    from pyspark.sql import functions as F
+    gold, reports = _gold(spark), []
+    gold.write.parquet(f"{workdir}/a")
+    gold.withColumn("product_id", F.lit("b")).write.parquet(f"{workdir}/b")
+    for name in ("a", "b"):
+        _stream(spark, f"{workdir}/{name}", f"{workdir}/t", f"{workdir}/ckpt-{name}", reports)
+    assert [r["skipped"] for r in reports] == [False, False]
+    assert read_versioned(spark, f"{workdir}/t", USER_METRICS_SCHEMA).count() == 4

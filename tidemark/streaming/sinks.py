@@ -2,21 +2,26 @@
 
 Layout of a table at ``path``::
 
-    path/v=<n>/window_date=<d>/part-*.parquet   the rows of date d as of version n
-    path/_log/part-*.parquet                    commit log, one row per version and date
-    path/_staging/<id>                          the batch being merged, removed afterwards
+    path/v=<n>.<try>/window_date=<d>/part-*.parquet   the rows of date d as of version n
+    path/_log/<n>.json                    commit of version n, one line per date
+    path/_staging/<id>                    the batch being merged, removed afterwards
 
 A commit rewrites only the dates (UTC) that its batch holds, so its cost follows the
 batch and those dates, not the table. A version becomes visible only after its data is
-written: its commit-log rows are appended afterwards in one file (K7, all-or-nothing per
-table). Readers take, for each date, the folder of the highest logged version; a new
-version is always the next number. Replaying a batch that the same writer has logged is
-a no-op (a writer is one stream checkpoint or one export run, so batch ids of different
-writers never shadow each other), and a batch interrupted before its log rows is simply
-rewritten, so ``foreachBatch`` re-deliveries after a failure are idempotent. A batch is
-evaluated once a try: what it holds is staged and everything else reads that. Log,
-versions and staging are plain Spark writes on the shared file system; no driver-local
-state is involved, and the driver sees one log row per date.
+written, by one log file that is renamed to its number (K7, all-or-nothing per table).
+Readers take, for each date, the folder of the highest logged version.
+
+Several writers may export into a table at once. The log file of a number can be made only
+once; who comes second looks at the log again. If nobody has rewritten one of its dates
+since, it commits its data under the next number, else it merges its staged batch anew.
+
+Replaying a batch that the same writer has logged is a no-op. The writer of a stream is
+the query id that its checkpoint holds: a stream that starts over with a new checkpoint, at
+whatever path, is a new writer, and its batches are merged again instead of being skipped.
+Batch exports are no writers: they merge whenever they run. A batch is evaluated once a
+try: what it holds is staged and everything else reads that. Versions and staging are plain
+Spark writes on the shared file system; no driver-local state is involved, and the
+driver sees one log row per date.
 
 With Delta Lake on the classpath ``delta_merge`` runs the same upsert as a
 MERGE statement instead (untested offline: no Delta jar in this environment).
@@ -25,10 +30,13 @@ MERGE statement instead (untested offline: no Delta jar in this environment).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +47,7 @@ from ..operators.merge import collapse_updates, conform, merge_upsert
 DATE = "window_date"
 LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                            T.StructField(DATE, T.DateType()),
+                           T.StructField("folder", T.StringType()),
                            T.StructField("row_count", T.LongType()),
                            T.StructField("writer", T.StringType()),
                            T.StructField("batch_id", T.LongType())])
@@ -71,35 +80,48 @@ def with_retry(action: Callable[[], object], waits: Sequence[float] = RETRY_WAIT
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/_log")
+        return spark.read.schema(LOG_SCHEMA).option("pathGlobFilter", "*.json").json(f"{path}/_log")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+class _State(NamedTuple):
+    """What the log says: the last version, the version that holds a writer's batch, and
+    the folder of each date."""
+
+    last: int | None
+    done: int | None
+    current: dict[dt.date, str]
+
+
+def _state(spark: SparkSession, path: str, writer: str | None = None, batch_id: int | None = None) -> _State:
+    mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+    rows = (_log(spark, path).groupBy(DATE)
+            .agg(F.max("version").alias("last"), F.max_by("folder", "version").alias("folder"),
+                 F.max(F.when(mine, F.col("version"))).alias("done")).collect())
+    return _State(max((r.last for r in rows), default=None),
+                  max((r.done for r in rows if r.done is not None), default=None),
+                  {r[DATE]: r.folder for r in rows if r[DATE] is not None})
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
-    row = _log(spark, path).agg(F.max("version").alias("v")).first()
-    return None if row is None or row.v is None else int(row.v)
+    return _state(spark, path).last
 
 
 def _read_dates(spark: SparkSession, path: str, schema: T.StructType,
-                current: dict[dt.date, int]) -> DataFrame:
-    """The rows of the folders that ``current`` (date -> version) names."""
+                current: dict[dt.date, str]) -> DataFrame:
+    """The rows of the folders that ``current`` (date -> folder) names."""
     if not current:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(
-        *(f"{path}/v={v}/{DATE}={day.isoformat()}" for day, v in sorted(current.items())))
-
-
-def _current_dates(log: DataFrame) -> dict[dt.date, int]:
-    rows = log.where(F.col(DATE).isNotNull()).groupBy(DATE).agg(F.max("version").alias("v"))
-    return {r[DATE]: int(r.v) for r in rows.collect()}
+        *(f"{path}/{folder}/{DATE}={day.isoformat()}" for day, folder in sorted(current.items())))
 
 
 def read_versioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The latest committed rows, or an empty frame of ``schema``."""
-    return _read_dates(spark, path, schema, _current_dates(_log(spark, path)))
+    return _read_dates(spark, path, schema, _state(spark, path).current)
 
 
 def _utc_date(col: str) -> F.Column:
@@ -107,67 +129,130 @@ def _utc_date(col: str) -> F.Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(col) / 86400).cast("int"))
 
 
+def _write_log(spark: SparkSession, path: str, name: str, rows: Sequence[dict]) -> bool:
+    """Make the log file ``name`` at once, complete; False if there is one by that name.
+
+    A hidden file is written and renamed, as Spark commits the batches of a checkpoint.
+    """
+    jvm = spark.sparkContext._jvm
+    hidden, target = f"{path}/_log/.{uuid.uuid4().hex}", f"{path}/_log/{name}"
+    fs, at = _fs(spark, hidden)
+    out = fs.create(at, True)
+    out.write("".join(json.dumps(row, default=str) + "\n" for row in rows).encode())
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(at, jvm.org.apache.hadoop.fs.Path(target), options)
+    except Py4JJavaError as error:
+        if not error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        return False
+    finally:
+        fs.delete(at, False)
+    return True
+
+
+def _commit(spark: SparkSession, path: str, version: int, rows: Sequence[dict]) -> bool:
+    """Log ``rows`` as ``version`` unless that number is taken or compacted away."""
+    fs, log = _fs(spark, f"{path}/_log")
+    if fs.exists(log):
+        names = [st.getPath().getName() for st in fs.listStatus(log)]
+        if any(int(name.split(".")[0]) >= version for name in names if name.endswith(".json") and name[0] != "."):
+            return False
+    return _write_log(spark, path, f"{version:020d}.json", rows)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    fs, at = _fs(spark, folder)
+    fs.delete(at, True)
+
+
 def merge_into_versioned(spark: SparkSession, path: str, updates: DataFrame, schema: T.StructType,
                          keys: Sequence[str], update_cols: Sequence[str], batch_id: int,
-                         order_by: Sequence[str] = ("window_end",), writer: str = "sink",
+                         order_by: Sequence[str] = ("window_end",), *, writer: str | None,
                          date_col: str = "window_start") -> dict:
     """Merge batch ``batch_id`` of ``writer`` into the table at ``path``; returns a report.
 
-    ``date_col`` (a timestamp of the keys, so that a row never changes its date) places a
-    row. A batch without rows leaves the table as it is (K9).
+    ``writer`` None: not a stream's batch, merged whatever the log holds. ``date_col`` (a
+    timestamp of the keys, so that a row never changes its date) places a row. A batch
+    without rows leaves the table as it is (K9).
     """
     if date_col not in keys:
         raise ValueError("date_col must be one of the keys")
-    log = _log(spark, path)
-    seen = log.agg(F.max("version").alias("last"),
-                   F.max(F.when((F.col("writer") == writer) & (F.col("batch_id") == batch_id),
-                                F.col("version"))).alias("done")).first()
+    seen = _state(spark, path, writer, batch_id)
     if seen.done is not None:
-        return {"version": int(seen.done), "skipped": True}
-    version = 0 if seen.last is None else int(seen.last) + 1
+        return {"version": seen.done, "skipped": True}
     staging = f"{path}/_staging/{uuid.uuid4().hex}"
+    written = None
     try:
-        obs = Observation(f"conform_{version}")
-        conform(updates, schema, key_cols=keys, observation=obs).write.parquet(staging)
-        report = {"skipped": False, "dropped_null_key": (obs.get or {}).get("dropped_null_key") or 0}
-        batch = spark.read.schema(schema).parquet(staging)
-        days = [r[0] for r in batch.select(_utc_date(date_col)).distinct().collect()]
+        lost, held = Observation(), Observation()
+        (conform(updates, schema, key_cols=keys, observation=lost)
+         .observe(held, F.collect_set(_utc_date(date_col)).alias("days"))
+         .write.parquet(staging))
+        report = {"skipped": False, "dropped_null_key": (lost.get or {}).get("dropped_null_key") or 0}
+        days = sorted((held.get or {}).get("days") or [])
         if not days:
             return report | {"version": seen.last, "rows": 0, "dates": []}
-        current = _current_dates(log.where(F.col(DATE).isin(days)))
-        merged = merge_upsert(_read_dates(spark, path, schema, current), batch, keys, update_cols, order_by)
-        (merged.withColumn(DATE, _utc_date(date_col)).hint("rebalance", DATE)
-         .write.mode("overwrite").partitionBy(DATE).parquet(f"{path}/v={version}"))
+        batch = spark.read.schema(schema).parquet(staging)
+        while True:
+            if written is None:
+                base = {day: seen.current[day] for day in days if day in seen.current}
+                name = f"v={0 if seen.last is None else seen.last + 1}.{uuid.uuid4().hex[:12]}"
+                merged = merge_upsert(_read_dates(spark, path, schema, base), batch, keys, update_cols, order_by)
+                counted = Observation()
+                written = f"{path}/{name}"
+                (merged.observe(counted, F.count(F.lit(1)).alias("rows"))
+                 .withColumn(DATE, _utc_date(date_col)).hint("rebalance", DATE)
+                 .write.partitionBy(DATE).parquet(written))
+                rows = counted.get["rows"]
+            version = 0 if seen.last is None else seen.last + 1
+            entries = [{"version": version, DATE: day.isoformat(), "folder": name, "row_count": rows,
+                        "writer": writer, "batch_id": batch_id} for day in days]
+            if _commit(spark, path, version, entries):
+                written = None
+                return report | {"version": version, "rows": rows, "dates": days}
+            seen = _state(spark, path, writer, batch_id)
+            if seen.done is not None:
+                return {"version": seen.done, "skipped": True}
+            if any(seen.current.get(day) != base.get(day) for day in days):  # another's rows came in between
+                _remove(spark, written)
+                written = None
     finally:
-        fs, folder = _fs(spark, staging)
-        fs.delete(folder, True)
-    written = (_read_dates(spark, path, schema, dict.fromkeys(days, version))
-               .groupBy(_utc_date(date_col).alias(DATE)).agg(F.count("*").alias("row_count")))
-    entries = [(version, r[DATE], r.row_count, writer, batch_id) for r in written.collect()]
-    spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/_log")
-    return report | {"version": version, "rows": sum(e[2] for e in entries), "dates": sorted(days)}
+        _remove(spark, staging)
+        if written is not None:
+            _remove(spark, written)
 
 
 def merge_sink(path: str, schema: T.StructType, keys: Sequence[str], update_cols: Sequence[str],
-               waits: Sequence[float] = RETRY_WAITS, reports: list | None = None,
-               writer: str = "sink") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: conform, then merge each micro-batch (K6-K9)."""
+               waits: Sequence[float] = RETRY_WAITS, reports: list | None = None, *,
+               writer: str | Callable[[SparkSession], str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: conform, then merge each micro-batch (K6-K9).
+
+    ``writer`` names the stream whose batch ids count, or finds the name at a batch.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        name = writer if isinstance(writer, str) else writer(spark)
         rep = with_retry(lambda: merge_into_versioned(spark, path, batch, schema, keys,
-                                                      update_cols, batch_id, writer=writer),
+                                                      update_cols, batch_id, writer=name),
                          waits)
         if reports is not None:
             reports.append(rep)
     return run
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a started query has written into its checkpoint; a new checkpoint, a new id."""
+    return json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
+
+
 def start_merge_stream(gold: DataFrame, path: str, schema: T.StructType, keys: Sequence[str],
                        update_cols: Sequence[str], checkpoint: str, trigger: dict | None = None,
                        reports: list | None = None):
     """Stream a gold table into the keyed export table."""
     return (gold.writeStream.foreachBatch(merge_sink(path, schema, keys, update_cols, reports=reports,
-                                                     writer=checkpoint))
+                                                     writer=lambda spark: query_id(spark, checkpoint)))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 minutes"})).start())
 
@@ -251,9 +336,8 @@ def export_table(spark: SparkSession, gold_path: str, target_path: str, schema:
             else spark.read.format(fmt).load(gold_path))  # through the format's own log
     if gold.isEmpty():
         return {"skipped": True, "reason": "no rows"}
-    run = f"export-{uuid.uuid4().hex}"
     return with_retry(lambda: merge_into_versioned(spark, target_path, gold, schema, keys,
-                                                   update_cols, 0, writer=run), waits)
+                                                   update_cols, 0, writer=None), waits)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -268,38 +352,40 @@ def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
 
     A date's folder goes once a later one had replaced it by the oldest version kept; a
     reader still scanning such a folder fails, so ``keep`` must cover the longest read.
-    The log is then rewritten as one file without the entries of those folders (its old
-    files are removed after that, so entries are only ever duplicated, never missing); the
-    last batch of each writer stays known, so that its replay is still a no-op. The
-    driver sees the entries dropped since the last call, and one per writer.
+    The log is then rewritten as one file, named by the last version, without the entries of
+    those folders (its old files are removed after that, so entries are only ever
+    duplicated, never missing); the last batch of each stream stays known, so that its
+    replay is still a no-op. Writers may commit meanwhile: later numbers are left alone, and
+    numbers up to the last one stay taken. The driver sees the entries dropped since the last
+    call, the entries kept, and one per stream.
     """
     if keep < 1:
         raise ValueError("keep must be >= 1")
     fs, log_dir = _fs(spark, f"{path}/_log")
     if not fs.exists(log_dir):
         return {"versions_removed": [], "log_files_removed": 0}
-    old_files = [st.getPath() for st in fs.listStatus(log_dir)
-                 if st.getPath().getName().startswith("part-")]
-    # the log listed its files when it was created, so it goes on reading only the old ones
-    log = _log(spark, path).distinct()
+    files = [st.getPath() for st in fs.listStatus(log_dir)
+             if st.getPath().getName().endswith(".json") and not st.getPath().getName().startswith(".")]
+    log = spark.read.schema(LOG_SCHEMA).json([f.toString() for f in files]).distinct()
     placed = log.where(F.col(DATE).isNotNull())
     newest = placed.select("version").distinct().orderBy(F.desc("version")).limit(keep)
     oldest = newest.agg(F.min("version")).first()[0]
     shown = F.max(F.when(F.col("version") <= oldest, F.col("version"))).over(Window.partitionBy(DATE))
-    marked = placed.withColumn("live", F.col("version") >= F.coalesce(shown, F.col("version")))
-    dead = [(int(r.version), r[DATE]) for r in marked.where("NOT live").select("version", DATE).collect()]
-    whole = {v for v, _ in dead} - {int(r.version) for r in marked.where("live").select("version").join(
-        marked.where("NOT live").select("version"), "version", "left_semi").distinct().collect()}
-    for folder in sorted({f"v={v}" if v in whole else f"v={v}/{DATE}={day.isoformat()}" for v, day in dead}):
-        at, where = _fs(spark, f"{path}/{folder}")
-        at.delete(where, True)
-    if len(old_files) > 1 or dead:
-        last = (log.groupBy("writer").agg(F.max_by(F.struct("version", "batch_id"), "version").alias("l"))
-                .select("l.version", F.lit(None).cast("date").alias(DATE), F.lit(0).cast("long").alias("row_count"),
-                        "writer", "l.batch_id"))
-        live = marked.where("live").select(*log.columns)
-        live.unionByName(last).distinct().coalesce(1).write.mode("append").parquet(f"{path}/_log")
-        for f in old_files:
+    marked = placed.withColumn("live", F.col("version") >= F.coalesce(shown, F.col("version"))).collect()
+    live = [r for r in marked if r.live]
+    dead = [r for r in marked if not r.live]
+    used = {r.folder for r in live}
+    whole = {r.folder for r in dead} - used
+    for folder in whole | {f"{r.folder}/{DATE}={r[DATE].isoformat()}" for r in dead if r.folder in used}:
+        _remove(spark, f"{path}/{folder}")
+    if len(files) > 1 or dead:
+        streams = (log.where(F.col("writer").isNotNull()).groupBy("writer")
+                   .agg(F.max("version").alias("version"), F.max_by("batch_id", "version").alias("batch_id")).collect())
+        rows = [{c: r[c] for c in LOG_SCHEMA.names} for r in live]
+        rows += [{"version": r.version, "row_count": 0, "writer": r.writer, "batch_id": r.batch_id} for r in streams]
+        last = max(f.getName().split(".")[0] for f in files)
+        _write_log(spark, path, f"{last}.{uuid.uuid4().hex[:12]}.json", rows)
+        for f in files:
             fs.delete(f, False)
-    return {"versions_removed": sorted(whole),
-            "log_files_removed": len(old_files) if len(old_files) > 1 or dead else 0}
+    return {"versions_removed": sorted({r.version for r in dead if r.folder in whole}),
+            "log_files_removed": len(files) if len(files) > 1 or dead else 0}
