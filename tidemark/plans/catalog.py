@@ -201,6 +201,12 @@ def _stream_multi_batch(spark, sf):
     return run_restarts(spark, sf)
 
 
+def _stream_abandoned_carts(spark, sf):
+    """Abandoned carts by arbitrary state and event-time timers, over three starts (R2)."""
+    from ..streaming.jobs import run_carts
+    return run_carts(spark, sf)
+
+
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)            # the NTZ presentation below reads the session zone
@@ -234,4 +240,5 @@ def registry() -> dict[str, Query]:
     q["stream_user_metrics"] = _stream_gold(USER_TOPIC)
     q["stream_order_metrics"] = _stream_gold(ORDER_TOPIC)
     q["stream_multi_batch"] = _stream_multi_batch
+    q["stream_abandoned_carts"] = _stream_abandoned_carts
     return {k: _present(v) for k, v in q.items()}

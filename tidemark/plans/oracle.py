@@ -238,10 +238,20 @@ SELECT 'user_metrics' AS table_name, count(*) AS row_count, 11 AS col_count FROM
 UNION ALL SELECT 'order_metrics' AS table_name, count(*) AS row_count, 9 AS col_count FROM og"""
     q["stream_silver"] = with_base() + f"SELECT topic, {PAYLOAD} FROM silver"
     # rows held back until the rest of the stream is through are late by hours
-    q["stream_multi_batch"] = with_base() + f"""
-SELECT topic, {PAYLOAD} FROM silver
-WHERE NOT (CAST(substr(event_id, 2) AS BIGINT) % 97 = 1 AND producer_time <
-  (SELECT make_timestamp(lo + (hi - lo) // 2) FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)) - INTERVAL 1 HOUR)"""
+    in_time = """in_time AS (
+  SELECT * FROM silver
+  WHERE NOT (CAST(substr(event_id, 2) AS BIGINT) % 97 = 1 AND producer_time <
+    (SELECT make_timestamp(lo + (hi - lo) // 2) FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)) - INTERVAL 1 HOUR))"""
+    q["stream_multi_batch"] = with_base(in_time) + f"SELECT topic, {PAYLOAD} FROM in_time"
+    # the watermark follows the slower of adds and purchases
+    q["stream_abandoned_carts"] = with_base(in_time, """move AS (
+  SELECT DISTINCT user_id, product_id, event_type = 'purchase' AS bought, event_time AS t FROM in_time
+  WHERE event_type IN ('add_to_cart', 'purchase'))""", """mark AS (
+  SELECT date_trunc('millisecond', min(t)) - INTERVAL 5 MINUTE AS now FROM (SELECT max(t) AS t FROM move GROUP BY bought))""") + """
+SELECT user_id, product_id, t AS added_at, t + INTERVAL 1 HOUR AS abandoned_at
+FROM move a WHERE NOT bought AND t + INTERVAL 1 HOUR <= (SELECT now FROM mark)
+  AND NOT EXISTS (SELECT 1 FROM move m WHERE m.user_id = a.user_id AND m.product_id = a.product_id
+                  AND (m.t > a.t OR (m.bought AND m.t = a.t)) AND m.t <= a.t + INTERVAL 1 HOUR)"""
     q["stream_user_metrics"] = with_base(f"g AS ({user_gold('silver_user', '1m')})") + \
         "SELECT * FROM g WHERE window_end <= (SELECT max(event_time) FROM silver_user) - INTERVAL 5 MINUTE"
     q["stream_order_metrics"] = with_base(f"g AS ({order_gold('silver_order', '1m')})") + \

@@ -9,7 +9,7 @@ in tests and backfills. All layer logic comes from the batch operators.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,8 @@ from ..session import SESSION_CONF, ensure_utc, new_run_dir, remove_at_exit, sto
 from ..sources.kafka import message_file_stream
 from ..sources.tables import read_sink_table, read_table_stream
 from ..sources.testdata import raw_messages
+from .carts import SCHEMA as CART_SCHEMA
+from .carts import abandoned_carts
 from .supervise import supervise
 
 PRODUCTION_TRIGGER = {"processingTime": "5 minutes"}
@@ -172,6 +174,18 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
         return _sink(gold, out_path, name, trigger, fmt)
 
 
+def start_carts(spark: SparkSession, in_paths: Sequence[str], out_path: str, name: str | None,
+                trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
+                delay: str = GOLD_WATERMARK, abandon_after: str = "1 hour",
+                max_files_per_trigger: int | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
+    """Silver tables -> table of abandoned carts (R2 as a stream)."""
+    _prepare(spark)
+    events = [read_table_stream(spark, path, BRONZE_SCHEMA, fmt, max_files_per_trigger) for path in in_paths]
+    with _start_conf(spark, state_partitions):
+        return _sink(abandoned_carts(events, delay, abandon_after), out_path, name, trigger, fmt)
+
+
 def start_many(starters: Sequence) -> list[StreamingQuery]:
     """Start one query per (source, target) spec; stop the started ones if a later start fails."""
     started: list[StreamingQuery] = []
@@ -261,12 +275,14 @@ def run_gold(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 HELD_MOD, HELD_REM = 97, 1
 
 
-def run_restarts(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4) -> DataFrame:
-    """Silver of a stream that is stopped and resumed from its checkpoints.
+def _restarted(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4,
+               then: Callable[[str], None] | None = None) -> str:
+    """Bronze and silver of streams that are stopped and resumed from their checkpoints.
 
     The messages come in three parts, in order of sending, and each part is one start of
     the bronze and silver jobs: the first half, the second half, and what was held back
-    of the first, which is then behind the watermark and dropped (W6).
+    of the first, which is then behind the watermark and dropped (W6). ``then`` is called
+    with the folder after each part.
     """
     base = _run_dir(spark, "restarts")
     raw = f"{base}/raw"
@@ -286,4 +302,22 @@ def run_restarts(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4) -
         supervise(start_many([
             (lambda s=s: start_silver(spark, f"{base}/bronze/{s}", f"{base}/silver/{s}", f"silver_{s}", once,
                                       state_partitions=width)) for s in SHORT.values()]), poll_seconds=1.0)
+        if then:
+            then(base)
+    return base
+
+
+def run_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of both topics after three starts."""
+    base = _restarted(spark, sf_dir)
     return _payloads(spark, *[f"{base}/silver/{s}" for s in SHORT.values()])
+
+
+def run_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carts abandoned in the silver of both topics, streamed in as many starts as silver."""
+    width = spark.sparkContext.defaultParallelism
+
+    def carts(base: str) -> None:
+        supervise([start_carts(spark, [f"{base}/silver/{s}" for s in SHORT.values()], f"{base}/carts", "carts",
+                               {"availableNow": True}, state_partitions=width)], poll_seconds=1.0)
+    return read_sink_table(spark, f"{_restarted(spark, sf_dir, then=carts)}/carts", CART_SCHEMA)
