@@ -26,6 +26,7 @@ in the start codebook, null ids come last. Empty tables give no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +39,26 @@ from .integer_vectors import SCALE, matrix, whole_vectors
 
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
 #: grid cells over a codebook's range, and cells remembered per part in a task (most)
-GRID, MEMORY = 4096, 1 << 15
+GRID, MEMORY = 1296, 1 << 15
 #: numbers held at once while candidates are evaluated
 BLOCK = 1 << 21
 #: a label with more than one row in so many is joined by broadcast
 HEAVY = 1024
 
 
+def _distinct(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of a first row of each kind, and the kind of every row."""
+    low = cells.min(axis=0)
+    spans = [int(x) for x in cells.max(axis=0) - low + 1]
+    if math.prod(spans) < 2 ** 62:  # one number a row
+        key = np.zeros(len(cells), np.int64)
+        for axis, span in enumerate(spans):
+            key = key * span + (cells[:, axis] - low[axis])
+    else:
+        key = cells.view(np.dtype((np.void, cells.itemsize * cells.shape[1]))).ravel()
+    return np.unique(key, return_index=True, return_inverse=True)[1:]
+
+
 class Cells:
     """The entries of one codebook that can be nearest, by grid cell."""
 
@@ -55,14 +69,23 @@ class Cells:
         self.side = np.maximum(1, -(-(self.entries.max(axis=0) - self.low + 1) // splits))
         self.known: dict[bytes, np.ndarray] = {}
 
-    def undominated(self, cell: np.ndarray) -> np.ndarray:
-        """Entries that are nearest to some point of the cell's box, or may be."""
-        low = self.low + cell * self.side
-        high = low + self.side - 1
-        least = np.maximum(0, np.maximum(low - self.entries, self.entries - high))
-        most = np.maximum(np.abs(self.entries - low), np.abs(self.entries - high))
-        least, most = (least * least).sum(axis=1), (most * most).sum(axis=1)
-        return np.flatnonzero(least <= most.min())
+    def undominated(self, cells: np.ndarray) -> list[np.ndarray]:
+        """Per cell, the entries that are nearest to some point of its box, or may be."""
+        out: list[np.ndarray] = []
+        for at in range(0, len(cells), max(1, BLOCK // self.entries.size)):
+            low = self.low + cells[at:at + max(1, BLOCK // self.entries.size)] * self.side
+            high = low + self.side - 1
+            least = np.zeros((len(low), len(self.entries)), np.int64)
+            most = np.zeros_like(least)
+            for axis in range(low.shape[1]):
+                below = low[:, axis, None] - self.entries[None, :, axis]
+                above = self.entries[None, :, axis] - high[:, axis, None]
+                least += np.maximum(0, np.maximum(below, above)) ** 2
+                most += np.maximum(np.abs(below), np.abs(above)) ** 2
+            row, entry = np.nonzero(least <= most.min(axis=1, keepdims=True))
+            ends = np.searchsorted(row, np.arange(len(low) + 1)).tolist()
+            out += [entry[a:b] for a, b in zip(ends, ends[1:])]
+        return out
 
     def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest entry and squared distance, per point."""
@@ -73,16 +96,14 @@ class Cells:
 
     def _nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cells = np.ascontiguousarray((points - self.low) // self.side)
-        keys = cells.view(np.dtype((np.void, cells.dtype.itemsize * cells.shape[1]))).ravel()
-        unique, first, own = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > MEMORY:
+        first, own = _distinct(cells)
+        if len(self.known) + len(first) > MEMORY:
             self.known.clear()
-        lists = []
-        for key, at in zip(unique.tolist(), first.tolist(), strict=True):
-            near = self.known.get(key)
-            if near is None:
-                near = self.known[key] = self.undominated(cells[at])
-            lists.append(near)
+        names = [row.tobytes() for row in cells[first]]
+        new = [k for k, name in enumerate(names) if name not in self.known]
+        if new:
+            self.known.update(zip([names[k] for k in new], self.undominated(cells[first[new]]), strict=True))
+        lists = [self.known[name] for name in names]
         sizes = np.array([len(x) for x in lists])
         starts = np.cumsum(sizes) - sizes
         counts = sizes[own]
