@@ -19,6 +19,7 @@ from ..operators.encode import encode_and_route
 from ..operators.explore import cart_states, ingest_lag, open_of, session_funnel
 from ..operators.merge import conform, merge_upsert
 from ..operators.metrics import APPROX_RSD, order_metrics, user_metrics
+from ..operators.sketches import estimated, metric_partials, rolled_up, within_error
 from ..operators.validate import reject_counts
 from ..schemas import (BRONZE_COLS, MERGE_KEYS, ORDER_METRICS_UPDATE, ORDER_TOPIC, PAYLOAD_COLS,
                        USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
@@ -207,6 +208,44 @@ def _stream_abandoned_carts(spark, sf):
     return run_carts(spark, sf)
 
 
+def _stream_offsets(spark, sf):
+    """Bronze read by offsets: a start position, a lost range, bounded batches."""
+    from ..streaming.jobs import run_offsets
+    return run_offsets(spark, sf)
+
+
+def _rollup(kind: str):
+    """Hours and days merged from stored minute sketches; the distinct users beside them are
+    exact, with a flag for the estimate."""
+    users = "unique_users" if kind == "user" else "unique_buyers"
+    key = ["product_id", "window_start"]
+
+    def q(spark, sf):
+        lay = Layers(spark, sf)
+        silver = lay.stored(only_topic(lay.silver(), USER_TOPIC if kind == "user" else ORDER_TOPIC)
+                            .select("user_id", "event_type", "product_id", "product_name", "category",
+                                    "price", "event_time"), "silver-narrow")
+        minutes = lay.stored(metric_partials(silver, kind), "minute-sketches")
+        hours = lay.stored(rolled_up(minutes, kind, WINDOWS["1h"]), "hour-sketches")
+        out = None
+        for unit, partials in (("1h", hours), ("1d", rolled_up(hours, kind, WINDOWS["1d"]))):
+            gold = user_metrics if kind == "user" else order_metrics
+            exact = gold(silver, WINDOWS[unit], "exact").select(*key, F.col(users).alias("_exact"))
+            found = estimated(partials, kind).join(exact, key)
+            found = found.select(F.lit(unit).alias("unit"), *[
+                F.col("_exact").alias(c) if c == users else F.col(c) for c in found.columns if c != "_exact"],
+                within_error(F.col(users), F.col("_exact")).alias("within_bound"))
+            out = found if out is None else out.unionByName(found)
+        return out
+    return q
+
+
+def _stream_ingest_lag(spark, sf):
+    """Daily lag from hourly quantile sketches made by a stream."""
+    from ..streaming.jobs import run_lag
+    return run_lag(spark, sf)
+
+
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)            # the NTZ presentation below reads the session zone
@@ -240,5 +279,9 @@ def registry() -> dict[str, Query]:
     q["stream_user_metrics"] = _stream_gold(USER_TOPIC)
     q["stream_order_metrics"] = _stream_gold(ORDER_TOPIC)
     q["stream_multi_batch"] = _stream_multi_batch
+    q["user_metrics_rollup"] = _rollup("user")
+    q["order_metrics_rollup"] = _rollup("order")
+    q["stream_ingest_lag"] = _stream_ingest_lag
+    q["stream_offsets"] = _stream_offsets
     q["stream_abandoned_carts"] = _stream_abandoned_carts
     return {k: _present(v) for k, v in q.items()}

@@ -243,6 +243,24 @@ UNION ALL SELECT 'order_metrics' AS table_name, count(*) AS row_count, 9 AS col_
   WHERE NOT (CAST(substr(event_id, 2) AS BIGINT) % 97 = 1 AND producer_time <
     (SELECT make_timestamp(lo + (hi - lo) // 2) FROM (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)) - INTERVAL 1 HOUR))"""
     q["stream_multi_batch"] = with_base(in_time) + f"SELECT topic, {PAYLOAD} FROM in_time"
+    for kind, gold in (("user", user_gold), ("order", order_gold)):
+        q[f"{kind}_metrics_rollup"] = with_base() + " UNION ALL ".join(
+            f"SELECT '{unit}' AS unit, *, TRUE AS within_bound FROM ({gold(f'silver_{kind}', unit)})" for unit in ("1h", "1d"))
+    # days of the hours that the topic's watermark has passed
+    q["stream_ingest_lag"] = with_base("""closed AS (
+  SELECT * FROM (SELECT *, max(producer_time) OVER (PARTITION BY topic) AS newest FROM silver)
+  WHERE date_trunc('hour', producer_time) + INTERVAL 1 HOUR <= date_trunc('millisecond', newest) - INTERVAL 5 MINUTE)""") + f"""
+SELECT topic, window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS events,
+       {rnd('max(broker_lag)', 3)} AS broker_lag_max, {rnd('max(lateness)', 3)} AS lateness_max,
+       TRUE AS broker_lag_p50_in_bound, TRUE AS broker_lag_p95_in_bound,
+       TRUE AS lateness_p50_in_bound, TRUE AS lateness_p95_in_bound
+FROM (SELECT topic, date_trunc('day', producer_time) AS window_start, {lag} AS broker_lag, {late} AS lateness FROM closed)
+GROUP BY topic, window_start"""
+    # the first segment of partition 0 lies before the start, two of 20 segments have expired
+    q["stream_offsets"] = with_base("""cut AS (
+  SELECT 2 * greatest(1, (max("offset") + 1) // 40) AS segment FROM bronze)""") + f"""
+SELECT {BRONZE_COLS} FROM bronze, cut
+WHERE NOT ("partition" = 0 AND "offset" < segment) AND "offset" // segment NOT IN (13, 14)"""
     # the watermark follows the slower of adds and purchases
     q["stream_abandoned_carts"] = with_base(in_time, """move AS (
   SELECT DISTINCT user_id, product_id, event_type = 'purchase' AS bought, event_time AS t FROM in_time

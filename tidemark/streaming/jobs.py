@@ -9,6 +9,7 @@ in tests and backfills. All layer logic comes from the batch operators.
 from __future__ import annotations
 
 import contextlib
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.decode import decode
 from ..operators.metrics import order_metrics, user_metrics
+from ..operators.sketches import lag_partials, lag_quantiles, lag_rolled_up, metric_partials, rank_checked
 from ..plans.batch import to_silver
-from ..schemas import (BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_METRICS_SCHEMA,
+from ..schemas import (BRONZE_COLS, BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_METRICS_SCHEMA,
                        ORDER_TOPIC, PAYLOAD_COLS, SILVER_WATERMARK, TOPICS,
                        USER_METRICS_SCHEMA, USER_TOPIC)
 from ..session import SESSION_CONF, ensure_utc, new_run_dir, remove_at_exit, stored
 from ..sources.kafka import message_file_stream
+from ..sources.offsets import offset_stream, stage_segments
 from ..sources.tables import read_sink_table, read_table_stream
 from ..sources.testdata import raw_messages
 from .carts import SCHEMA as CART_SCHEMA
 from .carts import abandoned_carts
-from .supervise import supervise
+from .sinks import remove_folder
+from .supervise import drain, supervise
 
 PRODUCTION_TRIGGER = {"processingTime": "5 minutes"}
 
@@ -174,6 +178,28 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
         return _sink(gold, out_path, name, trigger, fmt)
 
 
+def start_metric_partials(spark: SparkSession, in_path: str, out_path: str, name: str | None, kind: str,
+                          trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet", window: str = GOLD_WINDOW,
+                          delay: str = GOLD_WATERMARK, max_files_per_trigger: int | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
+    """Silver table -> table of mergeable metrics, from which longer windows are rolled up."""
+    _prepare(spark)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger)
+    with _start_conf(spark, state_partitions):
+        return _sink(metric_partials(src.withWatermark("event_time", delay), kind, window), out_path, name, trigger, fmt)
+
+
+def start_lag_partials(spark: SparkSession, in_path: str, out_path: str, name: str | None,
+                       trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet", window: str = "1 hour",
+                       delay: str = GOLD_WATERMARK, max_files_per_trigger: int | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
+    """Silver table -> table of ingest lag per topic and window as quantile sketches (R3 as a stream)."""
+    _prepare(spark)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger)
+    with _start_conf(spark, state_partitions):
+        return _sink(lag_partials(src.withWatermark("producer_time", delay), window), out_path, name, trigger, fmt)
+
+
 def start_carts(spark: SparkSession, in_paths: Sequence[str], out_path: str, name: str | None,
                 trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                 delay: str = GOLD_WATERMARK, abandon_after: str = "1 hour",
@@ -321,3 +347,58 @@ def run_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         supervise([start_carts(spark, [f"{base}/silver/{s}" for s in SHORT.values()], f"{base}/carts", "carts",
                                {"availableNow": True}, state_partitions=width)], poll_seconds=1.0)
     return read_sink_table(spark, f"{_restarted(spark, sf_dir, then=carts)}/carts", CART_SCHEMA)
+
+
+def run_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of both topics, read by offsets over two starts.
+
+    The first start begins partition 0 one segment later than the others and ends where the
+    topics end then, at segment 13 of 20. Before the second, the rest arrives and the
+    segments 13 and 14 expire unread; it goes on behind them from its checkpoint, though
+    its options ask for the latest offsets. Batches hold a fifth of the offsets at most.
+    """
+    base = _run_dir(spark, "offsets")
+    messages = stored(spark, raw_messages(spark, sf_dir), "offset-messages")
+    top = (messages.agg(F.max("offset")).first()[0] or 0) + 1
+    # a message may come twice, at an even offset and the next: segments hold whole pairs
+    segment = 2 * max(1, top // 40)
+    end = 13 * segment
+    partitions = [r[0] for r in messages.select("partition").distinct().collect()]
+    limit = max(1, top * max(1, len(partitions)) // 5)
+
+    def read(starting: str) -> None:
+        drain(start_many([
+            (lambda t=t, s=s: start_bronze(
+                spark, offset_stream(spark, f"{base}/raw/{s}", t, starting, max_offsets_per_trigger=limit,
+                                     segment=segment),
+                f"{base}/bronze/{s}", f"offsets_{s}", {"processingTime": "0 seconds"})) for t, s in SHORT.items()]))
+
+    for arrived, starting in ((F.col("offset") < end, json.dumps({"0": segment})), (F.col("offset") >= end, "latest")):
+        for t, s in SHORT.items():
+            stage_segments(messages.where(arrived & (F.col("topic") == t)), f"{base}/raw/{s}", segment)
+        for gone in (13, 14):
+            for s in SHORT.values():
+                for p in partitions:
+                    remove_folder(spark, f"{base}/raw/{s}/partition={p}/segment={gone}")
+        read(starting)
+    first, second = [read_sink_table(spark, f"{base}/bronze/{s}", BRONZE_SCHEMA) for s in SHORT.values()]
+    return first.unionByName(second).select(*BRONZE_COLS)
+
+
+def run_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest lag per topic and day from streamed hourly sketches, its quantiles checked by rank."""
+    paths = run_chain(spark, sf_dir, _run_dir(spark, "lag"), gold=False)
+    width = spark.sparkContext.defaultParallelism
+    out = {s: f"{paths['raw']}-lag/{s}" for s in SHORT.values()}
+    supervise(start_many([
+        (lambda s=s: start_lag_partials(spark, paths[f"silver_{s}"], out[s], f"lag_{s}", {"availableNow": True},
+                                        state_partitions=width)) for s in SHORT.values()]), poll_seconds=1.0)
+    hours, silver = [], []
+    for s in SHORT.values():
+        events = read_sink_table(spark, paths[f"silver_{s}"], BRONZE_SCHEMA)
+        hours.append(read_sink_table(spark, out[s], lag_partials(events).schema))
+        # the events of closed hours: those before the end of the last one written
+        closed = hours[-1].select(F.max("window_end")).scalar()
+        silver.append(events.where(F.col("producer_time") < closed))
+    quantiles = stored(spark, lag_quantiles(lag_rolled_up(hours[0].unionByName(hours[1]), "1 day")), "lag-days")
+    return rank_checked(quantiles, silver[0].unionByName(silver[1]), "1 day")

@@ -163,7 +163,8 @@ def _commit(spark: SparkSession, path: str, version: int, rows: Sequence[dict])
     return _write_log(spark, path, f"{version:020d}.json", rows)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete ``folder`` with all it holds, if there is one."""
     fs, at = _fs(spark, folder)
     fs.delete(at, True)
 
@@ -216,12 +217,12 @@ def merge_into_versioned(spark: SparkSession, path: str, updates: DataFrame, sch
             if seen.done is not None:
                 return {"version": seen.done, "skipped": True}
             if any(seen.current.get(day) != base.get(day) for day in days):  # another's rows came in between
-                _remove(spark, written)
+                remove_folder(spark, written)
                 written = None
     finally:
-        _remove(spark, staging)
+        remove_folder(spark, staging)
         if written is not None:
-            _remove(spark, written)
+            remove_folder(spark, written)
 
 
 def merge_sink(path: str, schema: T.StructType, keys: Sequence[str], update_cols: Sequence[str],
@@ -377,7 +378,7 @@ def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
     used = {r.folder for r in live}
     whole = {r.folder for r in dead} - used
     for folder in whole | {f"{r.folder}/{DATE}={r[DATE].isoformat()}" for r in dead if r.folder in used}:
-        _remove(spark, f"{path}/{folder}")
+        remove_folder(spark, f"{path}/{folder}")
     if len(files) > 1 or dead:
         streams = (log.where(F.col("writer").isNotNull()).groupBy("writer")
                    .agg(F.max("version").alias("version"), F.max_by("batch_id", "version").alias("batch_id")).collect())

@@ -45,6 +45,19 @@ def supervise(queries: Sequence[StreamingQuery], poll_seconds: float = 30.0,
         _wait_for_end([q for q in queries if q.isActive], poll_seconds)
 
 
+def drain(queries: Sequence[StreamingQuery]) -> None:
+    """Let running queries finish what their sources hold now, then stop them.
+
+    For queries on a processing-time trigger; the error of one that fails is raised.
+    """
+    try:
+        for q in queries:
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def _wait_for_end(active: Sequence[StreamingQuery], seconds: float) -> None:
     """Return after ``seconds``, or as soon as one of ``active`` has ended."""
     until = time.monotonic() + seconds
