@@ -8,8 +8,8 @@
     python -m tidemark explain --query user_metrics_1h --sf-dir /root/testdata/sf0.1
 
 Table folders under ``--root``: ``bronze/<topic>``, ``silver/<topic>``,
-``gold/user_metrics``, ``gold/order_metrics``, ``export/<table>``. Each
-streaming command runs its two queries under ``supervise``: if one fails, the
+``gold/user_metrics``, ``gold/order_metrics``, ``export/<table>``; every command adds what its
+batches did to ``metrics``. Each streaming command runs its two queries under ``supervise``: if one fails, the
 other is stopped and the process exits non-zero, so a restart policy applies.
 """
 
@@ -60,6 +60,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--poll-seconds", type=float, default=30.0)
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="state partitions of a new stateful job; pinned by its checkpoint")
+    p.add_argument("--segments", default=None,
+                   help="bronze from offset segments (<dir>/<topic>/) instead of Kafka")
+    p.add_argument("--jdbc-url", default=None, help="export: also upsert into a database (its driver on the classpath)")
+    p.add_argument("--jdbc-schema", default="public", help="export: schema of the database tables")
+    p.add_argument("--jdbc-properties", default="{}", help="export: connection properties as JSON")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -77,21 +82,33 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.root:
         p.error("--root is required")
+    if args.segments and args.available_now:
+        p.error("--segments needs a processing-time trigger")
     root = args.root.rstrip("/")
     empty = False if args.no_empty_batches else None
 
     if args.job == "export":
         from .streaming.sinks import export_table
-        out = {}
+        from .streaming.metrics_table import MetricsTable
+        from .streaming.sinks import jdbc_upsert
+        out, metrics = {}, MetricsTable(spark, f"{root}/metrics")
         for name, schema, upd in (("user_metrics", USER_METRICS_SCHEMA, USER_METRICS_UPDATE),
                                   ("order_metrics", ORDER_METRICS_SCHEMA, ORDER_METRICS_UPDATE)):
             out[name] = export_table(spark, f"{root}/gold/{name}", f"{root}/export/{name}",
                                      schema, MERGE_KEYS, upd, fmt=args.format)
+            metrics.append({"name": f"export_{name}", **out[name]})
+            if args.jdbc_url:
+                from .streaming.sinks import read_versioned
+                jdbc_upsert(read_versioned(spark, f"{root}/export/{name}", schema), args.jdbc_url,
+                            f"{args.jdbc_schema}.{name}", MERGE_KEYS, upd, json.loads(args.jdbc_properties))
+        metrics.flush()
         print(json.dumps(out, default=str))
         return 0
 
     from .sources.kafka import kafka_stream, message_file_stream
+    from .sources.offsets import offset_stream
     from .streaming.jobs import start_bronze, start_gold, start_many, start_silver
+    from .streaming.metrics_table import MetricsTable
     from .streaming.supervise import supervise
     trig = _trigger(args)
     if args.job == "bronze":
@@ -99,6 +116,9 @@ def main(argv: list[str] | None = None) -> int:
             if args.messages:
                 return message_file_stream(spark, f"{args.messages.rstrip('/')}/topic={t}", t,
                                            args.max_files_per_trigger)
+            if args.segments:
+                return offset_stream(spark, f"{args.segments.rstrip('/')}/{t}", t, args.starting_offsets,
+                                     max_offsets_per_trigger=args.max_offsets_per_trigger)
             return kafka_stream(spark, t, args.bootstrap, args.starting_offsets,
                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
         starters = [lambda t=t: start_bronze(
@@ -121,8 +141,17 @@ def main(argv: list[str] | None = None) -> int:
     def report(rows):
         print("[progress] " + " | ".join(f"{k}: {v} rows in last batch" for k, v in rows.items()),
               flush=True)
-    supervise(start_many(starters), poll_seconds=args.poll_seconds, on_progress=report,
-              until_done=args.available_now)
+    metrics = MetricsTable(spark, f"{root}/metrics").attach()
+    queries = []
+    try:
+        queries = start_many(starters)
+
+        def polled(rows):
+            report(rows)
+            metrics.flush()
+        supervise(queries, poll_seconds=args.poll_seconds, on_progress=polled, until_done=args.available_now)
+    finally:
+        metrics.detach(queries)
     return 0
 
 

@@ -246,6 +246,18 @@ def _stream_ingest_lag(spark, sf):
     return run_lag(spark, sf)
 
 
+def _stream_reject_metrics(spark, sf):
+    """Rejects per rule from the metrics table of the silver jobs."""
+    from ..streaming.jobs import run_reject_metrics
+    return run_reject_metrics(spark, sf)
+
+
+def _stream_validated(spark, sf):
+    """Valid rows and rejects of a stream in one pass, a batch delivered twice (V1-V5)."""
+    from ..streaming.jobs import run_validated
+    return run_validated(spark, sf)
+
+
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)            # the NTZ presentation below reads the session zone
@@ -282,6 +294,8 @@ def registry() -> dict[str, Query]:
     q["user_metrics_rollup"] = _rollup("user")
     q["order_metrics_rollup"] = _rollup("order")
     q["stream_ingest_lag"] = _stream_ingest_lag
+    q["stream_validated"] = _stream_validated
+    q["stream_reject_metrics"] = _stream_reject_metrics
     q["stream_offsets"] = _stream_offsets
     q["stream_abandoned_carts"] = _stream_abandoned_carts
     return {k: _present(v) for k, v in q.items()}

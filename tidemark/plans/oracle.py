@@ -69,6 +69,14 @@ BRONZE_COLS = ("event_id, session_id, user_id, event_type, product_id, product_n
 PAYLOAD = ("event_id, session_id, user_id, event_type, product_id, product_name, category, "
            "price, event_time, producer_time")
 
+FIRST_FAILED = """CASE
+    WHEN event_id IS NULL THEN 'event_id_not_null'
+    WHEN event_time IS NULL THEN 'event_time_not_null'
+    WHEN product_id IS NULL THEN 'product_id_not_null'
+    WHEN NOT (price IS NOT NULL AND price > 0) THEN 'price_positive'
+    WHEN event_type IS NULL OR event_type NOT IN ('view', 'click', 'add_to_cart', 'purchase') THEN 'event_type_known'
+  END"""
+
 UNITS = {"1m": ("minute", "1 MINUTE"), "1h": ("hour", "1 HOUR"), "1d": ("day", "1 DAY")}
 
 
@@ -168,13 +176,7 @@ def build() -> dict[str, str]:
     q["silver_valid"] = with_base() + f"SELECT {BRONZE_COLS} FROM valid"
     q["silver_rejects"] = with_base() + """
 SELECT topic, rejected_rule, count(*) AS rejected_rows FROM (
-  SELECT topic, CASE
-    WHEN event_id IS NULL THEN 'event_id_not_null'
-    WHEN event_time IS NULL THEN 'event_time_not_null'
-    WHEN product_id IS NULL THEN 'product_id_not_null'
-    WHEN NOT (price IS NOT NULL AND price > 0) THEN 'price_positive'
-    WHEN event_type IS NULL OR event_type NOT IN ('view', 'click', 'add_to_cart', 'purchase') THEN 'event_type_known'
-  END AS rejected_rule FROM bronze)
+  SELECT topic, """ + FIRST_FAILED + """ AS rejected_rule FROM bronze)
 WHERE rejected_rule IS NOT NULL GROUP BY topic, rejected_rule"""
     q["silver_dedup"] = with_base() + f"SELECT {BRONZE_COLS} FROM silver"
     for unit in ("1m", "1h", "1d"):
@@ -256,6 +258,8 @@ SELECT topic, window_start, window_start + INTERVAL 1 DAY AS window_end, count(*
        TRUE AS lateness_p50_in_bound, TRUE AS lateness_p95_in_bound
 FROM (SELECT topic, date_trunc('day', producer_time) AS window_start, {lag} AS broker_lag, {late} AS lateness FROM closed)
 GROUP BY topic, window_start"""
+    q["stream_reject_metrics"] = q["silver_rejects"]
+    q["stream_validated"] = with_base() + f"SELECT topic, {PAYLOAD}, {FIRST_FAILED} AS rejected_rule FROM bronze"
     # the first segment of partition 0 lies before the start, two of 20 segments have expired
     q["stream_offsets"] = with_base("""cut AS (
   SELECT 2 * greatest(1, (max("offset") + 1) // 40) AS segment FROM bronze)""") + f"""

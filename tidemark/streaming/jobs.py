@@ -31,7 +31,9 @@ from ..sources.tables import read_sink_table, read_table_stream
 from ..sources.testdata import raw_messages
 from .carts import SCHEMA as CART_SCHEMA
 from .carts import abandoned_carts
+from .metrics_table import MetricsTable, observe_rules, read_metrics
 from .sinks import remove_folder
+from .split import read_split, start_split
 from .supervise import drain, supervise
 
 PRODUCTION_TRIGGER = {"processingTime": "5 minutes"}
@@ -121,6 +123,7 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  precombine_copies: bool = False) -> StreamingQuery:
     """Bronze table -> silver table: watermark, validation, dedup on event_id.
 
+    Rows and rejects per rule are observed (``rules``) and come with each batch's progress.
     ``partition_by_date``: input and output are partitioned by ``event_date``.
     ``state_partitions``: dedup state width of a new checkpoint (default: the
     session's shuffle partitions)."""
@@ -128,7 +131,7 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
     src = read_table_stream(spark, in_path, _bronze_schema(partition_by_date), fmt,
                             max_files_per_trigger)
     with _start_conf(spark, state_partitions, empty_batches):
-        return _sink(to_silver(src, delay, unbounded, precombine_copies=precombine_copies),
+        return _sink(to_silver(observe_rules(src), delay, unbounded, precombine_copies=precombine_copies),
                      out_path, name, trigger, fmt, "event_date" if partition_by_date else None)
 
 
@@ -200,6 +203,15 @@ def start_lag_partials(spark: SparkSession, in_path: str, out_path: str, name: s
         return _sink(lag_partials(src.withWatermark("producer_time", delay), window), out_path, name, trigger, fmt)
 
 
+def start_validated(spark: SparkSession, in_path: str, out_path: str, name: str | None,
+                    trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Bronze table -> its valid rows and its rejects, side by side under one batch id."""
+    _prepare(spark)
+    return start_split(read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger), out_path, name,
+                       trigger)
+
+
 def start_carts(spark: SparkSession, in_paths: Sequence[str], out_path: str, name: str | None,
                 trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                 delay: str = GOLD_WATERMARK, abandon_after: str = "1 hour",
@@ -240,8 +252,11 @@ SHORT = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
 
 def run_chain(spark: SparkSession, sf_dir: str, base: str,
               trigger: dict | None = None, partition_by_date: bool = False,
-              distinct: str = "approx", topics: Sequence[str] = TOPICS, gold: bool = True) -> dict[str, str]:
-    """Stage the messages, then run bronze, silver and (unless ``gold`` is off) gold of ``topics``."""
+              distinct: str = "approx", topics: Sequence[str] = TOPICS, gold: bool = True,
+              metrics: MetricsTable | None = None) -> dict[str, str]:
+    """Stage the messages, then run bronze, silver and (unless ``gold`` is off) gold of ``topics``.
+
+    ``metrics`` gets what the silver jobs did."""
     trigger = trigger or {"availableNow": True}
     dated = partition_by_date
     # state width for these new checkpoints: one partition per core
@@ -255,10 +270,15 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
                                   paths[f"bronze_{SHORT[t]}"], f"bronze_{SHORT[t]}", trigger,
                                   partition_by_date=dated))
         for t in topics]), poll_seconds=1.0)
-    supervise(start_many([
+    if metrics:
+        metrics.attach()
+    silver = start_many([
         (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
                                   trigger, partition_by_date=dated, state_partitions=width))
-        for s in map(SHORT.get, topics)]), poll_seconds=1.0)
+        for s in map(SHORT.get, topics)])
+    supervise(silver, poll_seconds=1.0)
+    if metrics:
+        metrics.detach(silver)
     if gold:
         supervise(start_many([
             (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
@@ -402,3 +422,33 @@ def run_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver.append(events.where(F.col("producer_time") < closed))
     quantiles = stored(spark, lag_quantiles(lag_rolled_up(hours[0].unionByName(hours[1]), "1 day")), "lag-days")
     return rank_checked(quantiles, silver[0].unionByName(silver[1]), "1 day")
+
+
+def run_reject_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows per topic and rule as the silver jobs reported them, batch by batch."""
+    base = _run_dir(spark, "metrics")
+    run_chain(spark, sf_dir, base, gold=False, metrics=MetricsTable(spark, f"{base}/metrics"))
+    topic = F.when(F.col("query") == "silver_user", USER_TOPIC).otherwise(ORDER_TOPIC)
+    rules = (read_metrics(spark, f"{base}/metrics").select(topic.alias("topic"), F.explode("counts").alias("rejected_rule", "n"))
+             .where((F.col("rejected_rule") != "rows") & (F.col("n") > 0)))
+    return rules.groupBy("topic", "rejected_rule").agg(F.sum("n").alias("rejected_rows"))
+
+
+def run_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages as valid rows or rejects, from two starts, the last batch delivered twice."""
+    base = _run_dir(spark, "validated")
+    stage_messages(spark, sf_dir, f"{base}/raw")
+    once = {"availableNow": True}
+    supervise(start_many([
+        (lambda t=t, s=s: start_bronze(spark, message_file_stream(spark, f"{base}/raw/topic={t}", t),
+                                       f"{base}/bronze/{s}", f"bronze_{s}", once)) for t, s in SHORT.items()]), poll_seconds=1.0)
+    out = {s: f"{base}/validated/{s}" for s in SHORT.values()}
+    for _ in range(2):
+        supervise(start_many([
+            (lambda s=s: start_validated(spark, f"{base}/bronze/{s}", out[s], f"validated_{s}", once,
+                                         max_files_per_trigger=4)) for s in SHORT.values()]), poll_seconds=1.0)
+        for s in SHORT.values():  # as if the job had died before it noted its last batch as done
+            last = read_split(spark, out[s], BRONZE_SCHEMA).agg(F.max("batch_id")).first()[0]
+            remove_folder(spark, f"{out[s]}/_checkpoint/commits/{last}")
+    first, second = [read_split(spark, out[s], BRONZE_SCHEMA) for s in SHORT.values()]
+    return first.unionByName(second).select("topic", *PAYLOAD_COLS, "rejected_rule")

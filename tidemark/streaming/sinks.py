@@ -129,21 +129,21 @@ def _utc_date(col: str) -> F.Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(col) / 86400).cast("int"))
 
 
-def _write_log(spark: SparkSession, path: str, name: str, rows: Sequence[dict]) -> bool:
-    """Make the log file ``name`` at once, complete; False if there is one by that name.
+def write_lines(spark: SparkSession, folder: str, name: str, rows: Sequence[dict]) -> bool:
+    """Make the JSON lines file ``name`` at once, complete; False if there is one by that name.
 
     A hidden file is written and renamed, as Spark commits the batches of a checkpoint.
     """
     jvm = spark.sparkContext._jvm
-    hidden, target = f"{path}/_log/.{uuid.uuid4().hex}", f"{path}/_log/{name}"
-    fs, at = _fs(spark, hidden)
+    hidden = f"{folder}/.{uuid.uuid4().hex}"
+    fs, at = filesystem(spark, hidden)
     out = fs.create(at, True)
     out.write("".join(json.dumps(row, default=str) + "\n" for row in rows).encode())
     out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
-        context.rename(at, jvm.org.apache.hadoop.fs.Path(target), options)
+        context.rename(at, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), options)
     except Py4JJavaError as error:
         if not error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
             raise
@@ -155,17 +155,17 @@ def _write_log(spark: SparkSession, path: str, name: str, rows: Sequence[dict])
 
 def _commit(spark: SparkSession, path: str, version: int, rows: Sequence[dict]) -> bool:
     """Log ``rows`` as ``version`` unless that number is taken or compacted away."""
-    fs, log = _fs(spark, f"{path}/_log")
+    fs, log = filesystem(spark, f"{path}/_log")
     if fs.exists(log):
         names = [st.getPath().getName() for st in fs.listStatus(log)]
         if any(int(name.split(".")[0]) >= version for name in names if name.endswith(".json") and name[0] != "."):
             return False
-    return _write_log(spark, path, f"{version:020d}.json", rows)
+    return write_lines(spark, f"{path}/_log", f"{version:020d}.json", rows)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete ``folder`` with all it holds, if there is one."""
-    fs, at = _fs(spark, folder)
+    fs, at = filesystem(spark, folder)
     fs.delete(at, True)
 
 
@@ -341,7 +341,7 @@ def export_table(spark: SparkSession, gold_path: str, target_path: str, schema:
                                                    update_cols, 0, writer=None), waits)
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     """Hadoop FileSystem of ``path`` (works for HDFS, object stores, local)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -362,7 +362,7 @@ def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
     """
     if keep < 1:
         raise ValueError("keep must be >= 1")
-    fs, log_dir = _fs(spark, f"{path}/_log")
+    fs, log_dir = filesystem(spark, f"{path}/_log")
     if not fs.exists(log_dir):
         return {"versions_removed": [], "log_files_removed": 0}
     files = [st.getPath() for st in fs.listStatus(log_dir)
@@ -385,7 +385,7 @@ def retain(spark: SparkSession, path: str, keep: int = 2) -> dict:
         rows = [{c: r[c] for c in LOG_SCHEMA.names} for r in live]
         rows += [{"version": r.version, "row_count": 0, "writer": r.writer, "batch_id": r.batch_id} for r in streams]
         last = max(f.getName().split(".")[0] for f in files)
-        _write_log(spark, path, f"{last}.{uuid.uuid4().hex[:12]}.json", rows)
+        write_lines(spark, f"{path}/_log", f"{last}.{uuid.uuid4().hex[:12]}.json", rows)
         for f in files:
             fs.delete(f, False)
     return {"versions_removed": sorted({r.version for r in dead if r.folder in whole}),
