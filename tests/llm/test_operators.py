@@ -117,7 +117,12 @@ def test_embedding_links_against_all_pairs(spark):
     assert embedding_join.embedding_links(spark, df.limit(0)).count() == 0
 
 
-def test_chain_marginals_and_tagging():
+def _fitted(spark, texts, labels):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return toxicity.fit_toxicity(docs, spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"))
+
+
+def test_chain_marginals_and_tagging(spark):
     rng = np.random.default_rng(1)
     emit, first = rng.normal(size=60), rng.random(60) < 0.2
     first[0] = True
@@ -138,7 +143,7 @@ def test_chain_marginals_and_tagging():
     words = ["".join(random.choices("abcdefgh", k=6)) for _ in range(80)]
     calm = [" ".join(random.choices(words, k=12)) for _ in range(200)]
     rude = [" ".join([*random.choices(words, k=9), "scumbag", *random.choices(words, k=2)]) for _ in range(40)]
-    model = toxicity.fit(calm + rude, [0] * 200 + [1] * 40)
+    model = _fitted(spark, calm + rude, [0] * 200 + [1] * 40)
     lexicon = toxicity.Lexicon(model.known)
     rude = " ".join([*words[:2], "scumbag", *words[2:4]])
     calm = " ".join(words[4:9])
@@ -148,7 +153,7 @@ def test_chain_marginals_and_tagging():
 
 
 def test_toxicity_without_labels_or_text(spark, docs):
-    model = toxicity.fit([], [])
+    model = _fitted(spark, [], [])
     rows = toxicity.score_toxicity(docs.withColumnRenamed("lang", "toxicity"), model).collect()
     assert len(rows) == 12 and all(r.toxicity < 0.7 and r.toxic_spans == [] for r in rows)
 

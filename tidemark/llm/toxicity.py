@@ -1,13 +1,16 @@
 """Toxicity: a linear-chain CRF tags toxic words, its marginals score documents.
 
-Fitting (driver, on a bounded sample of labelled rows: about ``FIT_CHARS`` characters
-of text, near copies counted once):
-
-1. Word and word-beginning features are ranked by the log-likelihood ratio between
-   toxic and clean documents. Words of toxic documents that carry a clearly toxic
-   feature are the labelled tokens "toxic", all other tokens "clean".
+Fitting, on a bounded sample of labelled rows (about ``FIT_CHARS`` characters of text;
+of near copies with one label, the first counts):
+
+1. Tasks count word and word-beginning features of toxic and clean documents; Spark ranks
+   them by the log-likelihood ratio. What is clearly toxic is relative to how many
+   features were compared (``CLEAR``), so small label sets are fitted like large ones.
+   Words of toxic documents that carry a clearly toxic feature are the labelled tokens
+   "toxic", all other tokens "clean".
 2. A two-state linear-chain CRF with features of a word and of its two neighbours is
-   fitted to these tokens (exact gradient by forward-backward, Adam).
+   fitted to these tokens (exact gradient by forward-backward, Adam). The driver does
+   this on numbers: one per word for its set of known features, never on texts.
 3. A logistic regression on what the marginals add up to in a document (expected
    toxic words, the largest marginal, the density) gives the score.
 
@@ -37,19 +40,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, table
+from .common import forget, fresh, stored, table
 
 #: characters of labelled text the classifier is fitted on, about
 FIT_CHARS = 12_000_000
 #: documents longer than this share of the sample are not sampled
 LONGEST = 1 / 16
 #: tokens of the sample that the CRF itself is fitted on, about
-FIT_TOKENS = 600_000
+FIT_TOKENS = 300_000
 PREFIXES = (3, 4, 5, 6)
-#: least log-likelihood ratio and lift of a feature that marks toxic tokens
-STRONG, LIFT = 25.0, 8.0
+#: least log-likelihood ratio of a feature that marks toxic tokens, per logarithm of the
+#: number of features compared (2 lets about one pass by chance), and its least lift
+CLEAR, LIFT = 1.5, 4.0
+#: toxic documents that hold a feature, at least
+LEAST = 3
 #: least ratio of a feature that the CRF knows, and the most features
 KNOWN, MOST_FEATURES = 10.0, 20_000
+#: min-hashes of five words: bands, and hashes that all agree in a band of a near copy
+BANDS, ROWS = 4, 4
 STEPS = 60
 #: documents of the sample that are scored together for the document regression
 FIT_GROUP = 500
@@ -169,10 +177,13 @@ def emissions(types: np.ndarray, first: np.ndarray, own: np.ndarray, before: np.
     return out
 
 
-def _joined(chains: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _joined(chains: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Types of all documents in a row, where documents start, and whose each token is."""
     sizes = np.array([len(c) for c in chains], np.int64)
-    types = np.fromiter(chain.from_iterable(chains), np.int64, int(sizes.sum()))
+    if chains and isinstance(chains[0], np.ndarray):
+        types = np.concatenate(chains).astype(np.int64)
+    else:
+        types = np.fromiter(chain.from_iterable(chains), np.int64, int(sizes.sum()))
     owner = np.repeat(np.arange(len(chains)), sizes)
     first = np.ones(len(types), bool)
     first[1:] = owner[1:] != owner[:-1]
@@ -200,59 +211,95 @@ def score_chains(model: Model, lexicon: Lexicon, chains: list[list[int]]) -> tup
     return _sigmoid(_document_features(p, owner, sizes) @ model.regression), p
 
 
-def _ratio(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+def _ratio(a: F.Column, b: F.Column, n_a: int, n_b: int) -> F.Column:
     """Log-likelihood ratio of document counts a of n_a and b of n_b."""
-    def part(k, n, rate):
-        rate = np.clip(rate, 1e-12, 1 - 1e-12)
-        return k * np.log(rate) + (n - k) * np.log(1 - rate)
+    def part(k: F.Column, n: int, rate: F.Column) -> F.Column:
+        rate = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), rate))
+        return k * F.log(rate) + (n - k) * F.log(1 - rate)
     pooled = (a + b) / (n_a + n_b)
     return 2 * (part(a, n_a, a / n_a) + part(b, n_b, b / n_b)
                 - part(a, n_a, pooled) - part(b, n_b, pooled))
 
 
-def _distinct(texts: list[str], labels: list[int]) -> tuple[list[list[str]], np.ndarray]:
-    """Words and label of each text that is no near copy of an earlier one (min-hashes)."""
-    seen: set[tuple[int, int]] = set()
-    words, kept = [], []
-    once: dict[str, str] = {}  # one object a word, however often it occurs
-    for text, label in zip(texts, labels, strict=True):
-        own = [once.setdefault(w, w) for w in _WORD.findall(text)]
-        grams = {" ".join(own[k:k + 5]) for k in range(max(1, len(own) - 4))}
-        marks = {(s, min(xxhash.xxh64_intdigest(g, s) for g in grams)) for s in range(3)}
-        if not marks & seen:
-            words.append(own)
-            kept.append(label)
-        seen |= marks
-    return words, np.array(kept)
-
-
-def fit(texts: list[str], labels: list[int]) -> Model:
-    words, toxic = _distinct(texts, labels)
-    n_toxic, n_clean = int((toxic == 1).sum()), int((toxic == 0).sum())
-    rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1) if len(toxic) else 0.0
-    constant = Model(regression=np.array([math.log(rate / (1 - rate)) if rate else -35.0, 0, 0, 0]))
-    if not n_toxic or not n_clean:
-        return constant
+_MIX = np.random.default_rng(5).integers(0, 2 ** 63, (2, BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def bands(words: list[str]) -> list[int]:
+    """Hashes that documents share if most of their runs of five words agree."""
+    grams = {" ".join(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
+    hashes = np.array([xxhash.xxh64_intdigest(g) for g in grams], np.uint64)[None, :]
+    low = np.concatenate([((hashes[:, k:k + 4096] ^ _MIX[1]) * _MIX[0]).min(axis=1, keepdims=True)
+                          for k in range(0, hashes.shape[1], 4096)], axis=1).min(axis=1)
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - 2 ** 63 for k, row in enumerate(low.reshape(BANDS, ROWS))]
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, label, band) for each band of a text."""
+    for batch in batches:
+        rows, labels = batch.column("row").to_pylist(), batch.column("label").to_pylist()
+        found = [(r, y, b) for r, y, t in zip(rows, labels, batch.column("text"), strict=True)
+                 for b in bands(_WORD.findall(t.as_py()))]
+        columns = list(zip(*found, strict=True)) or [[], [], []]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)],
+                              names=["row", "label", "band"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, clean, toxic): documents of the task that hold it."""
     counts: dict[str, list[int]] = {}
-    for own, label in zip(words, toxic.tolist(), strict=True):
-        for f in set(chain.from_iterable(map(features, set(own)))):
-            counts.setdefault(f, [0, 0])[label] += 1
-    names = [f for f, (_, k) in counts.items() if k >= 3]
-    if not names:
-        return constant
-    clean_df, toxic_df = np.array([counts[f] for f in names], float).T
-    del counts  # what is done with goes at once: the fit has the driver's memory only
-    ratio = _ratio(toxic_df, clean_df, n_toxic, n_clean)
-    lift = (toxic_df + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean_df + 0.5)
-    ratio[lift < 1] = 0
-    order = [k for k in np.lexsort((names, -ratio))[:MOST_FEATURES] if ratio[k] >= KNOWN]
-    known = {names[k]: i for i, k in enumerate(order)}
-    strong = np.array([ratio[k] >= STRONG and lift[k] >= LIFT for k in order], bool)
-    if not strong.any():
-        return constant
+    for batch in batches:
+        for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+            for f in set(chain.from_iterable(map(features, set(_WORD.findall(text.as_py()))))):
+                counts.setdefault(f, [0, 0])[label] += 1
+    clean, toxic = zip(*counts.values(), strict=True) if counts else ([], [])
+    yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())],
+                          names=["feature", "clean", "toxic"])
+
+
+def _key(known: tuple[int, ...]) -> int:
+    """A number for a set of known features; 0 for none."""
+    return xxhash.xxh64_intdigest(np.array(known, "<i4").tobytes()) - 2 ** 63 if known else 0
+
+
+def _typed(known: dict[str, int]):
+    """Rows as (row, label, keys of the words), and once a task what its keys stand for."""
+    schema = pa.schema([("row", pa.int64()), ("label", pa.int32()), ("words", pa.binary()), ("key", pa.int64()),
+                        ("features", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: dict[str, int] = {}
+        meaning: dict[int, list[int]] = {}
+        for batch in batches:
+            out = []
+            for row, label, text in zip(batch.column("row").to_pylist(), batch.column("label").to_pylist(),
+                                        batch.column("text"), strict=True):
+                words = _WORD.findall(text.as_py())
+                for w in set(words) - keys.keys():
+                    own = tuple(known[f] for f in features(w) if f in known)
+                    keys[w] = _key(own)
+                    meaning[keys[w]] = list(own)
+                out.append({"row": row, "label": label, "key": None, "features": None,
+                            "words": np.array([keys[w] for w in words], "<i8").tobytes()})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+        yield pa.RecordBatch.from_pylist([{"key": k, "features": v} for k, v in meaning.items()], schema=schema)
+    return run
+
+
+def _fit(rows: pa.Table, known: dict[str, int], strong: np.ndarray) -> Model:
+    """The model from the sample's word keys."""
+    meant = rows.filter(rows["key"].is_valid())
+    meaning = dict(zip(meant["key"].to_pylist(), map(tuple, meant["features"].to_pylist()), strict=True))
     lexicon = Lexicon(known)
-    chains = [[lexicon[w] for w in own] for own in words]
-    del words
+    order = [0, *sorted(meaning.keys() - {0})]
+    for key in order[1:]:
+        lexicon.types[meaning[key]] = len(lexicon.types)
+    place = np.argsort(order)
+    of = np.sort(order)
+    docs = rows.filter(rows["words"].is_valid()).sort_by("row")
+    toxic = docs["label"].to_numpy()
+    chains = [place[np.searchsorted(of, np.frombuffer(w.as_buffer(), "<i8"))].astype(np.int32)
+              for w in docs["words"]]
+    del rows, meant, docs
     marks = np.array([any(strong[f] for f in key) for key in lexicon.types])
     model = Model(known, *_fit_chain(chains, toxic, lexicon, marks))
     weights = [lexicon.sums(w) for w in (model.own, model.before, model.after)]
@@ -262,8 +309,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         types, first, owner = _joined(some)
         p = marginals(emissions(types, first, *weights), first, model.start, model.trans)[0]
         parts.append(_document_features(p, owner, np.array([len(c) for c in some])))
-    x = np.concatenate(parts)
-    model.regression = _logistic(x, toxic)
+    model.regression = _logistic(np.concatenate(parts), toxic)
     return model
 
 
@@ -330,7 +376,12 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", fit_chars: int = FIT_CHARS) -> Model:
-    """Fit on about ``fit_chars`` characters of labelled documents (by a hash of the id)."""
+    """Fit on about ``fit_chars`` characters of labelled documents (by a hash of the id).
+
+    The driver sees the ranked features (``MOST_FEATURES`` at most) and, for each word of the
+    sample, one number.
+    """
+    spark = docs.sparkSession
     marked = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id"))
               .agg(F.max(label_col).cast("int").alias("label")))
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -339,8 +390,39 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     chars = sizes.agg(F.sum("size")).first()[0] or 0
     share = min(1.0, fit_chars / max(chars, 1))
     lucky = marked.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = text.join(lucky, "id").select("id", "text", "label").orderBy("id", "text").toArrow()
-    return fit(rows["text"].to_pylist(), rows["label"].to_pylist())
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    # a row is known by a hash of its id and text: equal rows are one
+    sample = stored(spark, text.join(lucky, "id").select(F.xxhash64("id", "text").alias("row"), "text", "label")
+                    .dropDuplicates(["row"]).repartition(tasks, "row"), "toxicity-sample")
+    banded = stored(spark, sample.mapInArrow(_banded, "row long, label int, band long"), "toxicity-bands")
+    first = banded.groupBy("band", "label").agg(F.min("row").alias("first"))
+    copies = banded.join(first, ["band", "label"]).where("row > first").select("row").distinct()
+    kept = stored(spark, sample.join(copies, "row", "left_anti").repartition(tasks, "row"), "toxicity-kept")
+    found = {r.label: r.n for r in kept.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n_clean, n_toxic = found.get(0, 0), found.get(1, 0)
+    rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1) if found else 0.0
+    constant = Model(regression=np.array([math.log(rate / (1 - rate)) if rate else -35.0, 0, 0, 0]))
+    try:
+        if not n_toxic or not n_clean:
+            return constant
+        counts = stored(spark, kept.mapInArrow(_counted, "feature string, clean long, toxic long").groupBy("feature")
+                        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+                        .where(F.col("toxic") >= LEAST), "toxicity-features")
+        clean, toxic = F.col("clean"), F.col("toxic")
+        lift = (toxic + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean + 0.5)
+        least = CLEAR * math.log(max(counts.count(), 2))
+        ranked = (counts.select("feature", _ratio(toxic, clean, n_toxic, n_clean).alias("ratio"), lift.alias("lift"))
+                  .where((F.col("lift") >= 1) & (F.col("ratio") >= min(KNOWN, least)))
+                  .orderBy(F.desc("ratio"), "feature").limit(MOST_FEATURES).toArrow())
+        forget(spark, counts)
+        known = {f: k for k, f in enumerate(ranked["feature"].to_pylist())}
+        strong = (ranked["ratio"].to_numpy() >= least) & (ranked["lift"].to_numpy() >= LIFT)
+        if not strong.any():
+            return constant
+        rows = kept.mapInArrow(_typed(known), "row long, label int, words binary, key long, features array<int>").toArrow()
+        return _fit(rows, known, strong)
+    finally:
+        forget(spark, sample, banded, kept)
 
 
 def _groups(column: pa.Array) -> Iterator[list[str]]:
