@@ -27,6 +27,11 @@ def session_funnel(events: DataFrame, by: str = "category") -> DataFrame:
     units = events.groupBy("session_id", by).agg(
         _flag("view").alias("v"), _flag("click").alias("c"),
         _flag("add_to_cart").alias("a"), _flag("purchase").alias("p"))
+    return funnel_of(units, by)
+
+
+def funnel_of(units: DataFrame, by: str = "category") -> DataFrame:
+    """Funnel totals per ``by`` of units with the flags v, c, a, p of the four stages."""
     staged = units.select(
         by,
         F.col("v").alias("s1"),
@@ -46,6 +51,19 @@ def session_funnel(events: DataFrame, by: str = "category") -> DataFrame:
         safe_rate("purchased", "carted", 4).alias("cart_to_purchase"))
 
 
+def session_units(events: DataFrame, by: str = "category", gap: str = "30 minutes") -> DataFrame:
+    """Stage flags per (user, ``by``, session), a session ending ``gap`` after its last event.
+
+    On a stream (watermark set by the caller) sessions grow and merge in state and are
+    emitted once, when the watermark has passed their end.
+    """
+    grouped = events.groupBy("user_id", by, F.session_window("event_time", gap).alias("session")).agg(
+        _flag("view").alias("v"), _flag("click").alias("c"),
+        _flag("add_to_cart").alias("a"), _flag("purchase").alias("p"), F.count(F.lit(1)).alias("events"))
+    return grouped.select("user_id", by, F.col("session.start").alias("session_start"),
+                          F.col("session.end").alias("session_end"), "v", "c", "a", "p", "events")
+
+
 def open_carts(events: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
     """Products added to a cart and not purchased since, as of the latest event.
 

@@ -258,6 +258,18 @@ def _stream_validated(spark, sf):
     return run_validated(spark, sf)
 
 
+def _stream_session_funnel(spark, sf):
+    """Funnel of sessions with a gap, merged in state and closed by the watermark."""
+    from ..streaming.jobs import run_sessions
+    return run_sessions(spark, sf)
+
+
+def _stream_late_corrected(spark, sf):
+    """Keyed export of streamed gold with the windows of late rows computed again."""
+    from ..streaming.jobs import run_late
+    return run_late(spark, sf)
+
+
 def _present(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)            # the NTZ presentation below reads the session zone
@@ -297,5 +309,7 @@ def registry() -> dict[str, Query]:
     q["stream_validated"] = _stream_validated
     q["stream_reject_metrics"] = _stream_reject_metrics
     q["stream_offsets"] = _stream_offsets
+    q["stream_session_funnel"] = _stream_session_funnel
+    q["stream_late_corrected"] = _stream_late_corrected
     q["stream_abandoned_carts"] = _stream_abandoned_carts
     return {k: _present(v) for k, v in q.items()}

@@ -170,6 +170,25 @@ def _union_events() -> str:
     return "ev AS (SELECT * FROM silver_user UNION ALL SELECT * FROM silver_order)"
 
 
+def funnel(src: str, unit: str, having: str = "") -> str:
+    return f"""
+SELECT category, count(*) AS sessions,
+       CAST(sum(s1) AS BIGINT) AS viewed, CAST(sum(s2) AS BIGINT) AS clicked,
+       CAST(sum(s3) AS BIGINT) AS carted, CAST(sum(s4) AS BIGINT) AS purchased,
+       {safe_rate('sum(s2)', 'sum(s1)', 4)} AS view_to_click,
+       {safe_rate('sum(s3)', 'sum(s2)', 4)} AS click_to_cart,
+       {safe_rate('sum(s4)', 'sum(s3)', 4)} AS cart_to_purchase
+FROM (
+  SELECT category, v AS s1, v * c AS s2, v * c * a AS s3, v * c * a * p AS s4 FROM (
+    SELECT {unit},
+           max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS v,
+           max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS c,
+           max(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS a,
+           max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p
+    FROM {src} GROUP BY {unit} {having}))
+GROUP BY category"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_decode"] = with_base() + f"SELECT {BRONZE_COLS} FROM bronze"
@@ -195,22 +214,7 @@ WHERE rejected_rule IS NOT NULL GROUP BY topic, rejected_rule"""
     q["encode_and_route"] = with_base() + f"""
 SELECT CASE WHEN event_type = 'purchase' THEN 'order_events' ELSE 'user_activity_events' END AS topic,
        user_id AS key, {PAYLOAD} FROM silver"""
-    q["session_funnel"] = with_base(_union_events()) + f"""
-SELECT category, count(*) AS sessions,
-       CAST(sum(s1) AS BIGINT) AS viewed, CAST(sum(s2) AS BIGINT) AS clicked,
-       CAST(sum(s3) AS BIGINT) AS carted, CAST(sum(s4) AS BIGINT) AS purchased,
-       {safe_rate('sum(s2)', 'sum(s1)', 4)} AS view_to_click,
-       {safe_rate('sum(s3)', 'sum(s2)', 4)} AS click_to_cart,
-       {safe_rate('sum(s4)', 'sum(s3)', 4)} AS cart_to_purchase
-FROM (
-  SELECT category, v AS s1, v * c AS s2, v * c * a AS s3, v * c * a * p AS s4 FROM (
-    SELECT session_id, category,
-           max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS v,
-           max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS c,
-           max(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS a,
-           max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p
-    FROM ev GROUP BY session_id, category))
-GROUP BY category"""
+    q["session_funnel"] = with_base(_union_events()) + funnel("ev", "session_id, category")
     q["open_carts"] = with_base(_union_events()) + """
 SELECT user_id, product_id, added_at, count(*) OVER (PARTITION BY user_id) AS cart_size,
        added_at < (SELECT max(event_time) FROM ev) - INTERVAL 1 HOUR AS abandoned
@@ -265,6 +269,14 @@ GROUP BY topic, window_start"""
   SELECT 2 * greatest(1, (max("offset") + 1) // 40) AS segment FROM bronze)""") + f"""
 SELECT {BRONZE_COLS} FROM bronze, cut
 WHERE NOT ("partition" = 0 AND "offset" < segment) AND "offset" // segment NOT IN (13, 14)"""
+    # sessions end 30 minutes after their last event; the slower topic's watermark closes them
+    q["stream_session_funnel"] = with_base(in_time, """spaced AS (
+  SELECT *, lag(event_time) OVER (PARTITION BY user_id, category ORDER BY event_time) AS prev FROM in_time)""", """island AS (
+  SELECT *, sum(CASE WHEN prev IS NULL OR event_time - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+    OVER (PARTITION BY user_id, category ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS session FROM spaced)""", """mark AS (
+  SELECT date_trunc('millisecond', min(t)) - INTERVAL 5 MINUTE AS now
+  FROM (SELECT max(event_time) AS t FROM in_time GROUP BY topic))""") + funnel(
+        "island", "user_id, category, session", "HAVING max(event_time) + INTERVAL 30 MINUTE <= (SELECT now FROM mark)")
     # the watermark follows the slower of adds and purchases
     q["stream_abandoned_carts"] = with_base(in_time, """move AS (
   SELECT DISTINCT user_id, product_id, event_type = 'purchase' AS bought, event_time AS t FROM in_time
@@ -276,6 +288,12 @@ FROM move a WHERE NOT bought AND t + INTERVAL 1 HOUR <= (SELECT now FROM mark)
                   AND (m.t > a.t OR (m.bought AND m.t = a.t)) AND m.t <= a.t + INTERVAL 1 HOUR)"""
     q["stream_user_metrics"] = with_base(f"g AS ({user_gold('silver_user', '1m')})") + \
         "SELECT * FROM g WHERE window_end <= (SELECT max(event_time) FROM silver_user) - INTERVAL 5 MINUTE"
+    # every closed window, whatever came late; one row a key, as the export keeps it
+    tie = ", ".join(c for c in USER_METRICS_COLS if c not in KEYS and c != "window_end")
+    q["stream_late_corrected"] = with_base(
+        f"g AS ({user_gold('silver_user', '1m')})",
+        "closed AS (SELECT * FROM g WHERE window_end <= (SELECT max(event_time) FROM silver_user) - INTERVAL 5 MINUTE)") + \
+        f"SELECT * FROM closed QUALIFY row_number() OVER (PARTITION BY product_id, window_start ORDER BY ({tie}) DESC) = 1"
     q["stream_order_metrics"] = with_base(f"g AS ({order_gold('silver_order', '1m')})") + \
         "SELECT * FROM g WHERE window_end <= (SELECT max(event_time) FROM silver_order) - INTERVAL 5 MINUTE"
     return q

@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.decode import decode
+from ..operators.explore import funnel_of, session_units
 from ..operators.metrics import order_metrics, user_metrics
 from ..operators.sketches import lag_partials, lag_quantiles, lag_rolled_up, metric_partials, rank_checked
 from ..plans.batch import to_silver
-from ..schemas import (BRONZE_COLS, BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, ORDER_METRICS_SCHEMA,
+from ..schemas import (BRONZE_COLS, BRONZE_SCHEMA, GOLD_WATERMARK, GOLD_WINDOW, MERGE_KEYS, ORDER_METRICS_SCHEMA,
                        ORDER_TOPIC, PAYLOAD_COLS, SILVER_WATERMARK, TOPICS,
-                       USER_METRICS_SCHEMA, USER_TOPIC)
+                       USER_METRICS_SCHEMA, USER_METRICS_UPDATE, USER_TOPIC)
 from ..session import SESSION_CONF, ensure_utc, new_run_dir, remove_at_exit, stored
 from ..sources.kafka import message_file_stream
 from ..sources.offsets import offset_stream, stage_segments
@@ -31,8 +32,9 @@ from ..sources.tables import read_sink_table, read_table_stream
 from ..sources.testdata import raw_messages
 from .carts import SCHEMA as CART_SCHEMA
 from .carts import abandoned_carts
+from .late import export_corrected, start_late
 from .metrics_table import MetricsTable, observe_rules, read_metrics
-from .sinks import remove_folder
+from .sinks import read_versioned, remove_folder
 from .split import read_split, start_split
 from .supervise import drain, supervise
 
@@ -120,7 +122,8 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                  max_files_per_trigger: int | None = None,
                  partition_by_date: bool = False,
                  state_partitions: int | None = None,
-                 precombine_copies: bool = False) -> StreamingQuery:
+                 precombine_copies: bool = False,
+                 output_partitions: int | None = None) -> StreamingQuery:
     """Bronze table -> silver table: watermark, validation, dedup on event_id.
 
     Rows and rejects per rule are observed (``rules``) and come with each batch's progress.
@@ -132,7 +135,7 @@ def start_silver(spark: SparkSession, in_path: str, out_path: str, name: str,
                             max_files_per_trigger)
     with _start_conf(spark, state_partitions, empty_batches):
         return _sink(to_silver(observe_rules(src), delay, unbounded, precombine_copies=precombine_copies),
-                     out_path, name, trigger, fmt, "event_date" if partition_by_date else None)
+                     out_path, name, trigger, fmt, "event_date" if partition_by_date else None, output_partitions)
 
 
 def start_gold(spark: SparkSession, in_path: str, out_path: str, name: str, kind: str,
@@ -167,13 +170,14 @@ def start_silver_gold(spark: SparkSession, in_path: str, out_path: str, name: st
                       trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                       window: str = GOLD_WINDOW, delay: str = GOLD_WATERMARK,
                       empty_batches: bool | None = None,
+                      max_files_per_trigger: int | None = None,
                       state_partitions: int | None = None,
                       distinct: str = "approx") -> StreamingQuery:
     """Bronze table -> gold table in one query: validation, bounded dedup and the
     windowed aggregate share one watermark (``delay``), so no silver table and
     no second checkpoint are needed."""
     _prepare(spark)
-    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt)
+    src = read_table_stream(spark, in_path, BRONZE_SCHEMA, fmt, max_files_per_trigger)
     silver = to_silver(src, delay)
     gold = (user_metrics(silver, window, distinct) if kind == "user"
             else order_metrics(silver, window, distinct))
@@ -212,6 +216,23 @@ def start_validated(spark: SparkSession, in_path: str, out_path: str, name: str
                        trigger)
 
 
+def start_sessions(spark: SparkSession, in_paths: Sequence[str], out_path: str, name: str | None,
+                   trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet", by: str = "category",
+                   gap: str = "30 minutes", delay: str = GOLD_WATERMARK, max_files_per_trigger: int | None = None,
+                   state_partitions: int | None = None) -> StreamingQuery:
+    """Silver tables -> table of closed sessions with their stages (R1 as a stream).
+
+    Each table has its own watermark, the slowest decides."""
+    _prepare(spark)
+    events = [read_table_stream(spark, path, BRONZE_SCHEMA, fmt, max_files_per_trigger).withWatermark("event_time", delay)
+              for path in in_paths]
+    joined = events[0]
+    for more in events[1:]:
+        joined = joined.unionByName(more)
+    with _start_conf(spark, state_partitions):
+        return _sink(session_units(joined, by, gap), out_path, name, trigger, fmt)
+
+
 def start_carts(spark: SparkSession, in_paths: Sequence[str], out_path: str, name: str | None,
                 trigger: dict = PRODUCTION_TRIGGER, fmt: str = "parquet",
                 delay: str = GOLD_WATERMARK, abandon_after: str = "1 hour",
@@ -242,31 +263,49 @@ def start_many(starters: Sequence) -> list[StreamingQuery]:
 # ---------------------------------------------------------------------------
 
 
-def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the adapter's messages as one folder per topic (topic=<name>)."""
-    raw_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
-
+def stage_messages(spark: SparkSession, sf_dir: str, path: str, slices: int | None = None) -> None:
+    """Write the adapter's messages as one folder per topic (topic=<name>).
 
+    ``slices``: as that many files a topic, one after the other, each with the messages of a
+    stretch of broker time.
+    """
+    messages = raw_messages(spark, sf_dir)
+    if not slices:
+        messages.write.mode("overwrite").partitionBy("topic").parquet(path)
+        return
+    messages = stored(spark, messages, "sliced-messages")
+    low, high = messages.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    width = 0 if low is None else (high - low) // slices + 1
+    for k in range(slices):
+        at = F.unix_micros("timestamp") - F.lit(low or 0)
+        (messages.where((at >= k * width) & (at < (k + 1) * width)).coalesce(1)
+         .write.mode("append").partitionBy("topic").parquet(path))
+
+
+#: micro-batches of each layer in the registered runs
+SLICES = 4
 SHORT = {USER_TOPIC: "user", ORDER_TOPIC: "order"}
 
 
 def run_chain(spark: SparkSession, sf_dir: str, base: str,
               trigger: dict | None = None, partition_by_date: bool = False,
               distinct: str = "approx", topics: Sequence[str] = TOPICS, gold: bool = True,
-              metrics: MetricsTable | None = None) -> dict[str, str]:
+              metrics: MetricsTable | None = None, slices: int | None = None) -> dict[str, str]:
     """Stage the messages, then run bronze, silver and (unless ``gold`` is off) gold of ``topics``.
 
-    ``metrics`` gets what the silver jobs did."""
+    ``metrics`` gets what the silver jobs did. ``slices``: every layer works through that many
+    micro-batches, a file each; without, the backlog is one."""
     trigger = trigger or {"availableNow": True}
     dated = partition_by_date
     # state width for these new checkpoints: one partition per core
     width = spark.sparkContext.defaultParallelism
     paths = {"raw": f"{base}/raw"}
-    stage_messages(spark, sf_dir, paths["raw"])
+    stage_messages(spark, sf_dir, paths["raw"], slices)
+    files = 1 if slices else None
     for s in SHORT.values():
         paths |= {f"{layer}_{s}": f"{base}/{layer}/{s}" for layer in ("bronze", "silver", "gold")}
     supervise(start_many([
-        (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t),
+        (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t, files),
                                   paths[f"bronze_{SHORT[t]}"], f"bronze_{SHORT[t]}", trigger,
                                   partition_by_date=dated))
         for t in topics]), poll_seconds=1.0)
@@ -274,7 +313,8 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
         metrics.attach()
     silver = start_many([
         (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
-                                  trigger, partition_by_date=dated, state_partitions=width))
+                                  trigger, partition_by_date=dated, state_partitions=width,
+                                  max_files_per_trigger=files, output_partitions=files))
         for s in map(SHORT.get, topics)])
     supervise(silver, poll_seconds=1.0)
     if metrics:
@@ -283,7 +323,7 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
         supervise(start_many([
             (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
                                     trigger, partition_by_date=dated, state_partitions=width,
-                                    distinct=distinct))
+                                    max_files_per_trigger=files, distinct=distinct))
             for s in map(SHORT.get, topics)]), poll_seconds=1.0)
     return paths
 
@@ -303,7 +343,7 @@ def _payloads(spark: SparkSession, *silver: str) -> DataFrame:
 
 def run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of both topics, streamed by an ``availableNow`` run."""
-    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), gold=False)
+    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), gold=False, slices=SLICES)
     return _payloads(spark, paths["silver_user"], paths["silver_order"])
 
 
@@ -312,7 +352,7 @@ def run_gold(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
     With exact distinct users, so that it compares row for row with the batch
     definition (the approximate form is the job default)."""
-    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), distinct="exact", topics=[topic])
+    paths = run_chain(spark, sf_dir, _run_dir(spark, "stream"), distinct="exact", topics=[topic], slices=SLICES)
     return read_sink_table(spark, paths[f"gold_{SHORT[topic]}"],
                            USER_METRICS_SCHEMA if topic == USER_TOPIC else ORDER_METRICS_SCHEMA)
 
@@ -369,6 +409,34 @@ def run_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sink_table(spark, f"{_restarted(spark, sf_dir, then=carts)}/carts", CART_SCHEMA)
 
 
+def run_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funnel per category of the closed sessions, streamed in as many starts as silver."""
+    width = spark.sparkContext.defaultParallelism
+
+    def sessions(base: str) -> None:
+        supervise([start_sessions(spark, [f"{base}/silver/{s}" for s in SHORT.values()], f"{base}/sessions", "sessions",
+                                  {"availableNow": True}, state_partitions=width)], poll_seconds=1.0)
+    base = _restarted(spark, sf_dir, then=sessions)
+    return funnel_of(spark.read.parquet(f"{base}/sessions"))
+
+
+def run_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export of the user metrics of a stream, some of whose rows come hours late."""
+    width, once = spark.sparkContext.defaultParallelism, {"availableNow": True}
+    s = SHORT[USER_TOPIC]
+
+    def export(base: str) -> None:
+        supervise(start_many([
+            lambda: start_gold(spark, f"{base}/silver/{s}", f"{base}/gold/{s}", f"gold_{s}", s, once,
+                               state_partitions=width, distinct="exact"),
+            lambda: start_late(spark, f"{base}/bronze/{s}", f"{base}/late/{s}", f"late_{s}", s, once,
+                               distinct="exact")]), poll_seconds=1.0)
+        export_corrected(spark, f"{base}/gold/{s}", f"{base}/late/{s}", f"{base}/export/{s}", USER_METRICS_SCHEMA,
+                         MERGE_KEYS, USER_METRICS_UPDATE)
+    base = _restarted(spark, sf_dir, then=export)
+    return read_versioned(spark, f"{base}/export/{s}", USER_METRICS_SCHEMA)
+
+
 def run_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze of both topics, read by offsets over two starts.
 
@@ -427,7 +495,7 @@ def run_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_reject_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected rows per topic and rule as the silver jobs reported them, batch by batch."""
     base = _run_dir(spark, "metrics")
-    run_chain(spark, sf_dir, base, gold=False, metrics=MetricsTable(spark, f"{base}/metrics"))
+    run_chain(spark, sf_dir, base, gold=False, metrics=MetricsTable(spark, f"{base}/metrics"), slices=SLICES)
     topic = F.when(F.col("query") == "silver_user", USER_TOPIC).otherwise(ORDER_TOPIC)
     rules = (read_metrics(spark, f"{base}/metrics").select(topic.alias("topic"), F.explode("counts").alias("rejected_rule", "n"))
              .where((F.col("rejected_rule") != "rows") & (F.col("n") > 0)))
