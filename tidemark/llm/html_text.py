@@ -3,7 +3,7 @@
 A small forgiving reader turns the page into a tree (implied ends of paragraphs, list
 items and table cells; void tags; comments, scripts and styles skipped; unclosed
 elements end with their parent). Elements that are never part of an article go first:
-controls and hidden elements, navigation, headers and footers, asides, forms, scripts,
+controls (labels of a form too) and hidden elements, navigation, headers and footers, asides, forms, scripts,
 and elements whose role, or a whole name in whose class or id, names an advert, a notice,
 a menu, a sidebar or reader comments. A form or a named element stays, without its
 controls, where it holds most of the characters outside links, a ``main`` element, or an
@@ -20,7 +20,8 @@ tags LT, and the composite density
 e^0.1 at least). The node whose
 children's densities sum up highest among those at or above the threshold - the least
 density on the path from that node to the body - is the main content; inside an
-``article`` or ``main`` element, or around one that holds most of it, that element is.
+``article`` or ``main`` element, or around one that holds most of it, that element is; of
+articles side by side that hold half as much or more, all are.
 
 Null pages and pages without text give an empty text; tags without an end, stray ends
 and very long or deep pages are read to the end. Repeated rows give equal texts.
@@ -32,7 +33,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ from .common import table
 
 _PIECE = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
+    r"|<(?P<raw>script|style|template|textarea|title|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     r"(?:(?<=/>)|.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)", re.S | re.I)
@@ -55,7 +56,7 @@ BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre "
     "section summary table tbody td tfoot th thead tr ul".split())
 #: controls, never part of an article
-CONTROLS = frozenset("button select input label canvas audio video".split())
+CONTROLS = frozenset("button select input canvas audio video".split())
 #: parts of a page beside the article
 PLACES = frozenset("head nav header footer aside menu dialog".split())
 FORMS = frozenset("form fieldset".split())
@@ -133,6 +134,8 @@ class _Page:
         #: (node, text) in page order; a text of None is a block boundary
         self.texts: list[tuple[int, str | None]] = []
         open_ = [0]
+        #: depths at which each tag is open, so that no start or end looks through all open elements
+        self.depths: dict[str, list[int]] = {}
         at = 0
         for piece in _PIECE.finditer(source):
             if piece.start() > at:
@@ -151,9 +154,15 @@ class _Page:
             self.texts.append((open_[-1], source[at:]))
         self.out = self._outside()
 
+    def _innermost(self, tags: Iterable[str]) -> int:
+        """The depth of the innermost open element of ``tags``, 0 if none is open."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
     def _close(self, open_: list[int], depth: int) -> None:
         while len(open_) > depth:
-            if self.tag[open_.pop()] in BLOCKS:
+            tag = self.tag[open_.pop()]
+            self.depths[tag].pop()
+            if tag in BLOCKS:
                 self.texts.append((open_[-1], None))
 
     def _start(self, open_: list[int], tag: str, attrs: str) -> None:
@@ -164,14 +173,13 @@ class _Page:
             ends, scope = ends | {"p"}, scope | {"td", "th", "button", "object"}
         if tag == "body":
             ends = {"head"}
-        for depth in range(len(open_) - 1, 0, -1):
+        while (depth := self._innermost(ends)) > self._innermost(scope - ends):
             name = self.tag[open_[depth]]
             if name in scope:
                 break
-            if name in ends:
-                self._close(open_, depth)
-                if name == "p":
-                    break
+            self._close(open_, depth)
+            if name == "p":
+                break
         parent = open_[-1]
         node = len(self.tag)
         self.tag.append(tag)
@@ -182,13 +190,13 @@ class _Page:
         if tag == "br":
             self.texts.append((parent, " "))
         elif tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(open_))
             open_.append(node)
 
     def _end(self, open_: list[int], tag: str) -> None:
-        for depth in range(len(open_) - 1, 0, -1):
-            if self.tag[open_[depth]] == tag:
-                self._close(open_, depth)
-                return
+        depth = self._innermost((tag,))
+        if depth:
+            self._close(open_, depth)
 
     def _outside(self) -> list[bool]:
         """Which nodes are not looked at for the article."""
@@ -198,9 +206,12 @@ class _Page:
         kind = [PLAIN if named[k] and tag[k] in ("body", "html", *ARTICLES) else kind[k] for k in range(n)]
         if not any(kind):
             return [False] * n
-        link, gone, beside, read = ([False] * n for _ in range(4))
+        link, gone, beside, read, form = ([False] * n for _ in range(5))
         for k in range(1, n):
             up = parent[k]
+            form[k] = form[up] or kind[k] == FORM
+            if tag[k] == "label" and form[up]:
+                kind[k] = HIDDEN
             link[k] = link[up] or tag[k] == "a"
             gone[k] = gone[up] or kind[k] == HIDDEN
             beside[k] = beside[up] or kind[k] in (PLACE, READER)
@@ -285,12 +296,16 @@ class _Page:
         threshold = min(density[k] for k in path)
         best = max((k for k in inside if density[k] >= threshold), key=lambda k: (sums[k], -k))
         node = best
-        while node > 0:  # inside an article
+        while node > 0:  # inside an article, or one of several beside each other
             if self.tag[node] in ("article", "main"):
-                return node
+                alike = [k for k in inside if self.tag[k] == "article" and self.parent[k] == self.parent[node]
+                         and 2 * chars[k] >= chars[node]]
+                return self.parent[node] if self.tag[node] == "article" and len(alike) > 1 else node
             node = self.parent[node]
-        for k in inside:  # around an article that holds most of the text
-            if self.tag[k] in ("article", "main") and 2 * chars[k] >= chars[best]:
+        for k in inside:  # around an article that holds most of the text, and no other holds half as much
+            if (self.tag[k] in ("article", "main") and 2 * chars[k] >= chars[best]
+                    and not any(self.tag[j] == "article" and self.parent[j] == self.parent[k] and 2 * chars[j] >= chars[k]
+                                for j in inside if j != k)):
                 node = k
                 while node > 0 and node != best:
                     node = self.parent[node]
