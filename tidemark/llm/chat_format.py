@@ -50,8 +50,8 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def parse(rendered: str) -> list[tuple[str, str]] | None:
-    """(role, text) of every turn; None where the grammar does not fit."""
+def parse_front(rendered: str) -> tuple[list[tuple[str, str]], int]:
+    """(role, text) of the whole turns at the front, and where they end."""
     turns, at = [], 0
 
     def upto(close: str, start: int) -> tuple[str, int] | None:
@@ -68,17 +68,21 @@ def parse(rendered: str) -> list[tuple[str, str]] | None:
                 found = upto(CLOSE[role], at + len(opening))
                 break
         else:
-            if not rendered.startswith(OTHER, at):
-                return None
-            named = upto(OTHER_TEXT, at + len(OTHER))
+            named = upto(OTHER_TEXT, at + len(OTHER)) if rendered.startswith(OTHER, at) else None
             if named is None:
-                return None
+                break
             role, found = named[0], upto(OTHER_END, named[1])
         if found is None:
-            return None
+            break
         turns.append((role, found[0]))
         at = found[1]
-    return turns
+    return turns, at
+
+
+def parse(rendered: str) -> list[tuple[str, str]] | None:
+    """(role, text) of every turn; None where the grammar does not fit."""
+    turns, end = parse_front(rendered)
+    return turns if end == len(rendered) else None
 
 
 def render_turn(role: str, text: str) -> tuple[str, int, int]:
@@ -126,15 +130,43 @@ def format_chats(convs: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                             "rendered string, start long, text_start long, text_end long, loss boolean")
 
 
+class _Conversation:
+    """A conversation read back from its joined text, a piece at a time.
+
+    Turns are parsed off the front of what has come, wherever the pieces were cut; the loss
+    text is what the mask's positions say, read from the joined text alone.
+    """
+
+    def __init__(self):
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.chars = 0
+        self.open = ""  # what is not parsed yet
+
+    def add(self, rendered: str, begin: int, end: int, masked: bool) -> None:
+        at = self.chars
+        self.chars += len(rendered)
+        if masked:  # positions in the conversation; what lies outside this piece is not there to read
+            text = unescape(rendered[max(0, begin - at):max(0, end - at)])
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        self.open += rendered
+        found, done = parse_front(self.open)
+        for role, text in found:
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+        self.open = self.open[done:]
+
+    def row(self) -> tuple:
+        if self.open:
+            raise ValueError("a conversation that cannot be read back")
+        return self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key: object = _read
-    state: list = []
+    state = _Conversation()
     done: list[tuple] = []
 
-    def finish() -> None:
-        n, turns, loss, loss_chars, chars = state
-        done.append((key, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
-
     def flush(kind: pa.DataType) -> pa.RecordBatch:
         cols = zip(*done, strict=True)
         types = (kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
@@ -145,30 +177,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = None
     for batch in batches:
         kind = batch.schema.field(0).type
-        for conv, rendered in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for conv, *piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if conv != key:
                 if key is not _read:
-                    finish()
-                key, state = conv, [0, hashlib.sha256(), hashlib.sha256(), 0, 0]
-            for role, text in parse(rendered):
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                if role == "assistant":
-                    state[2].update(text.encode())
-                    state[3] += len(text)
-            state[4] += len(rendered)
+                    done.append((key, *state.row()))
+                key, state = conv, _Conversation()
+            state.add(*piece)
         if done:
             yield flush(kind)
             done.clear()
     if key is not _read:
-        finish()
+        done.append((key, *state.row()))
         yield flush(kind)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """What the grammar reads from the rendered turns, one row per conversation."""
+    """What the grammar and the loss mask read from the joined turns, one row per conversation."""
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.select("conv_id", "rendered").mapInArrow(
+    return formatted.select("conv_id", "rendered", "text_start", "text_end", "loss").mapInArrow(
         _read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long")
 
