@@ -6,11 +6,14 @@ DataFrame functions and Spark ML's FP-growth only.
   path; the longest fitting rule decides. The list is a parameter (at most
   ``MOST_LISTED`` rules), so it becomes one expression in the scan: no join, no shuffle.
 * URLs become sets of tokens (scheme, host labels, path words, query keys, fragment).
-  FP-growth mines the combinations that labelled URLs share; rules "tokens -> block"
-  with enough confidence and support are kept.
-* An inverted index holds every rule under its rarest token. URL tokens meet the index
-  in an equi-join, the rule's other tokens are then checked on the row. A URL without
-  a listed rule is blocked if an association rule fits, else allowed.
+  Tokens that the same labelled URLs hold are one class, as they lead to the same rules. A
+  class that passes the pruning alone is a rule, and no part of longer ones, which would
+  fit no further URL. FP-growth mines the combinations of the other classes; rules
+  "classes -> block" with enough confidence and support are kept. The verdicts are those of
+  all rules over single tokens, without the sets that only repeat each other.
+* An inverted index holds every rule under the tokens of its rarest class. URL tokens meet
+  the index in an equi-join, the rule's other classes are then checked on the row. A URL
+  without a listed rule is blocked if an association rule fits, else allowed.
 
 A URL that is null or has no ``://`` has empty host and path, fits no listed rule and
 has no tokens (allow). Label rows of unknown URLs and null labels are left out; with
@@ -32,8 +35,8 @@ LISTED = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "ww
 MOST_LISTED = 500
 #: pruning of mined rules: share of labelled URLs (and rows at least), confidence, lift
 SUPPORT, LEAST_ROWS, CONFIDENCE, LIFT = 0.002, 10, 0.7, 1.5
-#: rules up to this many (200 bytes each, about) are broadcast, beyond it they are shuffled
-BROADCAST_RULES = 20_000
+#: an index of up to this many tokens (20 bytes each, about) is broadcast, beyond it it is shuffled
+BROADCAST_TOKENS = 200_000
 _BLOCKED = "label=block"
 
 
@@ -82,27 +85,50 @@ def url_tokens(url: str) -> Column:
 
 def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
                lift: float = LIFT) -> DataFrame:
-    """Pruned rules (antecedent, confidence, key): from (tokens, label) rows, label 1 = block.
+    """Pruned rules (antecedent, confidence, keys): from (tokens, label) rows, label 1 = block.
 
-    ``key`` is the rarest token of the rule.
+    A rule's antecedent is a list of token classes, of which a URL needs one token each;
+    ``keys`` are the tokens of its rarest class.
     """
-    rows = labelled.where(F.col("label").isin(0, 1) & (F.size("tokens") > 0))
-    total = rows.count()
-    schema = "antecedent array<string>, confidence double, key string"
-    if not total:
-        return labelled.sparkSession.createDataFrame([], schema)
-    baskets = rows.select(F.concat("tokens", F.when(F.col("label") == 1, F.array(F.lit(_BLOCKED)))
-                                   .otherwise(F.array(F.lit("label=allow")))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST_ROWS / total)),
+    spark = labelled.sparkSession
+    rows = stored(spark, labelled.where(F.col("label").isin(0, 1) & (F.size("tokens") > 0))
+                  .select(F.monotonically_increasing_id().alias("row"), F.col("label").cast("int").alias("label"),
+                          F.array_distinct("tokens").alias("tokens")), "url-labelled")
+    total, blocked = rows.agg(F.count("*"), F.sum("label")).first()
+    schema = "antecedent array<array<string>>, confidence double, keys array<string>"
+    if not blocked:
+        return spark.createDataFrame([], schema)
+    least = max(support * total, LEAST_ROWS)
+    each = rows.select("row", "label", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), F.sum("label").alias("bad"),
+        F.struct(F.bit_xor(F.xxhash64("row")), F.bit_xor(F.xxhash64("row", F.lit(1)))).alias("held_by"))
+    classes = stored(spark, each.where((F.col("n") >= least) & (F.col("n") < total)).groupBy("held_by", "n", "bad")
+                     .agg(F.sort_array(F.collect_list("token")).alias("members"))
+                     .select(F.element_at("members", 1).alias("item"), "members", "n",
+                             (F.col("bad") / F.col("n")).alias("confidence")), "url-classes")
+    strong = (F.col("confidence") >= confidence) & (F.col("confidence") / (blocked / total) >= lift)
+    alone = classes.where(strong).select(F.array("members").alias("antecedent"), "confidence",
+                                         F.col("members").alias("keys"))
+    weak = classes.where(~strong).select("item", "members", "n")
+    # what passes alone says no more together with others; equal row sets count once
+    baskets = (rows.select("row", "label", F.explode("tokens").alias("item")).join(weak.select("item"), "item")
+               .groupBy("row", "label").agg(F.collect_list("item").alias("items"))
+               .select(F.concat("items", F.array(F.when(F.col("label") == 1, _BLOCKED).otherwise("label=allow")))
+                       .alias("items")))
+    filled = baskets.count()
+    if not filled:
+        return alone
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / filled),
                      minConfidence=confidence).fit(baskets)
-    rules = (model.associationRules.where((F.element_at("consequent", 1) == _BLOCKED) & (F.col("lift") >= lift)
-                                          & ~F.exists("antecedent", lambda t: t.startswith("label=")))
-             .select("antecedent", "confidence"))
-    single = (model.freqItemsets.where(F.size("items") == 1)
-              .select(F.element_at("items", 1).alias("token"), "freq"))
-    each = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
-    return (each.join(single, "token").groupBy("antecedent", "confidence")
-            .agg(F.min_by("token", F.struct("freq", "token")).alias("key")))
+    rules = model.associationRules.where((F.element_at("consequent", 1) == _BLOCKED)
+                                         & (F.col("confidence") / (blocked / total) >= lift)
+                                         & ~F.exists("antecedent", lambda t: t.startswith("label=")))
+    rules = rules.select(F.sort_array("antecedent").alias("items"), "confidence")
+    joint = (rules.select("items", "confidence", F.explode("items").alias("item")).join(weak, "item")
+             .groupBy("items", "confidence").agg(F.collect_list("members").alias("antecedent"),
+                                                 F.min_by("members", F.struct("n", "item")).alias("keys"))
+             .select("antecedent", "confidence", "keys"))
+    return alone.unionByName(joint)
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, mined: DataFrame, id_col: str = "page_id",
@@ -114,9 +140,12 @@ def judge_urls(spark: SparkSession, pages: DataFrame, mined: DataFrame, id_col:
         path.alias("path"), listed_rule(host, path, rules).alias("listed"),
         url_tokens(url_col).alias("tokens")), "url-tokens")
     mined = stored(spark, mined, "url-rules")
-    index = F.broadcast(mined) if mined.count() <= BROADCAST_RULES else mined
+    index = mined.select("antecedent", "confidence", F.explode("keys").alias("key"))
+    size = mined.agg(F.sum(F.size(F.flatten("antecedent")) * F.size("keys"))).first()[0] or 0
+    index = F.broadcast(index) if size <= BROADCAST_TOKENS else index
     open_ = rows.where("listed IS NULL").select("row", "tokens", F.explode("tokens").alias("key"))
-    hits = (open_.join(index, "key").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    hits = (open_.join(index, "key")
+            .where(F.forall("antecedent", lambda members: F.arrays_overlap(members, F.col("tokens"))))
             .groupBy("row").agg(F.max("confidence").alias("confidence")))
     return (rows.join(hits, "row", "left")
             .select(F.col("id").alias(id_col), "host", "path", F.col("listed.rule").alias("rule"),
