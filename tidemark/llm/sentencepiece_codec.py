@@ -3,7 +3,9 @@
 The pass walks over the normalised text and keeps, for each of the last boundaries a
 piece can still start at (a window of the longest piece), the path that ends there.
 Whenever all paths of the window share a boundary, the ids before it are committed and
-forgotten, so memory does not grow with the text.
+forgotten, so the pass needs the memory of the window, however long a word or (without
+word starts) a text is. A text's normalised form and its ids are held whole, one text at a
+time.
 
 What a path needs depends on the model:
 
@@ -42,6 +44,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: words and neighbouring pieces a worker remembers; longer words are not remembered
 WORDS, REMEMBER, LONGEST = 800_000, 300_000, 48
+#: lengths of a piece that are always tried
+TWO = (2,)
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -93,6 +97,7 @@ class Codec:
         self.bytes = {int(self.pieces[k][1:-1], 16): k for k in range(size) if self.model.is_byte(k)}
         self.values = {k: bytes([b]) for b, k in self.bytes.items()}
         self.shown = [p.replace(SPACE, " ") for p in self.pieces]
+        self.raw = [self.values.get(k) or p.encode() for k, p in enumerate(self.shown)]
 
     def _prepare(self, ids: dict[str, int], scores: dict[int, float], bpe: bool) -> None:
         self.ids, self.bpe = ids, bpe
@@ -100,15 +105,16 @@ class Codec:
         self.window = max(map(len, ids), default=1)
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in ids)
         self.floor = min(scores.values(), default=0.0) - 10
-        self.follows: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {"": b""}
         #: pieces that merging their own text gives back
-        self.whole = {p for p in ids if self.merged(p) == [p]} if bpe else set()
+        #: and for each, which pieces it may follow (as far as met)
+        self.whole: dict[str, dict[str, bool]] = {p: {} for p in ids if self.merged(p) == [p]} if bpe else {}
+        self.met = 0
         #: lengths of such pieces, longest first, by their last three characters
         lengths: dict[str, set[int]] = {}
         for piece in self.whole:
             if len(piece) > 2:
-                lengths.setdefault(piece[-3:], {2}).add(len(piece))
+                lengths.setdefault(piece[-3:], set(TWO)).add(len(piece))
         self.lengths = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in lengths.items()}
 
     def merged(self, text: str) -> list[str]:
@@ -128,9 +134,12 @@ class Codec:
 
     def _may_follow(self, left: str, right: str) -> bool:
         """Whether merging ``left + right`` gives just these two pieces."""
-        if len(self.follows) >= REMEMBER:
-            self.follows.clear()
-        found = self.follows[left, right] = self.merged(left + right) == [left, right]
+        self.met += 1
+        if self.met >= REMEMBER:
+            self.met = 0
+            for lefts in self.whole.values():
+                lefts.clear()
+        found = self.whole[right][left] = self.merged(left + right) == [left, right]
         return found
 
     def segments(self, text: str) -> Iterator[str]:
@@ -155,17 +164,18 @@ class Codec:
 
     def _merge_survivors(self, text: str, paths: dict, committed: int, first: int, last: int) -> None:
         """BPE: the piece that merging leaves in front of a boundary, if the text ended there."""
-        whole, follows, lengths = self.whole, self.follows, self.lengths
+        whole, lengths = self.whole, self.lengths
         for end in range(first, last + 1):
             near = end - committed
             survivor = text[end - 1]
-            for size in lengths.get(text[end - 3:end], (2,)) if near > 2 else (2,):
+            for size in lengths.get(text[end - 3:end], TWO) if near > 2 else TWO:
                 if size > near:
                     continue
                 piece = text[end - size:end]
-                if piece in whole:
+                lefts = whole.get(piece)
+                if lefts is not None:
                     left = paths[end - size]
-                    found = follows.get((left, piece)) if left else True
+                    found = lefts.get(left) if left else True
                     if found is None:
                         found = self._may_follow(left, piece)
                     if found:
@@ -203,16 +213,22 @@ class Codec:
         return out[::-1]
 
     def _word(self, word: str) -> bytes:
-        out = array("I")
-        for piece in self.segments(word):
-            known = self.ids.get(piece)
+        if self.bpe and len(word) <= 4 * self.window:  # one pass, nothing to commit before its end
+            paths: dict[int, str] | list[str] = [""] * (len(word) + 1)
+            self._merge_survivors(word, paths, 0, 1, len(word))
+            pieces = self._walk(paths, 0, len(word))
+        else:
+            pieces = self.segments(word)
+        get, out = self.ids.get, []
+        for piece in pieces:
+            known = get(piece)
             if known is not None:
                 out.append(known)
             elif self.bytes:
-                out.extend(self.bytes[b] for b in piece.encode())
+                out += [self.bytes[b] for b in piece.encode()]
             else:
                 out.append(self.unknown)
-        return out.tobytes()
+        return array("I", out).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian 32-bit numbers."""
@@ -240,8 +256,7 @@ class Codec:
         numbers = array("I", ids)
         shown = self.shown
         if not self.values.keys().isdisjoint(numbers):
-            text = b"".join(self.values[k] if k in self.values else shown[k].encode()
-                            for k in numbers).decode("utf-8", "replace")
+            text = b"".join(map(self.raw.__getitem__, numbers)).decode("utf-8", "replace")
         else:
             text = "".join(map(shown.__getitem__, numbers))
         return text[1:] if text.startswith(" ") else text
