@@ -13,6 +13,8 @@ PLANNED = {
     "stream_silver", "stream_user_metrics", "stream_order_metrics",
     # beyond the plan: the export sink over batches, a stream with restarts
     "export_versioned", "stream_multi_batch",
+    "stream_abandoned_carts", "stream_offsets", "user_metrics_rollup", "order_metrics_rollup", "stream_ingest_lag",
+    "stream_validated", "stream_reject_metrics", "stream_late_corrected", "stream_session_funnel",
 }
 
 

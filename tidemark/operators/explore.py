@@ -7,7 +7,7 @@ session, user, category or topic never has its raw rows gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_rate, seconds_between
@@ -72,7 +72,8 @@ def open_carts(events: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
     products; ``abandoned`` marks adds older than ``abandon_after`` at the
     as-of time (the maximum event_time, evaluated once as a scalar subquery).
     """
-    return open_of(cart_states(events), abandon_after)
+    states = cart_states(events)
+    return sized_carts(still_open(states), states.select(F.max("seen_at")).scalar(), abandon_after)
 
 
 def cart_states(events: DataFrame) -> DataFrame:
@@ -83,16 +84,19 @@ def cart_states(events: DataFrame) -> DataFrame:
         F.max("event_time").alias("seen_at"))
 
 
-def open_of(states: DataFrame, abandon_after: str = "1 hour") -> DataFrame:
-    """The open carts of ``cart_states``; the states are read three times."""
-    as_of = states.select(F.max("seen_at")).scalar()
-    still_open = states.where(F.col("added_at").isNotNull()
-                            & (F.col("bought_at").isNull() | (F.col("added_at") > F.col("bought_at"))))
+def still_open(states: DataFrame) -> DataFrame:
+    """The ``cart_states`` whose last add was not bought since."""
+    return states.where(F.col("added_at").isNotNull()
+                        & (F.col("bought_at").isNull() | (F.col("added_at") > F.col("bought_at"))))
+
+
+def sized_carts(carts: DataFrame, as_of: Column, abandon_after: str = "1 hour") -> DataFrame:
+    """Open carts with the size of their user's cart and whether they are abandoned at ``as_of``."""
     # cart size by a partial aggregate joined back on user_id (not a window):
     # a bot user with millions of open carts is counted map-side, and its rows
     # on the join's large side can be split by AQE's skew handling
-    sizes = still_open.groupBy("user_id").agg(F.count(F.lit(1)).alias("cart_size"))
-    return still_open.join(sizes, "user_id").select(
+    sizes = carts.groupBy("user_id").agg(F.count(F.lit(1)).alias("cart_size"))
+    return carts.join(sizes, "user_id").select(
         "user_id", "product_id", "added_at", "cart_size",
         (F.col("added_at") < as_of - F.expr(f"INTERVAL {abandon_after}")).alias("abandoned"))
 

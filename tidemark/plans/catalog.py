@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_text, to_ntz
 from ..operators.decode import decode
 from ..operators.encode import encode_and_route
-from ..operators.explore import cart_states, ingest_lag, open_of, session_funnel
+from ..operators.explore import cart_states, ingest_lag, session_funnel, sized_carts, still_open
 from ..operators.merge import conform, merge_upsert
 from ..operators.metrics import APPROX_RSD, order_metrics, user_metrics
 from ..operators.sketches import estimated, metric_partials, rolled_up, within_error
@@ -156,9 +156,12 @@ def _session_funnel(spark, sf):
 
 
 def _open_carts(spark, sf):
-    # the per-cart states are read three times (as-of time, sizes, carts): stored once
-    lay = Layers(spark, sf)
-    return open_of(lay.stored(cart_states(lay.silver()), "cart-states"), "1 hour")
+    # the open carts are read twice (sizes, carts) and stored once, the as-of time is
+    # observed while they are written
+    lay, newest = Layers(spark, sf), Observation()
+    states = cart_states(lay.silver()).observe(newest, F.max(F.unix_micros("seen_at")).alias("seen_at"))
+    carts = lay.stored(still_open(states).select("user_id", "product_id", "added_at"), "open-carts")
+    return sized_carts(carts, F.timestamp_micros(F.lit(newest.get["seen_at"]).cast("long")), "1 hour")
 
 
 def _ingest_lag(spark, sf):

@@ -20,7 +20,6 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,12 +42,10 @@ def _micros(spark: SparkSession, length: str) -> int:
 
 def _newest_before(spark: SparkSession, path: str, run: str, batch_id: int) -> int | None:
     """Newest event time (microseconds) of the run's earlier batches."""
-    try:
-        notes = spark.read.schema(NOTE).json(f"{path}/_notes")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    fs, folder = filesystem(spark, f"{path}/_notes")
+    if not fs.exists(folder):
         return None
+    notes = spark.read.schema(NOTE).json(f"{path}/_notes")
     return notes.where((F.col("run") == run) & (F.col("batch_id") < batch_id)).agg(F.max("newest")).first()[0]
 
 
