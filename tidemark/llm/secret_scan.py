@@ -17,11 +17,14 @@ Every candidate of every text gets
   a credential, and how often labelled findings after that word were secrets.
 
 The corpus counts (words, transitions) cover all texts. The forest is fitted on
-labelled findings, at most about ``FIT_FINDINGS`` of them; without findings of both
-labels the label rule alone decides. ``label_findings`` labels findings whose form
-leaves no doubt: a random value assigned to a credential name is a secret; digits
-only, addresses, host names and paths that are not assigned to one are not, nor are
-unquoted usual words. Other findings are left to the forest.
+labelled findings, at most about ``FIT_FINDINGS`` of them, and decides on every finding;
+only without findings of both labels the label rule does. ``label_findings`` labels
+findings whose form leaves no doubt, for the fit: a random value assigned to a credential
+name is a secret; digits only, addresses, host names and paths that are not assigned to one
+are not, nor are unquoted usual words.
+
+Values, and the text next to them, are encrypted in every table that is stored on the
+way, by a key that lives as long as the scan.
 
 Null and empty texts have no candidates. Repeated rows have the same findings each.
 Empty tables give no rows; other columns are left alone. Positions are code points
@@ -31,6 +34,7 @@ from 0.
 from __future__ import annotations
 
 import math
+import secrets
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -64,6 +68,8 @@ WORD_SEEN = 20
 FIT_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 6, 7
 MASK = "[REDACTED]"
+#: what identifies a finding: it and the text next to it
+VALUE = ("value", "before", "after")
 FEATURES = ["length", "digits", "capitals", "distinct", "hex", "transitions", "coverage", "path",
             "before_at", "assigned", "quoted", "credential", "before_rate"]
 
@@ -100,6 +106,13 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             .select("id", "row", "digest", "idx", "f.*"))
 
 
+def _sealed(spark: SparkSession, df: DataFrame, label: str, *hidden: str) -> DataFrame:
+    """``df`` stored with the ``hidden`` columns encrypted, and read back."""
+    key = F.unhex(F.lit(secrets.token_hex(16)))
+    kept = stored(spark, df.withColumns({c: F.aes_encrypt(F.col(c), key) for c in hidden}), label)
+    return kept.withColumns({c: F.aes_decrypt(F.col(c), key).cast("string") for c in hidden})
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n): lower-case letter runs of all texts."""
     words = docs.select(F.explode(F.split(F.lower(_text(text_col)), r"[^\p{L}]+")).alias("word"))
@@ -182,12 +195,12 @@ def judged(spark: SparkSession, found: DataFrame, counts: DataFrame,
     ``labelled``: findings as ``described`` gives them with a ``label``; by default
     those that ``label_findings`` can label.
     """
-    features = stored(spark, label_findings(described(found, counts)), "secret-features")
+    features = _sealed(spark, label_findings(described(found, counts)), "secret-features", *VALUE, "word_before")
     known = (features if labelled is None else labelled).where("label IS NOT NULL")
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = min(1.0, FIT_FINDINGS / max(sum(sizes.values()), 1))
-    picked = stored(spark, known.where(F.pmod(F.xxhash64("value", "before"), F.lit(1_000_000))
-                                       < int(share * 1_000_000)), "secret-fit")
+    picked = _sealed(spark, known.where(F.pmod(F.xxhash64("value", "before"), F.lit(1_000_000))
+                                        < int(share * 1_000_000)), "secret-fit", *VALUE, "word_before")
     if set(sizes) != {0.0, 1.0} or picked.select("label").distinct().count() < 2:
         return features.select("value", "before", "after", F.coalesce("label", F.lit(0.0)).alias("probability"))
     rates = F.broadcast(_rates(picked))  # at most as many rows as findings are picked
@@ -201,18 +214,16 @@ def judged(spark: SparkSession, found: DataFrame, counts: DataFrame,
                                     seed=SEED, probabilityCol="chance", rawPredictionCol="votes",
                                     predictionCol="vote", minInstancesPerNode=2)
     model = forest.fit(vectors(picked))
-    chance = vector_to_array("chance")[1]
-    if labelled is None:  # forms that leave no doubt are not left to the forest
-        chance = F.coalesce("label", chance)
-    return model.transform(vectors(features)).select("value", "before", "after", chance.alias("probability"))
+    return model.transform(vectors(features)).select("value", "before", "after",
+                                                     vector_to_array("chance")[1].alias("probability"))
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  labelled: DataFrame | None = None) -> DataFrame:
     """One row per candidate: id, row, idx, digest, start, length, value, probability, is_secret."""
-    found = stored(spark, candidates(docs, id_col, text_col), "secret-candidates")
+    found = _sealed(spark, candidates(docs, id_col, text_col), "secret-candidates", *VALUE)
     counts = stored(spark, word_counts(docs, text_col), "secret-words")
-    verdict = stored(spark, judged(spark, found, counts, labelled), "secret-verdicts")
+    verdict = _sealed(spark, judged(spark, found, counts, labelled), "secret-verdicts", *VALUE)
     earlier = Window.partitionBy("row").orderBy("idx")
     placed = found.select("*", (F.sum(F.col("gap") + F.length("value")).over(earlier)
                                 - F.length("value")).alias("start"))
@@ -228,9 +239,9 @@ def redact(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
     Findings depend on the text alone, so verdicts come back by the text's digest;
     only documents with candidates take part in that join.
     """
-    found = stored(spark, scan_secrets(spark, docs, id_col, text_col), "secret-findings")
-    bad = (found.where("is_secret").select("digest", "idx").distinct()
-           .groupBy("digest").agg(F.collect_list("idx").alias("bad")))
+    found = stored(spark, scan_secrets(spark, docs, id_col, text_col).where("is_secret")
+                   .select("digest", "idx").distinct(), "secret-findings")
+    bad = (found.groupBy("digest").agg(F.collect_list("idx").alias("bad")))
     values, digest, hits = fresh(docs, "values", "digest", "bad")
     marked = docs.withColumn(values, _matches(_text(text_col)))
     clean = marked.where(F.size(values) == 0).select(*docs.columns)
