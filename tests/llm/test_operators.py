@@ -178,7 +178,7 @@ def test_packing_is_whole_and_gapless(spark, docs):
         assert want <= {(r.piece, r.ids_crc32) for r in rows}
     counts = np.bincount(np.random.default_rng(0).integers(1, 2049, 5000), minlength=2049)
     used = np.zeros(2049, int)
-    for combination, times in packing.pack_histogram(counts, steps=20):
+    for combination, times in packing.pack_histogram(counts).plan:
         assert sum(k * a for k, a in combination.items()) <= 2048
         for k, a in combination.items():
             used[k] += a * times

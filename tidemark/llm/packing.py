@@ -7,10 +7,13 @@
 2. The length histogram (as many numbers as a sequence has tokens) goes to the driver.
    There the configuration linear program - how often to use each combination of
    lengths that fits a sequence, so that all lengths are covered - is solved by
-   multiplicative weights: lengths not covered yet weigh more, a knapsack dynamic
-   program prices the best combination, and a step of it is taken. The solution is
-   rounded down; what is left is packed best-fit, combination by combination, each as
-   often as the remaining lengths allow.
+   multiplicative weights over at most ``CLASSES`` runs of neighbouring lengths with like
+   numbers of tokens (few lengths are a class each): classes not covered yet weigh more, a
+   knapsack dynamic program prices the best combination, and a step of it is taken, until
+   every class is covered. The weights are dual prices and give a lower bound as well.
+   The solution is rounded down and its classes are filled with lengths of their own, the
+   last two so that they fill the sequence; what is left of a sequence, and the pieces left
+   over, are packed best-fit, each combination as often as the remaining lengths allow.
 3. A combination used m times owns the next m sequences. The pieces of each length are
    dealt to its places by rank: rank in the task plus the counts of earlier tasks.
 
@@ -24,10 +27,12 @@ often as they appear. Empty tables give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,35 +45,42 @@ from .common import stored, table
 
 SEQUENCE, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
-#: steps of the multiplicative-weights solver, its learning rate and step size
-STEPS, RATE, STEP = 400, 4.0, 0.5
+#: classes of lengths in the program; learning rate and step size of its solver
+CLASSES, RATE, STEP = 48, 6.0, 0.25
 #: words (and word parts) whose ids a task remembers, and the longest word it remembers
 REMEMBER, LONGEST = 400_000, 40
 
 
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
-    """Loaded once a worker; the words it has met are remembered for a task only."""
+    """The tokenizer, loaded once a worker, and whether its file has the steps that ``WordIds`` takes itself."""
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+    whole = Tokenizer.from_file(path)
+    steps = json.loads(whole.to_str())
+    return whole, steps["normalizer"] == _NORMALIZER and steps["pre_tokenizer"] == _SPLITTER
 
 
 class WordIds(dict):
     """White-space separated word -> its ids as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and never joins ids across it, so the ids of a
-    text are those of its words in order. Parts of Latin words (letter runs and so on) are
-    remembered as well, since words differ mostly in punctuation; merging a part alone costs
-    a fraction of a call to the whole tokenizer. Words of other scripts go to that.
+    The given tokenizer drops white space and never joins ids across it, so the ids of a
+    text are those of its words in order; files of other kinds get whole texts. Parts of
+    Latin words (letter runs and so on) are remembered as well, since words differ mostly in
+    punctuation; merging a part alone costs a fraction of a call to the whole tokenizer.
+    Words of other scripts go to that.
     """
 
     def __init__(self, path: str):
         super().__init__()
-        self.whole = _tokenizer(path)
+        self.whole, self.by_word = _tokenizer(path)
         # the tokenizer's own steps for Latin words: lower case, split into parts, merge a part
         self.merge = self.whole.model.tokenize
         self.parts: dict[str, bytes] = {"": b""}
 
+    def text(self, text: str) -> bytes:
+        """The ids of a text; a file with other steps gets it whole."""
+        return b"".join(map(self.__getitem__, _words(text))) if self.by_word else self._encode(text)
+
     def __missing__(self, word: str) -> bytes:
         ids = self._ids(word) if word else b""
         if len(word) <= LONGEST:
@@ -101,8 +113,13 @@ class WordIds(dict):
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-#: fixed values: the splitting pattern of the tokenizer file, on normalised text
+#: fixed values: the splitting pattern of the tokenizer file, on normalised text, and its steps
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": _PARTS.pattern}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: marks that often end a word; they make one part of their own
 _MARKS = ".,;:!?"
 #: words of characters before this one are composed already: lower-casing is all that the
@@ -132,7 +149,7 @@ def _pieces(path: str, sequence: int, end_id: int, keep_ids: bool):
         for batch in batches:
             rows: list[tuple] = []
             for at, text in enumerate(batch.column(1).to_pylist()):
-                ids = b"".join([*map(words.__getitem__, _words(text or "")), end])
+                ids = words.text(text or "") + end
                 for piece, start in enumerate(range(0, len(ids), 4 * sequence)):
                     part = ids[start:start + 4 * sequence]
                     length = len(part) // 4
@@ -168,96 +185,174 @@ def tokenized_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return picked.mapInArrow(_pieces(path, sequence, end_id, keep_ids), schema)
 
 
-def price(values: np.ndarray, counts: np.ndarray, sequence: int) -> dict[int, int]:
-    """The most valuable combination of lengths that fits: bounded knapsack by dynamic programming.
+class Program(NamedTuple):
+    """A covering of the classes: each combination (class, copies) and how often, and a dual bound."""
+
+    amounts: dict[tuple[tuple[int, int], ...], float]
+    covered: np.ndarray
+    bound: float
+
+
+def length_classes(counts: np.ndarray, most: int = CLASSES) -> list[tuple[int, int]]:
+    """Runs of lengths [low, high) with like numbers of tokens, ``most`` of them at most."""
+    lengths = np.flatnonzero(counts)
+    if len(lengths) <= most:
+        return [(int(k), int(k) + 1) for k in lengths]
+    tokens = np.cumsum(counts[lengths] * lengths)
+    cuts = np.searchsorted(tokens, np.arange(1, most) * (tokens[-1] / most)) + 1
+    edges = sorted({0, *cuts.tolist(), len(lengths)})
+    return [(int(lengths[a]), int(lengths[b - 1]) + 1) for a, b in zip(edges, edges[1:])]
+
 
-    ``values[l]`` is what a piece of length l is worth, ``counts[l]`` how many there are.
+def price(values: np.ndarray, sizes: np.ndarray, most: np.ndarray, room: int) -> tuple[dict[int, int], float]:
+    """The most valuable combination that fits, and its value: bounded knapsack by dynamic programming.
+
+    A piece of class k has size ``sizes[k]``, is worth ``values[k]``, and there are ``most[k]``.
     """
-    best = np.zeros(sequence + 1)
-    took: list[tuple[int, int, np.ndarray]] = []
-    for length in np.nonzero((values > 0) & (counts > 0))[0].tolist():
-        left = min(int(counts[length]), sequence // length)
-        copies = 1
+    best = np.zeros(room + 1)
+    took: list[tuple[int, int, int, np.ndarray]] = []
+    for k in np.flatnonzero((values > 0) & (most > 0) & (sizes <= room)).tolist():
+        left, copies = int(min(most[k], room // sizes[k])), 1
         while left:
             copies = min(copies, left)
             left -= copies
-            size = copies * length
-            with_it = best[:-size] + copies * values[length]
+            size = copies * int(sizes[k])
+            with_it = best[:-size] + copies * values[k]
             better = with_it > best[size:]
             np.copyto(best[size:], with_it, where=better)
-            took.append((length, copies, better))
+            took.append((k, copies, size, better))
             copies *= 2
-    room, chosen = sequence, {}
-    for length, copies, better in reversed(took):
-        size = copies * length
+    worth, chosen = float(best[room]), {}
+    for k, copies, size, better in reversed(took):
         if size <= room and better[room - size]:
-            chosen[length] = chosen.get(length, 0) + copies
+            chosen[k] = chosen.get(k, 0) + copies
             room -= size
-    return chosen
+    return chosen, worth
 
 
-def solve_configurations(counts: np.ndarray, steps: int = STEPS) -> list[tuple[dict[int, int], float]]:
-    """A fractional solution of the covering program: (combination, how often).
+def solve_configurations(n: np.ndarray, sizes: np.ndarray, room: int, rate: float = RATE, step: float = STEP) -> Program:
+    """A fractional solution of the covering program for ``n[k]`` pieces of size ``sizes[k]``.
 
-    Coverage z of a length starts at 0; its weight is exp(-RATE * z) until it is
-    covered. Every step adds the best-priced combination, as often as the scarcest of
-    its lengths allows, times ``STEP``.
+    Coverage z of a class starts at 0; its weight is exp(-rate * z) until it is covered. Every
+    step adds the best-priced combination: ``step`` times as often as the scarcest of its
+    classes allows, or as it takes to cover one of them. Weights over the best price are
+    feasible dual prices, so their sum bounds the number of sequences from below.
     """
-    covered = np.zeros(len(counts))
-    amount: dict[tuple, float] = {}
-    n = np.maximum(counts, 1)
-    for _ in range(steps):
-        open_ = (counts > 0) & (covered < 1)
-        if not open_.any():
-            break
-        density = np.where(open_, np.exp(-RATE * covered), 0) * np.arange(len(counts))
-        combination = price(density, np.where(open_, counts, 0), len(counts) - 1)
-        times = STEP * min(n[k] / a for k, a in combination.items())
-        for k, a in combination.items():
-            covered[k] += times * a / n[k]
+    covered, bound = np.zeros(len(n)), float(n @ sizes) / room  # sizes by themselves are feasible prices
+    amounts: dict[tuple, float] = {}
+    while (covered < 1).any():
+        weight = np.where(covered < 1, np.exp(-rate * covered), 0)
+        combination, worth = price(weight / n, sizes, n, room)
+        bound = max(bound, weight.sum() / worth)
+        uses = np.array(list(combination.items()))
+        share = uses[:, 1] / n[uses[:, 0]]  # of a class, per use
+        lack = 1 - covered[uses[:, 0]]
+        times = min(step / share.max(), (lack / share).min())
+        covered[uses[:, 0]] += times * share
+        covered[uses[:, 0][lack - times * share < 1e-9]] = 1
         key = tuple(sorted(combination.items(), reverse=True))
-        amount[key] = amount.get(key, 0.0) + times
-    return [(dict(k), x) for k, x in amount.items()]
+        amounts[key] = amounts.get(key, 0.0) + times
+    return Program(amounts, covered, bound)
 
 
-def _best_fit(left: np.ndarray, sequence: int) -> dict[int, int]:
-    """The longest piece left, then always the longest that still fits."""
-    left, room, chosen = left.copy(), sequence, {}
+def _best_fit(left: np.ndarray, room: int, chosen: dict[int, int]) -> None:
+    """Fill ``room`` with the longest piece left that fits, and so on; ``chosen`` has some already."""
+    free = left[:room + 1].copy()
+    for length, copies in chosen.items():
+        if length <= room:
+            free[length] -= copies
     while room:
-        fits = np.nonzero(left[:room + 1])[0]
+        fits = np.flatnonzero(free[:room + 1] > 0)
         if not len(fits):
             break
         length = int(fits[-1])
-        copies = min(int(left[length]), room // length)
-        chosen[length] = copies
-        left[length] -= copies
+        copies = min(int(free[length]), room // length)
+        chosen[length] = chosen.get(length, 0) + copies
+        free[length] -= copies
         room -= copies * length
+
+
+def _filled(combination: tuple[tuple[int, int], ...], spans: list[tuple[int, int]], left: np.ndarray,
+            room: int) -> dict[int, int]:
+    """Lengths for the classes of a combination, the last two chosen to fill the sequence."""
+    free, chosen = left.copy(), {}
+    slots = [spans[k] for k, copies in combination for _ in range(copies)]  # longest first
+
+    def take(length: int) -> None:
+        nonlocal room
+        chosen[length] = chosen.get(length, 0) + 1
+        free[length] -= 1
+        room -= length
+
+    while len(slots) > 2:
+        low, high = slots.pop(0)
+        found = np.flatnonzero(free[low:min(high, room + 1)])
+        if len(found):
+            take(low + int(found[-1]))
+    longest = np.maximum.accumulate(np.where(free[:room + 1] > 0, np.arange(room + 1), 0))
+    if len(slots) == 2:
+        low, high = slots.pop(0)
+        first = low + np.flatnonzero(free[low:min(high, room + 1)])
+        if len(first):
+            mate = longest[room - first]
+            mate[(mate < slots[0][0]) | (mate == first) & (free[first] < 2)] = 0
+            at = int(np.argmax(first + mate))
+            take(int(first[at]))
+            if mate[at]:
+                take(int(mate[at]))
+            slots.pop()
+    if slots and longest[room] >= slots[0][0]:
+        take(int(longest[room]))
     return chosen
 
 
-def pack_histogram(counts: np.ndarray, steps: int = STEPS) -> list[tuple[dict[int, int], int]]:
-    """Whole combinations that use every piece exactly once: (combination, how often).
+class Packing(NamedTuple):
+    """Whole combinations (lengths and copies, how often), and how they came about."""
+
+    plan: list[tuple[dict[int, int], int]]
+    program: Program | None
+    #: share of the tokens of uncut sequences that the program's combinations place
+    share: float
+
+
+def pack_histogram(counts: np.ndarray, classes: int = CLASSES) -> Packing:
+    """Combinations that use every piece exactly once.
 
     ``counts[l]`` pieces have length l; the last index is the length of a sequence.
     """
     counts = counts.astype(np.int64)
-    sequence, left, plan = len(counts) - 1, counts.copy(), []
+    sequence, left = len(counts) - 1, counts.copy()
+    plan: list[tuple[dict[int, int], int]] = []
     if left[sequence]:
         plan.append(({sequence: 1}, int(left[sequence])))
         left[sequence] = 0
-    for combination, amount in solve_configurations(left, steps):
-        times = min(int(amount + 1e-9), *(int(left[k]) // a for k, a in combination.items()))
-        if times:
-            plan.append((combination, times))
-            for k, a in combination.items():
-                left[k] -= times * a
-    while left.any():
-        combination = _best_fit(left, sequence)
-        times = min(int(left[k]) // a for k, a in combination.items())
+    if not left.any():
+        return Packing(plan, None, 0.0)
+    tokens = int((left * np.arange(sequence + 1)).sum())
+
+    def use(combination: dict[int, int], most: int) -> int:
+        times = min(most, *(int(left[k]) // a for k, a in combination.items()))
         plan.append((combination, times))
         for k, a in combination.items():
             left[k] -= times * a
-    return plan
+        return times
+
+    spans = length_classes(left, classes)
+    n = np.array([left[a:b].sum() for a, b in spans], float)
+    sizes = np.array([int((left[a:b] * np.arange(a, b)).sum() // left[a:b].sum()) for a, b in spans])
+    program, placed = solve_configurations(n, sizes, sequence), 0
+    for combination, amount in sorted(program.amounts.items(), key=lambda x: (-x[1], x[0])):
+        todo = int(amount + 1e-9)
+        while todo and (own := _filled(combination, spans, left, sequence)):
+            size = sum(k * a for k, a in own.items())
+            _best_fit(left, sequence - size, own)
+            times = use(own, todo)
+            todo, placed = todo - times, placed + times * size
+    while left.any():
+        rest: dict[int, int] = {}
+        _best_fit(left, sequence, rest)
+        use(rest, int(left.max()))
+    return Packing(plan, program, placed / tokens)
 
 
 def _places(plan: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndarray, ...]]:
@@ -305,7 +400,7 @@ def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     counts = np.zeros(sequence + 1, np.int64)
     for row in by_task.groupBy("length").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counts[row["length"]] = row["n"]
-    places = _places(pack_histogram(counts))
+    places = _places(pack_histogram(counts).plan)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     ranked = (pieces.join(before, ["task", "length"])
