@@ -62,8 +62,8 @@ def components(spark: SparkSession, edges: DataFrame, label: str) -> DataFrame:
     Alternating large-star and small-star rounds: every node hands its larger
     neighbours to the smallest label it knows, until each node hangs on the
     smallest node of its component. A round is a few partial aggregations and
-    equi-joins over the remaining edges, written to the shared folder; nothing but
-    a row count and a checksum comes to the driver.
+    equi-joins over the remaining edges, written to the shared folder in place of the
+    round before; nothing but a row count and a checksum comes to the driver.
 
     Returns (node, root) for each node on an edge; ``root`` is the smallest node
     of the component. No edges give no rows; self-loops and repeats are ignored.
@@ -78,11 +78,13 @@ def components(spark: SparkSession, edges: DataFrame, label: str) -> DataFrame:
         large = (both.join(low, "u").where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = stored(spark, large, label)
+        forget(spark, now)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = stored(spark, small, label)
+        forget(spark, large)
         after = _fingerprint(now)
         if after == seen:
             break
