@@ -120,3 +120,22 @@ def test_stream_equals_open_carts(spark, workdir):
     moved_on = {k for k, t in last.items() if any(m > t or (b and m == t) for m, b in pair[k])}
     assert batch == {k: t for k, t in last.items() if k not in moved_on}
     assert len(batch) > 5 and moved_on
+
+
+def test_pairs_share_buckets_of_state(spark, workdir):
+    """A bucket costs the state calls of one key, however many pairs it holds."""
+    from tidemark.streaming.carts import BUCKETS
+    add, buy = "add_to_cart", PURCHASE
+    users = [f"u{k}" for k in range(3 * BUCKETS)]
+    shop = Shop(spark, workdir)
+    # an add, closed for every third user by a purchase, for another third by a further add
+    shop.run([(u, "p", add, 0) for u in users] + [(None, "p", add, 1), ("u0", None, add, 1)]
+             + [(u, "p", buy, 20) for u in users[::3]] + [(u, "p", add, 25) for u in users[1::3]])
+    keys = spark.read.format("statestore").option("stateVarName", "times").load(f"{workdir}/carts/_checkpoint")
+    assert 1 < keys.select("key").distinct().count() <= BUCKETS < len(users)
+    shop.run([("z", "z", buy, 500), ("y", "y", add, 500)])
+    by_key = lambda r: tuple(str(c) for c in r)
+    got = sorted([(r.user_id, r.product_id, (r.added_at - T0).seconds // 60)
+                  for r in spark.read.parquet(f"{workdir}/carts").collect()], key=by_key)
+    assert got == sorted([(u, "p", 25) for u in users[1::3]] + [(u, "p", 0) for u in users[2::3]]
+                         + [(None, "p", 1), ("u0", None, 1)], key=by_key)

@@ -4,14 +4,18 @@ A cart entry, i.e. an add of a product by a user, is abandoned when the pair sho
 purchase from the add on and no further add after it within ``abandon_after``. The
 stream says so once, as soon as its watermark passes that time.
 
-State per (user, product) is the list of the pair's event times that can still matter:
-adds not yet decided, and the times that close an earlier or a late add. A time between
-two others that are at most ``abandon_after`` apart closes nothing that the later of the
-two does not close as well, so it is dropped: the list holds at most two times per
-``abandon_after`` of watermark delay, whatever a bot sends. The same rule thins each task's
-rows before the shuffle, so a hot pair sends a few rows a task. A timer at the
-earliest time to be decided wakes the pair when no event comes; with the last time the
-state of the pair is gone.
+Per (user, product) the event times that can still matter are kept: adds not yet decided,
+and the times that close an earlier or a late add. A time between two others that are at
+most ``abandon_after`` apart closes nothing that the later of the two does not close as
+well, so it is dropped: a pair holds at most two times per ``abandon_after`` of watermark
+delay, whatever a bot sends. The same rule thins each task's rows before the shuffle, so a
+hot pair sends a few rows a task.
+
+The pairs are dealt to ``BUCKETS`` by hash, and a bucket is the key of the state: one list
+with the times of its pairs, and one timer at the earliest time to be decided, which wakes
+the bucket when no event comes. So a batch costs some state calls a bucket, not a pair;
+with the last time the state of the bucket is gone. The number of buckets is part of a
+checkpoint.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ SCHEMA = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("
                        T.StructField("abandoned_at", T.TimestampType())])
 #: pairs a task remembers while it thins its rows
 REMEMBERED = 100_000
+#: keys of the state that the pairs are dealt to
+BUCKETS = 512
 
 
 def thinned(times: Iterable[tuple[int, bool]], after: int) -> list[tuple[int, bool]]:
@@ -71,31 +77,43 @@ class _Carts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.times = handle.getListState("times", "at long, bought boolean")
+        self.times = handle.getListState("times", "user_id string, product_id string, at long, bought boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(at), bool(bought)) for part in rows for at, bought in zip(part["at"], part["bought"], strict=True)]
-        yield from self._step(key, new, timerValues)
+        new = [(u, p, int(at), bool(bought)) for part in rows
+               for u, p, at, bought in zip(part["user_id"], part["product_id"], part["at"], part["bought"], strict=True)]
+        yield from self._step(new, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._step(key, [], timerValues)
+        yield from self._step([], timerValues)
 
-    def _step(self, key, new, timerValues) -> Iterator[pd.DataFrame]:
+    def _step(self, new, timerValues) -> Iterator[pd.DataFrame]:
         now = max(0, timerValues.getCurrentWatermarkInMs()) * 1000
-        old = [(at, bought) for at, bought in self.times.get()] if self.times.exists() else []
-        gone, left = decided(thinned(old + new, self.after), self.after, now)
+        old = list(self.times.get()) if self.times.exists() else []
+        pairs: dict[tuple, list] = {}
+        for u, p, at, bought in (*old, *new):
+            pairs.setdefault((u, p), []).append((at, bought))
+        out, kept, first = [], [], None
+        for (u, p), times in pairs.items():
+            gone, left = decided(thinned(times, self.after), self.after, now)
+            out += [(u, p, at) for at in gone]
+            kept += [(u, p, at, bought) for at, bought in left]
+            for k, (at, _) in enumerate(left):
+                # the next time that is decided, or can no longer close a late add
+                due = at + self.after if _alone(left, k, self.after) else at
+                first = due if first is None else min(first, due)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if left:
-            self.times.put(left)
-            # the next time that is decided, or can no longer close a late add
-            first = min(at + self.after if _alone(left, k, self.after) else at for k, (at, _) in enumerate(left))
+        if kept:
+            self.times.put(kept)
             self.handle.registerTimer(-(-first // 1000))
         elif old:
             self.times.clear()
-        if gone:
-            yield pd.DataFrame({"user_id": key[0], "product_id": key[1], "added_at": pd.to_datetime(gone, unit="us", utc=True),
-                                "abandoned_at": pd.to_datetime([g + self.after for g in gone], unit="us", utc=True)})
+        if out:
+            users, products, added = zip(*out, strict=True)
+            yield pd.DataFrame({"user_id": users, "product_id": products,
+                                "added_at": pd.to_datetime(added, unit="us", utc=True),
+                                "abandoned_at": pd.to_datetime([at + self.after for at in added], unit="us", utc=True)})
 
     def close(self) -> None:
         pass
@@ -142,5 +160,6 @@ def abandoned_carts(events: Sequence[DataFrame], delay: str, abandon_after: str
     joined = moves[0]
     for more in moves[1:]:
         joined = joined.unionByName(more)
-    return joined.groupBy(*PAIR).transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64(*PAIR), F.lit(BUCKETS)).alias("bucket")
+    return joined.select("*", bucket).groupBy("bucket").transformWithStateInPandas(
         _Carts(after), outputStructType=SCHEMA, outputMode="Append", timeMode="EventTime")
