@@ -162,3 +162,18 @@ def test_every_layer_of_a_sliced_run_works_in_bounded_batches(spark, workdir):
                 for line in open(f"{log}/{name}").read().splitlines()[1:]:
                     files.setdefault(json.loads(line)["batchId"], []).append(line)
         assert len(files) >= SLICES and all(len(f) == 1 for f in files.values()), layer
+
+
+def test_session_state_is_compacted_and_the_conf_comes_back(spark, workdir, monkeypatch):
+    """Sessions are looked up by key prefix: what the watermark removed must not be passed over again."""
+    from tidemark.streaming import jobs
+    seen, sink = [], jobs._sink
+
+    def started(*args, **kw):
+        seen.append(spark.conf.get(jobs.COMPACT, None))
+        return sink(*args, **kw)
+    monkeypatch.setattr(jobs, "_sink", started)
+    add(spark, f"{workdir}/in", GROWTH[0], 0)
+    done(jobs.start_sessions(spark, [f"{workdir}/in"], f"{workdir}/sessions", None, ONCE, state_partitions=2))
+    assert seen == ["true"]
+    assert spark.conf.get(jobs.COMPACT, None) is None

@@ -48,6 +48,7 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set(key, SESSION_CONF[key])
 
 
+COMPACT = "spark.sql.streaming.stateStore.rocksdb.compactOnCommit"
 DATE_COL = {"event_time": "event_date", "window_start": "window_date"}
 
 
@@ -57,26 +58,31 @@ def with_date(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def _start_conf(spark: SparkSession, partitions: int | None = None, empty_batches: bool | None = None):
+def _start_conf(spark: SparkSession, partitions: int | None = None, empty_batches: bool | None = None,
+                compacted: bool = False):
     """Settings of the one query started inside; the session's own come back afterwards.
 
     A query copies the session conf when it starts. ``partitions``: shuffle width, pinned
     by the checkpoint of a stateful query. ``empty_batches`` (K4): without them there are
-    fewer empty files, but closable windows wait for the next input.
+    fewer empty files, but closable windows wait for the next input. ``compacted``: the state
+    is compacted with each commit, for queries that scan it by key prefix: a scan otherwise
+    passes over every key removed since, to the next one that is left.
     """
     wanted = {}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
     if empty_batches is not None:
         wanted["spark.sql.streaming.noDataMicroBatches.enabled"] = str(empty_batches).lower()
-    old = {key: spark.conf.get(key) for key in wanted}
+    if compacted:
+        wanted[COMPACT] = "true"
+    old = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in old.items():
-            spark.conf.set(key, value)
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _sink(df: DataFrame, path: str, name: str | None, trigger: dict, fmt: str,
@@ -229,7 +235,7 @@ def start_sessions(spark: SparkSession, in_paths: Sequence[str], out_path: str,
     joined = events[0]
     for more in events[1:]:
         joined = joined.unionByName(more)
-    with _start_conf(spark, state_partitions):
+    with _start_conf(spark, state_partitions, compacted=True):
         return _sink(session_units(joined, by, gap), out_path, name, trigger, fmt)
 
 
