@@ -164,6 +164,32 @@ def test_every_layer_of_a_sliced_run_works_in_bounded_batches(spark, workdir):
         assert len(files) >= SLICES and all(len(f) == 1 for f in files.values()), layer
 
 
+def test_files_of_a_sliced_run_grow_in_number_not_in_size(spark, workdir, monkeypatch):
+    """More messages than a file holds: every layer's slice is several files and still one micro-batch."""
+    import json
+    import os
+
+    from conftest import SF_SMALL
+    from tidemark.plans.batch import Layers
+    from tidemark.streaming import jobs
+    monkeypatch.setattr(jobs, "FILE_ROWS", 100)
+    # read back by several tasks, as larger tables are
+    monkeypatch.setattr(jobs, "stored", lambda session, df, label: df.repartition(8))
+    paths = jobs.run_chain(spark, SF_SMALL, workdir, topics=[USER_TOPIC], slices=jobs.SLICES, distinct="exact")
+    for layer in ("bronze", "silver", "gold"):
+        log = f"{paths[f'{layer}_user']}/_checkpoint/sources/0"
+        files = {}
+        for name in os.listdir(log):
+            if not name.startswith("."):
+                for line in open(f"{log}/{name}").read().splitlines()[1:]:
+                    files.setdefault(json.loads(line)["batchId"], []).append(line)
+        # the empty file of a batch that only moves the state on comes after, alone
+        assert sum(len(f) > 1 for f in files.values()) == jobs.SLICES, layer
+    silver = spark.read.parquet(paths["silver_user"])
+    expected = Layers(spark, SF_SMALL).silver_user()
+    assert sorted(r.event_id for r in silver.collect()) == sorted(r.event_id for r in expected.collect())
+
+
 def test_session_state_is_compacted_and_the_conf_comes_back(spark, workdir, monkeypatch):
     """Sessions are looked up by key prefix: what the watermark removed must not be passed over again."""
     from tidemark.streaming import jobs

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -269,23 +269,31 @@ def start_many(starters: Sequence) -> list[StreamingQuery]:
 # ---------------------------------------------------------------------------
 
 
-def stage_messages(spark: SparkSession, sf_dir: str, path: str, slices: int | None = None) -> None:
-    """Write the adapter's messages as one folder per topic (topic=<name>).
+#: messages a file of a slice holds, about
+FILE_ROWS = 250_000
 
-    ``slices``: as that many files a topic, one after the other, each with the messages of a
-    stretch of broker time.
+
+def stage_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the adapter's messages as one folder per topic (topic=<name>)."""
+    raw_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
+
+
+def stage_slices(spark: SparkSession, sf_dir: str, path: str, slices: int) -> Iterator[int]:
+    """Add the messages of one stretch of broker time after the other to the folders of their topics.
+
+    Yields after each slice, with the number of files that a topic gained at most: they
+    grow in number with the messages, not in size, so that tasks read and write alike.
     """
-    messages = raw_messages(spark, sf_dir)
-    if not slices:
-        messages.write.mode("overwrite").partitionBy("topic").parquet(path)
-        return
-    messages = stored(spark, messages, "sliced-messages")
-    low, high = messages.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    messages = stored(spark, raw_messages(spark, sf_dir), "sliced-messages")
+    at = F.unix_micros("timestamp")
+    low, high, rows = messages.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
     width = 0 if low is None else (high - low) // slices + 1
+    files = 1 + rows // (slices * FILE_ROWS)
+    since = at - F.lit(low or 0)
     for k in range(slices):
-        at = F.unix_micros("timestamp") - F.lit(low or 0)
-        (messages.where((at >= k * width) & (at < (k + 1) * width)).coalesce(1)
+        (messages.where((since >= k * width) & (since < (k + 1) * width)).coalesce(files)
          .write.mode("append").partitionBy("topic").parquet(path))
+        yield files
 
 
 #: micro-batches of each layer in the registered runs
@@ -299,38 +307,47 @@ def run_chain(spark: SparkSession, sf_dir: str, base: str,
               metrics: MetricsTable | None = None, slices: int | None = None) -> dict[str, str]:
     """Stage the messages, then run bronze, silver and (unless ``gold`` is off) gold of ``topics``.
 
-    ``metrics`` gets what the silver jobs did. ``slices``: every layer works through that many
-    micro-batches, a file each; without, the backlog is one."""
+    ``metrics`` gets what the silver jobs did. ``slices``: the messages arrive in that many
+    stretches of broker time, and every layer is started for each and works through it in a
+    micro-batch; without, the backlog is one."""
     trigger = trigger or {"availableNow": True}
     dated = partition_by_date
     # state width for these new checkpoints: one partition per core
     width = spark.sparkContext.defaultParallelism
     paths = {"raw": f"{base}/raw"}
-    stage_messages(spark, sf_dir, paths["raw"], slices)
-    files = 1 if slices else None
     for s in SHORT.values():
         paths |= {f"{layer}_{s}": f"{base}/{layer}/{s}" for layer in ("bronze", "silver", "gold")}
-    supervise(start_many([
-        (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t, files),
-                                  paths[f"bronze_{SHORT[t]}"], f"bronze_{SHORT[t]}", trigger,
-                                  partition_by_date=dated))
-        for t in topics]), poll_seconds=1.0)
-    if metrics:
-        metrics.attach()
-    silver = start_many([
-        (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
-                                  trigger, partition_by_date=dated, state_partitions=width,
-                                  max_files_per_trigger=files, output_partitions=files))
-        for s in map(SHORT.get, topics)])
-    supervise(silver, poll_seconds=1.0)
-    if metrics:
-        metrics.detach(silver)
-    if gold:
+
+    def start(files: int | None) -> None:
         supervise(start_many([
-            (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
-                                    trigger, partition_by_date=dated, state_partitions=width,
-                                    max_files_per_trigger=files, distinct=distinct))
-            for s in map(SHORT.get, topics)]), poll_seconds=1.0)
+            (lambda t=t: start_bronze(spark, message_file_stream(spark, f"{paths['raw']}/topic={t}", t, files),
+                                      paths[f"bronze_{SHORT[t]}"], f"bronze_{SHORT[t]}", trigger,
+                                      partition_by_date=dated))
+            for t in topics]), poll_seconds=1.0)
+        if metrics:
+            metrics.attach()
+        # no bound on the files of bronze: its tasks may have split those of the slice
+        silver = start_many([
+            (lambda s=s: start_silver(spark, paths[f"bronze_{s}"], paths[f"silver_{s}"], f"silver_{s}",
+                                      trigger, partition_by_date=dated, state_partitions=width,
+                                      output_partitions=files))
+            for s in map(SHORT.get, topics)])
+        supervise(silver, poll_seconds=1.0)
+        if metrics:
+            metrics.detach(silver)
+        if gold:
+            supervise(start_many([
+                (lambda s=s: start_gold(spark, paths[f"silver_{s}"], paths[f"gold_{s}"], f"gold_{s}", s,
+                                        trigger, partition_by_date=dated, state_partitions=width,
+                                        max_files_per_trigger=files, distinct=distinct))
+                for s in map(SHORT.get, topics)]), poll_seconds=1.0)
+
+    if slices:
+        for files in stage_slices(spark, sf_dir, paths["raw"], slices):
+            start(files)
+    else:
+        stage_messages(spark, sf_dir, paths["raw"])
+        start(None)
     return paths
 
 
