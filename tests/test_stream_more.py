@@ -203,3 +203,18 @@ def test_session_state_is_compacted_and_the_conf_comes_back(spark, workdir, monk
     done(jobs.start_sessions(spark, [f"{workdir}/in"], f"{workdir}/sessions", None, ONCE, state_partitions=2))
     assert seen == ["true"]
     assert spark.conf.get(jobs.COMPACT, None) is None
+
+
+def test_a_few_large_message_files_are_read_by_many_tasks(spark, workdir, monkeypatch):
+    """The files of the restarted runs have small row groups, so that a bounded batch uses all cores."""
+    import os
+
+    import pyarrow.parquet as pq
+    from conftest import SF_ORACLE
+    from tidemark.streaming import jobs
+    monkeypatch.setattr(jobs, "ROW_GROUP", 1 << 17)
+    monkeypatch.setattr(jobs, "new_run_dir", lambda session, label: f"{workdir}/{label}")
+    jobs.run_restarts(spark, SF_ORACLE)
+    raw = f"{workdir}/restarts/raw/topic={USER_TOPIC}"
+    groups = [pq.read_metadata(f"{raw}/{f}").num_row_groups for f in os.listdir(raw) if f.startswith("part-")]
+    assert max(groups) > 1

@@ -382,6 +382,8 @@ def run_gold(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
 #: messages of one id in so many are held back, if sent an hour or more before half time
 HELD_MOD, HELD_REM = 97, 1
+#: bytes of a row group of their files: a batch of few files is read by as many tasks as there are cores
+ROW_GROUP = 8 << 20
 
 
 def _restarted(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4,
@@ -403,7 +405,8 @@ def _restarted(spark: SparkSession, sf_dir: str, files_per_trigger: int = 4,
     width = spark.sparkContext.defaultParallelism
     once = {"availableNow": True}
     for part in (~held & (F.col("sent") < half), F.col("sent") >= half, held):
-        (messages.where(part).drop("sent").write.mode("append").partitionBy("topic").parquet(raw))
+        (messages.where(part).drop("sent").write.mode("append").option("parquet.block.size", ROW_GROUP)
+         .partitionBy("topic").parquet(raw))
         supervise(start_many([
             (lambda t=t, s=s: start_bronze(
                 spark, message_file_stream(spark, f"{raw}/topic={t}", t, files_per_trigger),
