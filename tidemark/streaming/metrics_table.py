@@ -44,6 +44,7 @@ class MetricsTable(StreamingQueryListener):
         self._lines: list[dict] = []
         self._last: dict[str, int] = {}
         self._lock = threading.Lock()
+        self._writing = threading.Lock()
 
     def onQueryStarted(self, event):
         pass
@@ -80,10 +81,11 @@ class MetricsTable(StreamingQueryListener):
             self.flush()
 
     def flush(self) -> None:
-        with self._lock:
-            lines, self._lines = self._lines, []
-        if lines:
-            write_lines(self.spark, self.path, f"{uuid.uuid4().hex}.json", lines)
+        with self._writing:  # a flush ends after the one that is under way on another thread
+            with self._lock:
+                lines, self._lines = self._lines, []
+            if lines:
+                write_lines(self.spark, self.path, f"{uuid.uuid4().hex}.json", lines)
 
     def attach(self) -> "MetricsTable":
         self.spark.streams.addListener(self)
